@@ -1,0 +1,152 @@
+"""Exact quantiles of large numeric columns.
+
+The built-in exact ``percentile`` keeps every distinct value of a column in one
+aggregation buffer. Here each wanted quantile is first bracketed with the
+bounded-size ``approx_percentile`` sketch, the bracket being narrowed until it
+holds few distinct values; only those are sorted. All columns and quantiles
+share each pass over the data.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+GROUP_LIMIT = 1_000_000
+_ACCURACY = 10_000
+
+
+@dataclass
+class _Target:
+    """One quantile of one column: the bracket known to hold its two ranks."""
+
+    column: str
+    prob: float
+    position: float
+    low: float
+    high: float
+    below: int  # rows under ``low``
+    inside: int  # rows in the bracket
+    distinct: int  # distinct values in the bracket, estimated
+
+    @property
+    def rank(self) -> int:
+        return math.floor(self.position)
+
+    @property
+    def upper_rank(self) -> int:
+        return math.ceil(self.position)
+
+    def is_small(self, limit: int) -> bool:
+        return self.distinct <= limit or self.low == self.high
+
+    def within(self):
+        return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
+
+
+def exact_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float], group_limit: int = GROUP_LIMIT
+) -> dict[tuple[str, float], float | None]:
+    """Linearly interpolated quantiles by (column, probability); None if no value."""
+    values = df.select(*[_number(c) for c in columns])
+    targets = _start(values, columns, probs)
+    while any(not t.is_small(group_limit) for t in targets):
+        wide = [t for t in targets if not t.is_small(group_limit)]
+        if not _narrow(values, wide):
+            break  # the sketch cannot split further; the sort below is still exact
+    found = _pick(values, targets)
+    return {(c, p): found.get((c, p)) for c in columns for p in probs}
+
+
+def _number(column: str):
+    """The column as double, with NaN as a missing value."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value).alias(column)
+
+
+def _start(values: DataFrame, columns: list[str], probs: list[float]) -> list[_Target]:
+    stats = []
+    for c in columns:
+        stats += [
+            F.count(c).alias(f"n_{c}"),
+            F.min(c).alias(f"lo_{c}"),
+            F.max(c).alias(f"hi_{c}"),
+            F.approx_count_distinct(c).alias(f"d_{c}"),
+        ]
+    row = values.agg(*stats).first()
+    return [
+        _Target(c, p, (row[f"n_{c}"] - 1) * p, row[f"lo_{c}"], row[f"hi_{c}"], 0,
+                row[f"n_{c}"], row[f"d_{c}"])
+        for c in columns
+        if row[f"n_{c}"]
+        for p in probs
+    ]
+
+
+def _narrow(values: DataFrame, targets: list[_Target]) -> bool:
+    """Tighten the brackets once; False if none became tighter."""
+    sketches = []
+    for i, t in enumerate(targets):
+        margin = 2.0 / _ACCURACY
+        share = (t.position - t.below) / max(t.inside - 1, 1)
+        ends = [min(1.0, max(0.0, share - margin)), min(1.0, max(0.0, share + margin))]
+        sketches.append(
+            F.percentile_approx(F.when(t.within(), F.col(t.column)), ends, _ACCURACY).alias(f"q{i}")
+        )
+    ends_row = values.agg(*sketches).first()
+
+    tries = []
+    for i, t in enumerate(targets):
+        low, high = ends_row[f"q{i}"]
+        tries.append(_Target(t.column, t.prob, t.position, low, high, 0, 0, 0))
+    counts = []
+    for i, t in enumerate(tries):
+        counts += [
+            F.count_if(F.col(t.column) < F.lit(t.low)).alias(f"b{i}"),
+            F.count_if(t.within()).alias(f"m{i}"),
+            F.approx_count_distinct(F.when(t.within(), F.col(t.column))).alias(f"d{i}"),
+        ]
+    row = values.agg(*counts).first()
+
+    tighter = False
+    for i, (old, new) in enumerate(zip(targets, tries)):
+        below, inside = row[f"b{i}"], row[f"m{i}"]
+        holds = below <= old.rank and below + inside > old.upper_rank
+        if holds and inside < old.inside:
+            old.low, old.high = new.low, new.high
+            old.below, old.inside, old.distinct = below, inside, row[f"d{i}"]
+            tighter = True
+    return tighter
+
+
+def _pick(values: DataFrame, targets: list[_Target]) -> dict[tuple[str, float], float]:
+    """Read the wanted ranks from the sorted distinct values of each bracket."""
+    if not targets:
+        return {}
+    entries = [
+        F.when(t.within(), F.struct(F.lit(i).alias("target"), F.col(t.column).alias("value")))
+        for i, t in enumerate(targets)
+    ]
+    counted = (
+        values.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        .groupBy("e.target", "e.value")
+        .agg(F.count("*").alias("n"))
+    )
+    running = Window.partitionBy("target").orderBy("value")
+    ranked = counted.withColumn("upto", F.sum("n").over(running))
+    picks = []
+    for i, t in enumerate(targets):
+        for name, rank in (("lower", t.rank), ("upper", t.upper_rank)):
+            local = rank - t.below
+            mine = (F.col("target") == i) & (F.col("upto") > local)
+            picks.append(F.min(F.when(mine, F.col("value"))).alias(f"{name}{i}"))
+    row = ranked.agg(*picks).first()
+    result = {}
+    for i, t in enumerate(targets):
+        lower, upper = row[f"lower{i}"], row[f"upper{i}"]
+        result[(t.column, t.prob)] = lower + (upper - lower) * (t.position - t.rank)
+    return result

@@ -1,0 +1,6 @@
+"""Left empty on purpose: the listing workload is batch only.
+
+Cleaning, labelling and scoring are row-wise or left joins to fixed tables, so
+the functions of ``operators.clean`` and ``operators.score`` also accept
+streaming DataFrames; nothing here needs state of its own.
+"""
