@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A look-up table is broadcast only when its measured size is below this.
@@ -26,14 +26,30 @@ class Lookup:
         return self.size_bytes <= (BROADCAST_LIMIT_BYTES if limit is None else limit)
 
 
-def measure(table: DataFrame, key: str) -> Lookup:
-    """Measure a look-up table that is already written (see ``materialize``)."""
+def row_bytes(table: DataFrame) -> Column:
+    """Estimated size of a row in memory: its texts plus a fixed part."""
     texts = [f.name for f in table.schema.fields if f.dataType.typeName() == "string"]
-    row = F.lit(_ROW_BYTES + 8 * len(table.columns)).cast("bigint")
+    size = F.lit(_ROW_BYTES + 8 * len(table.columns)).cast("bigint")
     for name in texts:
-        row = row + F.coalesce(F.octet_length(name), F.lit(0))
-    size = table.agg(F.coalesce(F.sum(row), F.lit(0)).alias("size")).first()["size"]
-    return Lookup(table, key, int(size))
+        size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    return size
+
+
+def measure(table: DataFrame, key: str) -> Lookup:
+    """Measure a look-up table that is already written (see ``materialize``)."""
+    size = table.agg(F.sum(row_bytes(table)).alias("size")).first()["size"]
+    return Lookup(table, key, int(size or 0))
+
+
+def measure_dims(table: DataFrame, dims: tuple[str, ...]) -> dict[str, Lookup]:
+    """The look-ups of a written long table ``(dim, key, ...)``, measured in one pass."""
+    sizes = dict(
+        table.groupBy("dim").agg(F.sum(row_bytes(table)).alias("size")).collect()
+    )
+    return {
+        d: Lookup(table.filter(F.col("dim") == d).drop("dim"), "key", int(sizes.get(d, 0)))
+        for d in dims
+    }
 
 
 def look_up(df: DataFrame, lookup: Lookup, on: str, limit: int | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """Target-mean encoding of categories.
 
-The fitted map is one long table ``(dim, key, avg_price, n)``; the overall mean
-is its row with dim ``global``.
+The fitted map is one long table ``(dim, key, avg_price, n, total)``; the overall
+mean is its row with dim ``global``.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagefare.columns import ENCODED_DIMS, Label, mean_column
-from stagefare.functions.joins import Lookup, look_up, measure
+from stagefare.functions.joins import Lookup, look_up, measure_dims
 from stagefare.sources.scratch import materialize
 
 GLOBAL = "global"
+MAP_SCHEMA = "key string, avg_price double, n bigint, total double, dim string"
 
 
 def encoding_map(
@@ -44,6 +45,7 @@ def encoding_map(
         key.alias("key"),
         F.try_divide("total", "n").alias("avg_price"),
         F.col("n").cast("bigint").alias("n"),
+        F.col("total").cast("double").alias("total"),
     )
 
 
@@ -61,12 +63,7 @@ class MeanEncoding:
     def of(cls, table: DataFrame, label: Label | str, dims: tuple[str, ...] = ENCODED_DIMS):
         """From a written map table."""
         name = label.column if isinstance(label, Label) else label
-        lookups = {
-            d: measure(
-                table.filter(F.col("dim") == d).select("key", "avg_price", "n"), "key"
-            )
-            for d in dims
-        }
+        lookups = measure_dims(table, dims)
         overall = table.filter(F.col("dim") == GLOBAL).select("avg_price").first()
         return cls(table, dims, lookups, overall[0] if overall else None, name)
 
@@ -81,18 +78,19 @@ class MeanEncoding:
         out = df
         for d in self.dims:
             lookup = self.lookups[d]
-            renamed = lookup.table.select(
-                "key", F.col("avg_price").alias(f"__mean_{d}"), F.col("n").alias(f"__n_{d}")
-            )
+            renamed = lookup.table.select("key", self._known(leave_one_out).alias(f"__known_{d}"))
             out = look_up(out, Lookup(renamed, "key", lookup.size_bytes), d, broadcast_limit)
         columns = {mean_column(d): self._value(d, leave_one_out) for d in self.dims}
-        helpers = [f"__{p}_{d}" for d in self.dims for p in ("mean", "n")]
-        return out.withColumns(columns).drop(*helpers)
+        return out.withColumns(columns).drop(*[f"__known_{d}" for d in self.dims])
+
+    @staticmethod
+    def _known(leave_one_out: bool) -> Column:
+        return F.struct("total", "n") if leave_one_out else F.col("avg_price")
 
     def _value(self, dim: str, leave_one_out: bool) -> Column:
-        mean, n = F.col(f"__mean_{dim}"), F.col(f"__n_{dim}")
+        mean = known = F.col(f"__known_{dim}")
         if leave_one_out:
-            mean = F.try_divide(mean * n - F.col(self.label), n - 1)
+            mean = F.try_divide(known["total"] - F.col(self.label), known["n"] - 1)
         return F.coalesce(mean, F.lit(self.global_mean).cast("double"), F.lit(0.0))
 
 
@@ -115,5 +113,5 @@ def save_encoding(encoding: MeanEncoding, path: str) -> None:
 def load_encoding(
     spark: SparkSession, path: str, label: Label, dims: tuple[str, ...] = ENCODED_DIMS
 ) -> MeanEncoding:
-    table = spark.read.schema("key string, avg_price double, n bigint, dim string").parquet(path)
+    table = spark.read.schema(MAP_SCHEMA).parquet(path)
     return MeanEncoding.of(table, label, dims)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stagefare.columns import ENCODED_DIMS, mean_column
 from stagefare.functions.calendar import full_date
-from stagefare.functions.joins import Lookup, look_up, measure
+from stagefare.functions.joins import Lookup, look_up, measure, measure_dims
 from stagefare.functions.text import first_number_in_list, strip_list_marks
 from stagefare.operators.encoding import MeanEncoding
 from stagefare.sources.scratch import materialize
@@ -75,20 +75,38 @@ def default_popularity(artists: DataFrame) -> DataFrame:
     return artists.agg(middle.alias("default_popularity"))
 
 
+def paired_means(highest: MeanEncoding, lowest: MeanEncoding) -> DataFrame:
+    """Long table ``(dim, key, high, low)`` of the means of both encodings."""
+    nothing = F.lit(None).cast("double")
+    value = F.col("avg_price")
+    both = highest.table.select("dim", "key", value.alias("high"), nothing.alias("low"))
+    both = both.unionByName(
+        lowest.table.select("dim", "key", nothing.alias("high"), value.alias("low"))
+    )
+    return both.groupBy("dim", "key").agg(F.max("high").alias("high"), F.max("low").alias("low"))
+
+
 @dataclass
 class ScoringTables:
     """What requests are looked up in."""
 
     artists: Lookup
     default_popularity: float
-    highest: MeanEncoding
-    lowest: MeanEncoding
+    means: dict[str, Lookup]
+    global_max: float | None
+    global_min: float | None
 
     @classmethod
     def build(cls, raw: DataFrame, highest: MeanEncoding, lowest: MeanEncoding) -> ScoringTables:
         artists = materialize(artist_reference(raw), "artists")
-        middle = default_popularity(artists).first()[0]
-        return cls(measure(artists, "artist"), middle, highest, lowest)
+        means = materialize(paired_means(highest, lowest), "means")
+        return cls(
+            measure(artists, "artist"),
+            default_popularity(artists).first()[0],
+            measure_dims(means, ENCODED_DIMS),
+            highest.global_mean,
+            lowest.global_mean,
+        )
 
 
 # -- request steps ----------------------------------------------------------
@@ -159,22 +177,6 @@ def add_genre(requests: DataFrame) -> DataFrame:
     )
 
 
-def _paired_means(tables: ScoringTables, dim: str) -> Lookup:
-    """One look-up with the mean highest and lowest price of a dim's categories."""
-    high, low = tables.highest.lookups[dim], tables.lowest.lookups[dim]
-    either = (
-        high.table.select("key", F.col("avg_price").alias("high"), F.lit(None).cast("double").alias("low"))
-        .unionByName(
-            low.table.select(
-                "key", F.lit(None).cast("double").alias("high"), F.col("avg_price").alias("low")
-            )
-        )
-        .groupBy("key")
-        .agg(F.max("high").alias(f"__high_{dim}"), F.max("low").alias(f"__low_{dim}"))
-    )
-    return Lookup(either, "key", high.size_bytes + low.size_bytes)
-
-
 def add_means(
     requests: DataFrame, tables: ScoringTables, broadcast_limit: int | None = None
 ) -> DataFrame:
@@ -186,11 +188,16 @@ def add_means(
     keys = {"state": "state", "city": "city", "genre": "genre_key", "subgenre": "subgenre_key"}
     out = requests
     for dim in ENCODED_DIMS:
-        out = look_up(out, _paired_means(tables, dim), keys[dim], broadcast_limit)
+        means = tables.means[dim]
+        named = means.table.select(
+            "key", F.col("high").alias(f"__high_{dim}"), F.col("low").alias(f"__low_{dim}")
+        )
+        out = look_up(out, Lookup(named, "key", means.size_bytes), keys[dim], broadcast_limit)
 
     columns = {}
-    for end, prefix, encoding in (("max", "high", tables.highest), ("min", "low", tables.lowest)):
-        overall = F.lit(encoding.global_mean)
+    ends = (("max", "high", tables.global_max), ("min", "low", tables.global_min))
+    for end, prefix, global_mean in ends:
+        overall = F.lit(global_mean).cast("double")
         state = F.coalesce(f"__{prefix}_state", overall)
         genre = F.coalesce(f"__{prefix}_genre", overall)
         columns |= {
@@ -239,7 +246,7 @@ def repair(scored: DataFrame, factor: float = REPAIR_FACTOR) -> DataFrame:
 
 def probability(tables: ScoringTables, monday_zero: bool = False) -> Column:
     """Chance of the event from popularity, city market, weekday and season."""
-    overall = tables.highest.global_mean
+    overall = tables.global_max
     if overall is not None and overall > 0:
         market = F.least(F.lit(1.0), F.col("city_avg_max") / F.lit(overall))
     else:
@@ -330,13 +337,14 @@ def score_batch(
 def model_summary(tables: ScoringTables) -> DataFrame:
     """Sizes and overall means of the reference tables, as one row."""
     artists = tables.artists.table.select(F.lit("artist").alias("kind"))
-    cities = tables.highest.lookups["city"].table.select(F.lit("city").alias("kind"))
+    cities = tables.means["city"].table.filter(F.col("high").isNotNull())
+    cities = cities.select(F.lit("city").alias("kind"))
     counted = artists.unionByName(cities)
     return counted.agg(
         F.count_if(F.col("kind") == "artist").alias("total_artists"),
         F.count_if(F.col("kind") == "city").alias("total_cities"),
-        F.lit(round_or_none(tables.lowest.global_mean)).cast("double").alias("global_avg_min"),
-        F.lit(round_or_none(tables.highest.global_mean)).cast("double").alias("global_avg_max"),
+        F.lit(round_or_none(tables.global_min)).cast("double").alias("global_avg_min"),
+        F.lit(round_or_none(tables.global_max)).cast("double").alias("global_avg_max"),
         F.lit(round_or_none(tables.default_popularity)).cast("double").alias("default_popularity"),
     )
 

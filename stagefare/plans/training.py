@@ -98,7 +98,8 @@ def fit_all(
     if parallelism <= 1:
         return dict(map(fit, models.items()))
     with ThreadPoolExecutor(parallelism) as pool:
-        return dict(pool.map(inheritable_thread_target(fit), models.items()))
+        in_session = inheritable_thread_target(train.sparkSession)
+        return dict(pool.map(in_session(fit), models.items()))
 
 
 def predict_all(
