@@ -3,21 +3,25 @@
 The built-in exact ``percentile`` keeps every distinct value of a column in one
 aggregation buffer. Here each wanted quantile is first bracketed with the
 bounded-size ``approx_percentile`` sketch, the bracket being narrowed until it
-holds few distinct values; only those are sorted. All columns and quantiles
-share each pass over the data.
+holds few rows; only those are sorted. All columns and quantiles share each pass
+over the data.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP_LIMIT = 1_000_000
-_ACCURACY = 10_000
+GROUP_LIMIT = 100_000
+
+
+def _accuracy(rows: int) -> int:
+    """Sketch size: small tables need one rough round, large ones few fine rounds."""
+    return max(1_000, min(10_000, rows // 50_000))
 
 
 @dataclass
@@ -31,7 +35,6 @@ class _Target:
     high: float
     below: int  # rows under ``low``
     inside: int  # rows in the bracket
-    distinct: int  # distinct values in the bracket, estimated
 
     @property
     def rank(self) -> int:
@@ -41,11 +44,27 @@ class _Target:
     def upper_rank(self) -> int:
         return math.ceil(self.position)
 
+    @property
+    def bracket(self) -> tuple[str, float, float]:
+        return (self.column, self.low, self.high)
+
     def is_small(self, limit: int) -> bool:
-        return self.distinct <= limit or self.low == self.high
+        return self.inside <= limit or self.low == self.high
+
 
-    def within(self):
-        return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
+def _within(bracket: tuple[str, float, float]) -> Column:
+    column, low, high = bracket
+    return F.col(column).between(F.lit(low), F.lit(high))
+
+
+def _inner(bracket: tuple[str, float, float]) -> Column:
+    return F.when(_within(bracket), F.col(bracket[0]))
+
+
+def _number(column: str) -> Column:
+    """The column as double, with NaN as a missing value."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value).alias(column)
 
 
 def exact_quantiles(
@@ -54,33 +73,20 @@ def exact_quantiles(
     """Linearly interpolated quantiles by (column, probability); None if no value."""
     values = df.select(*[_number(c) for c in columns])
     targets = _start(values, columns, probs)
-    while any(not t.is_small(group_limit) for t in targets):
-        wide = [t for t in targets if not t.is_small(group_limit)]
+    while wide := [t for t in targets if not t.is_small(group_limit)]:
         if not _narrow(values, wide):
-            break  # the sketch cannot split further; the sort below is still exact
+            break  # one value fills the brackets; the last step folds its copies
     found = _pick(values, targets)
     return {(c, p): found.get((c, p)) for c in columns for p in probs}
 
 
-def _number(column: str):
-    """The column as double, with NaN as a missing value."""
-    value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value).alias(column)
-
-
 def _start(values: DataFrame, columns: list[str], probs: list[float]) -> list[_Target]:
     stats = []
     for c in columns:
-        stats += [
-            F.count(c).alias(f"n_{c}"),
-            F.min(c).alias(f"lo_{c}"),
-            F.max(c).alias(f"hi_{c}"),
-            F.approx_count_distinct(c).alias(f"d_{c}"),
-        ]
+        stats += [F.count(c).alias(f"n_{c}"), F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
     row = values.agg(*stats).first()
     return [
-        _Target(c, p, (row[f"n_{c}"] - 1) * p, row[f"lo_{c}"], row[f"hi_{c}"], 0,
-                row[f"n_{c}"], row[f"d_{c}"])
+        _Target(c, p, (row[f"n_{c}"] - 1) * p, row[f"lo_{c}"], row[f"hi_{c}"], 0, row[f"n_{c}"])
         for c in columns
         if row[f"n_{c}"]
         for p in probs
@@ -89,36 +95,34 @@ def _start(values: DataFrame, columns: list[str], probs: list[float]) -> list[_T
 
 def _narrow(values: DataFrame, targets: list[_Target]) -> bool:
     """Tighten the brackets once; False if none became tighter."""
+    shared = defaultdict(list)
+    for t in targets:
+        shared[t.bracket].append(t)
     sketches = []
-    for i, t in enumerate(targets):
-        margin = 2.0 / _ACCURACY
-        share = (t.position - t.below) / max(t.inside - 1, 1)
-        ends = [min(1.0, max(0.0, share - margin)), min(1.0, max(0.0, share + margin))]
-        sketches.append(
-            F.percentile_approx(F.when(t.within(), F.col(t.column)), ends, _ACCURACY).alias(f"q{i}")
-        )
-    ends_row = values.agg(*sketches).first()
+    for i, (bracket, group) in enumerate(shared.items()):
+        accuracy = _accuracy(group[0].inside)
+        margin = 2.0 / accuracy
+        shares = [(t.position - t.below) / max(t.inside - 1, 1) for t in group]
+        ends = [min(1.0, max(0.0, s + m)) for s in shares for m in (-margin, margin)]
+        sketches.append(F.percentile_approx(_inner(bracket), ends, accuracy).alias(f"q{i}"))
+    row = values.agg(*sketches).first()
 
     tries = []
-    for i, t in enumerate(targets):
-        low, high = ends_row[f"q{i}"]
-        tries.append(_Target(t.column, t.prob, t.position, low, high, 0, 0, 0))
+    for i, group in enumerate(shared.values()):
+        for j, t in enumerate(group):
+            tries.append((t, (t.column, row[f"q{i}"][2 * j], row[f"q{i}"][2 * j + 1])))
     counts = []
-    for i, t in enumerate(tries):
-        counts += [
-            F.count_if(F.col(t.column) < F.lit(t.low)).alias(f"b{i}"),
-            F.count_if(t.within()).alias(f"m{i}"),
-            F.approx_count_distinct(F.when(t.within(), F.col(t.column))).alias(f"d{i}"),
-        ]
+    for i, (t, bracket) in enumerate(tries):
+        counts.append(F.count_if(F.col(t.column) < F.lit(bracket[1])).alias(f"b{i}"))
+        counts.append(F.count_if(_within(bracket)).alias(f"m{i}"))
     row = values.agg(*counts).first()
 
     tighter = False
-    for i, (old, new) in enumerate(zip(targets, tries)):
+    for i, (t, (_, low, high)) in enumerate(tries):
         below, inside = row[f"b{i}"], row[f"m{i}"]
-        holds = below <= old.rank and below + inside > old.upper_rank
-        if holds and inside < old.inside:
-            old.low, old.high = new.low, new.high
-            old.below, old.inside, old.distinct = below, inside, row[f"d{i}"]
+        holds = below <= t.rank and below + inside > t.upper_rank
+        if holds and inside < t.inside:
+            t.low, t.high, t.below, t.inside = low, high, below, inside
             tighter = True
     return tighter
 
@@ -127,23 +131,24 @@ def _pick(values: DataFrame, targets: list[_Target]) -> dict[tuple[str, float],
     """Read the wanted ranks from the sorted distinct values of each bracket."""
     if not targets:
         return {}
+    number = {b: i for i, b in enumerate({t.bracket: None for t in targets})}
     entries = [
-        F.when(t.within(), F.struct(F.lit(i).alias("target"), F.col(t.column).alias("value")))
-        for i, t in enumerate(targets)
+        F.when(_within(b), F.struct(F.lit(i).alias("bracket"), F.col(b[0]).alias("value")))
+        for b, i in number.items()
     ]
     counted = (
         values.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.target", "e.value")
+        .groupBy("e.bracket", "e.value")
         .agg(F.count("*").alias("n"))
     )
-    running = Window.partitionBy("target").orderBy("value")
+    running = Window.partitionBy("bracket").orderBy("value")
     ranked = counted.withColumn("upto", F.sum("n").over(running))
     picks = []
     for i, t in enumerate(targets):
+        here = F.col("bracket") == number[t.bracket]
         for name, rank in (("lower", t.rank), ("upper", t.upper_rank)):
-            local = rank - t.below
-            mine = (F.col("target") == i) & (F.col("upto") > local)
-            picks.append(F.min(F.when(mine, F.col("value"))).alias(f"{name}{i}"))
+            reached = here & (F.col("upto") > rank - t.below)
+            picks.append(F.min(F.when(reached, F.col("value"))).alias(f"{name}{i}"))
     row = ranked.agg(*picks).first()
     result = {}
     for i, t in enumerate(targets):

@@ -68,13 +68,18 @@ class MeanEncoding:
         return cls(table, dims, lookups, overall[0] if overall else None, name)
 
     def transform(
-        self, df: DataFrame, leave_one_out: bool = False, broadcast_limit: int | None = None
+        self,
+        df: DataFrame,
+        leave_one_out: Column | bool = False,
+        broadcast_limit: int | None = None,
     ) -> DataFrame:
         """Add ``<dim>_avg_price``: the category's mean, else the overall mean, else 0.
 
-        ``leave_one_out`` takes a row's own label out of its mean; use it only
-        on the rows the encoding was fitted on.
+        ``leave_one_out`` takes a row's own label out of its mean. It is for the
+        rows the encoding was fitted on; a condition names them in a mixed table.
         """
+        if isinstance(leave_one_out, bool):
+            leave_one_out = F.lit(True) if leave_one_out else None
         out = df
         for d in self.dims:
             lookup = self.lookups[d]
@@ -84,13 +89,16 @@ class MeanEncoding:
         return out.withColumns(columns).drop(*[f"__known_{d}" for d in self.dims])
 
     @staticmethod
-    def _known(leave_one_out: bool) -> Column:
-        return F.struct("total", "n") if leave_one_out else F.col("avg_price")
+    def _known(leave_one_out: Column | None) -> Column:
+        if leave_one_out is None:
+            return F.col("avg_price")
+        return F.struct("avg_price", "total", "n")
 
-    def _value(self, dim: str, leave_one_out: bool) -> Column:
+    def _value(self, dim: str, leave_one_out: Column | None) -> Column:
         mean = known = F.col(f"__known_{dim}")
-        if leave_one_out:
-            mean = F.try_divide(known["total"] - F.col(self.label), known["n"] - 1)
+        if leave_one_out is not None:
+            others = F.try_divide(known["total"] - F.col(self.label), known["n"] - 1)
+            mean = F.when(leave_one_out, others).otherwise(known["avg_price"])
         return F.coalesce(mean, F.lit(self.global_mean).cast("double"), F.lit(0.0))
 
 

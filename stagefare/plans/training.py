@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -16,7 +15,7 @@ from stagefare.operators import evaluate as ev
 from stagefare.operators.encoding import MeanEncoder, MeanEncoding, save_encoding
 from stagefare.operators.features import dense_assembler, one_hot_stages
 from stagefare.operators.regressors import KINDS, SHORT_NAMES, make_regressor
-from stagefare.operators.rows import hash_split, training_rows
+from stagefare.operators.rows import hash_split, in_train, training_rows
 from stagefare.sources.models import save_model
 from stagefare.sources.outputs import write_report, write_rows
 from stagefare.sources.scratch import materialize
@@ -25,7 +24,7 @@ from stagefare.sources.scratch import materialize
 ID_COLUMNS = ("event_id", "artist", "event_date")
 INPUT_COLUMNS = ("spotify_popularity", "year", "month", "weekday", *ENCODED_DIMS)
 
-Split = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+SIDE = "in_train"
 
 
 def split_by_id(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -48,23 +47,20 @@ def labelled(cleaned: DataFrame, label: Label) -> DataFrame:
 
 
 def prepare_means(
-    cleaned: DataFrame,
-    label: Label,
-    split: Split = split_by_id,
-    leave_one_out: bool = False,
-    written: bool = False,
+    cleaned: DataFrame, label: Label, leave_one_out: bool = False, written: bool = False
 ) -> Prepared:
     """Split and mean-encode; means come from the training side only.
 
-    ``written`` stores both sides as tables, for jobs that fit many models.
+    ``written`` stores the encoded rows, for jobs that fit many models: one
+    write for both sides, each then read without the other.
     """
-    train, test = split(labelled(cleaned, label))
-    encoding = MeanEncoder(label).fit(train)
-    train = encoding.transform(train, leave_one_out)
-    test = encoding.transform(test)
+    rows = labelled(cleaned, label).withColumn(SIDE, in_train("event_id"))
+    encoding = MeanEncoder(label).fit(rows.filter(SIDE))
+    encoded = encoding.transform(rows, F.col(SIDE) if leave_one_out else False)
     if written:
-        train, test = materialize(train, "train"), materialize(test, "test")
-    return Prepared(train, test, encoding)
+        encoded = materialize(encoded, "encoded", by=(SIDE,))
+    side = F.col(SIDE)
+    return Prepared(encoded.filter(side).drop(SIDE), encoded.filter(~side).drop(SIDE), encoding)
 
 
 def mean_baseline(

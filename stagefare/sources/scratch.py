@@ -36,10 +36,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/stagefare/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
+def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder, partitioned by ``by``, and read it back."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
