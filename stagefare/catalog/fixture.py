@@ -9,13 +9,18 @@ split, and requests with gaps.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stagefare.columns import RAW_COLUMNS
 from stagefare.plans.cleaning import clean_table
 from stagefare.sources.listings import read_clean, write_clean
 from stagefare.sources.scratch import exists, new_path
 
+# Doubles are compared after rounding. Prices are whole cents, so many means lie
+# half-way between two rounded values, where the order of summing would decide;
+# the nudge moves the half-way points to where no such mean lies.
+DECIMALS = 4
+NUDGE = 1.37e-6
+
 TABLES = ("lineitem", "part", "supplier", "nation", "region")
 
 # Columns stand in the order of RAW_COLUMNS, under SQL-friendly names.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stagefare.catalog.fixture import RAW_SQL, REQUEST_SQL, TABLES
+from stagefare.catalog.fixture import DECIMALS, NUDGE, RAW_SQL, REQUEST_SQL, TABLES
 
 _NAMES = {t: t for t in TABLES}
 _AS_OF = "2024-06-15"
@@ -157,7 +157,10 @@ def _encoding(label: str, base: str = "base", suffix: str = "") -> str:
         f" sum({label}) as total from {base} where in_train group by {d})"
         for d in _DIMS
     ]
-    parts.append(f"m_all{suffix} as (select avg({label}) as mean, count({label}) as n from {base} where in_train)")
+    parts.append(
+        f"m_all{suffix} as (select avg({label}) as mean, count({label}) as n"
+        f" from {base} where in_train)"
+    )
     return ", ".join(parts)
 
 
@@ -442,6 +445,12 @@ _TEST = _encoded()
 
 
 def all_oracles() -> dict[str, str]:
+    """SQL by query name; values are nudged before rounding as on the Spark side."""
+    rounding = f", {DECIMALS})"
+    return {k: v.replace(rounding, f" + {NUDGE}{rounding}") for k, v in _oracles().items()}
+
+
+def _oracles() -> dict[str, str]:
     n = "count(*) as event_count"
     return {
         "csv_roundtrip": _rows(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stagefare.catalog.fixture import cleaned_listings, raw_listings
+from stagefare.catalog.fixture import DECIMALS, NUDGE, cleaned_listings, raw_listings
 from stagefare.catalog.fixture import requests as request_table
 from stagefare.columns import (
     ENCODED_DIMS,
@@ -43,7 +43,6 @@ from stagefare.sources.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DECIMALS = 4
 AS_OF = "2024-06-15"
 
 _queries: dict[str, Query] = {}
@@ -55,7 +54,7 @@ def shown(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, DECIMALS)
+            c = F.round(c + NUDGE, DECIMALS)
         elif isinstance(field.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(field.dataType, T.TimestampType):
@@ -106,7 +105,10 @@ def metrics_json_roundtrip(spark, sf_dir):
 def report_csv_roundtrip(spark, sf_dir):
     path = new_path(spark, "report-csv")
     write_report(reports.report_secondary_market(cleaned_listings(spark, sf_dir)), path)
-    schema = "genre string, event_count bigint, avg_seatgeek_price double, avg_stubhub_max double, avg_tm_price double, avg_premium_pct double"
+    schema = (
+        "genre string, event_count bigint, avg_seatgeek_price double, avg_stubhub_max double,"
+        " avg_tm_price double, avg_premium_pct double"
+    )
     return spark.read.schema(schema).csv(path, header=True)
 
 
