@@ -10,6 +10,7 @@ from stagefare.columns import MAX_PRICE, MIN_PRICE
 from stagefare.operators.regressors import SHORT_NAMES, sweep_grid
 from stagefare.plans import cleaning, scoring, training
 from stagefare.sources.listings import read_clean, read_raw
+from stagefare.sources.scratch import clear
 
 LABELS = {"max": MAX_PRICE, "min": MIN_PRICE}
 
@@ -80,6 +81,7 @@ def main() -> None:
     for name, table in run(spark, args).items():
         print(name)
         table.show(truncate=False)
+    clear(spark)
     spark.stop()
 
 

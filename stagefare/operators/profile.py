@@ -16,7 +16,11 @@ def profile_shape(df: DataFrame) -> DataFrame:
     """One row per column: its type, with the table's row and column counts."""
     entries = F.array(
         *[
-            F.struct(F.lit(i).alias("position"), F.lit(n).alias("column_name"), F.lit(t).alias("data_type"))
+            F.struct(
+                F.lit(i).alias("position"),
+                F.lit(n).alias("column_name"),
+                F.lit(t).alias("data_type"),
+            )
             for i, (n, t) in enumerate(df.dtypes, start=1)
         ]
     )

@@ -21,6 +21,10 @@ def _events() -> Column:
     return F.count("*").alias("event_count")
 
 
+def _total(counts: str) -> Column:
+    return F.coalesce(F.sum(counts), F.lit(0))
+
+
 def report_year_genre(df: DataFrame, c: ListingColumns = LISTING) -> DataFrame:
     """Events, mean price and mean popularity per year and genre."""
     return (
@@ -137,7 +141,7 @@ def summary_overall(df: DataFrame, c: ListingColumns = LISTING, approx: bool = F
         F.max(c.event_date).alias("last_date"),
     )
     return combos.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_events"),
+        _total("n").alias("total_events"),
         *[F.count_distinct(v).alias(n) for n, v in names.items()],
         F.min("first_date").alias("earliest_event"),
         F.max("last_date").alias("latest_event"),
@@ -161,14 +165,24 @@ def coverage(df: DataFrame, flags: dict[str, str] | None = None) -> DataFrame:
 
 
 def clean_stats(df: DataFrame, c: ListingColumns = LISTING) -> DataFrame:
-    """Closing statistics of the cleaning step."""
-    return df.agg(
-        F.count("*").alias("total_records"),
+    """Closing statistics of the cleaning step, over the distinct (artist, city) rows."""
+    combos = df.groupBy(c.artist, c.city).agg(
+        F.count("*").alias("rows"),
+        F.sum(c.min_price).alias("price_sum"),
+        F.count(c.min_price).alias("price_n"),
+        F.sum(c.popularity).alias("popularity_sum"),
+        F.count(c.popularity).alias("popularity_n"),
+        F.count_if(c.has_resale).alias("resold"),
+    )
+    return combos.agg(
+        _total("rows").alias("total_records"),
         F.count_distinct(c.artist).alias("unique_artists"),
         F.count_distinct(c.city).alias("unique_cities"),
-        F.avg(c.min_price).alias("avg_tm_price"),
-        F.avg(c.popularity).alias("avg_spotify_popularity"),
-        F.count_if(c.has_resale).alias("secondary_market_count"),
+        F.try_divide(F.sum("price_sum"), F.sum("price_n")).alias("avg_tm_price"),
+        F.try_divide(F.sum("popularity_sum"), F.sum("popularity_n")).alias(
+            "avg_spotify_popularity"
+        ),
+        _total("resold").alias("secondary_market_count"),
     )
 
 
@@ -192,15 +206,12 @@ def quality_counts(cleaned: DataFrame, c: ListingColumns = LISTING) -> DataFrame
         F.count_if(complete).alias("complete"),
     )
 
-    def total(name: str, alias: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0)).alias(alias)
-
     return per_id.agg(
-        total("rows", "total"),
-        total("dated", "valid_date"),
-        total("named", "with_artist"),
-        total("profiled", "with_spotify"),
-        total("resold", "with_secondary"),
+        _total("rows").alias("total"),
+        _total("dated").alias("valid_date"),
+        _total("named").alias("with_artist"),
+        _total("profiled").alias("with_spotify"),
+        _total("resold").alias("with_secondary"),
         F.count("*").alias("after_dedup"),
         F.count_if(F.col("complete") > 0).alias("after_filter"),
     )

@@ -35,6 +35,7 @@ PEAK_MONTHS = (6, 7, 8, 12)
 HIGH_BAND = 0.65
 MEDIUM_BAND = 0.40
 REQUEST_KEYS = ("artist", "city", "state")
+OPTIONAL_KEYS = ("date", "genre")
 
 
 # -- reference tables -------------------------------------------------------
@@ -113,12 +114,16 @@ class ScoringTables:
 
 
 def validate(requests: DataFrame) -> DataFrame:
-    """Add ``missing``: the absent required fields, null for a valid request."""
-    absent = [
-        F.when(F.col(k).isNull() | (F.col(k) == ""), F.lit(k)) for k in REQUEST_KEYS
-    ]
+    """Add ``missing``: the absent required fields, null for a valid request.
+
+    The optional ``date`` and ``genre`` are added as null where the table lacks them.
+    """
+    optional = {
+        c: F.lit(None).cast("string") for c in OPTIONAL_KEYS if c not in requests.columns
+    }
+    absent = [F.when(F.col(k).isNull() | (F.col(k) == ""), F.lit(k)) for k in REQUEST_KEYS]
     named = F.concat_ws(", ", *absent)
-    return requests.withColumn("missing", F.when(named != "", named))
+    return requests.withColumns({**optional, "missing": F.when(named != "", named)})
 
 
 def valid_requests(requests: DataFrame) -> DataFrame:

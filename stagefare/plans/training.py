@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -168,23 +169,33 @@ def train_job(
     return cleaned.sparkSession.read.csv(f"{target}/metrics", header=True, inferSchema=True)
 
 
-def _save_comparison(
-    data: Prepared, label: Label, fitted: dict[str, PipelineModel], target: str
+# Models whose predictions share a pass over the test rows, and which the driver
+# holds at a time; deep forests are large.
+MODELS_PER_PASS = 8
+
+
+def _fit_and_save(
+    cleaned: DataFrame, label: Label, target: str, models: dict[str, Pipeline], parallelism: int
 ) -> DataFrame:
-    predictions, columns = predict_all(data.test, fitted)
-    rows = [tuple(r) for r in ev.compare_predictions(predictions, label, columns).collect()]
-    comparison = ev.comparison_table(data.test.sparkSession, rows)
+    """Fit models batch by batch; save each with its sample and importances, then all metrics."""
+    data = prepare_means(cleaned, label, written=True)
+    rows = []
+    for batch in itertools.batched(models, MODELS_PER_PASS):
+        fitted = fit_all(data.train, {n: models[n] for n in batch}, parallelism)
+        predictions, columns = predict_all(data.test, fitted)
+        compared = ev.compare_predictions(predictions, label, columns)
+        rows += [tuple(r) for r in compared.collect()]
+        sample = materialize(ev.first_rows(predictions, "event_id"), "sample")
+        for name, model in fitted.items():
+            save_model(model, f"{target}/models/{name}")
+            shown = ev.prediction_sample(sample, label, prediction=columns[name])
+            write_report(shown, f"{target}/predictions_sample/{name}")
+            if hasattr(model.stages[-1], "featureImportances"):
+                importance = ev.feature_importance(model, data.test)
+                write_report(importance, f"{target}/feature_importance/{name}")
+    comparison = ev.comparison_table(cleaned.sparkSession, rows)
     write_report(comparison, f"{target}/metrics_comparison_csv")
     write_report(comparison, f"{target}/metrics_comparison_json", "json")
-    sample = materialize(ev.first_rows(predictions, "event_id"), "sample")
-    for name, model in fitted.items():
-        save_model(model, f"{target}/models/{name}")
-        shown = ev.prediction_sample(sample, label, prediction=columns[name])
-        write_report(shown, f"{target}/predictions_sample/{name}")
-        if hasattr(model.stages[-1], "featureImportances"):
-            write_report(
-                ev.feature_importance(model, data.test), f"{target}/feature_importance/{name}"
-            )
     return comparison
 
 
@@ -192,9 +203,8 @@ def compare_job(
     cleaned: DataFrame, label: Label, target: str, preset: str = "mean", parallelism: int = 1
 ) -> DataFrame:
     """Train the six models; save models, samples, importances and the comparison."""
-    data = prepare_means(cleaned, label, written=True)
     models = {k: mean_model(k, label, preset) for k in KINDS}
-    return _save_comparison(data, label, fit_all(data.train, models, parallelism), target)
+    return _fit_and_save(cleaned, label, target, models, parallelism)
 
 
 def sweep_job(
@@ -205,6 +215,5 @@ def sweep_job(
     parallelism: int = 1,
 ) -> DataFrame:
     """Train a parameter grid and save the same outputs as :func:`compare_job`."""
-    data = prepare_means(cleaned, label, written=True)
     models = {n: mean_model(kind, label, **params) for n, (kind, params) in grid.items()}
-    return _save_comparison(data, label, fit_all(data.train, models, parallelism), target)
+    return _fit_and_save(cleaned, label, target, models, parallelism)

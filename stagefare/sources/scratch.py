@@ -30,10 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def app_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/stagefare/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing uses yet."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark).rstrip('/')}/stagefare/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{app_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -43,7 +47,18 @@ def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a written table is complete."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    files, marker = _hadoop(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables this application wrote, once nothing reads them."""
+    files, folder = _hadoop(spark, app_dir(spark))
+    files.delete(folder, True)

@@ -183,3 +183,11 @@ def test_compare_job_saves_everything(spark, known, tmp_path):
     assert spark.read.csv(f"{tmp_path}/c/predictions_sample/gbt", header=True).count() == 100
     assert spark.read.csv(f"{tmp_path}/c/feature_importance/gbt", header=True).count() == 8
     assert load_model(f"{tmp_path}/c/models/lasso_regression").stages
+
+
+def test_sweep_job_runs_in_batches(spark, known, tmp_path, monkeypatch):
+    monkeypatch.setattr(training, "MODELS_PER_PASS", 2)
+    grid = {k: v for k, v in sweep_grid().items() if k in ("lr_1", "lasso_2", "dt_1")}
+    table = training.sweep_job(known, LABEL, f"{tmp_path}/s", grid)
+    assert {r.model for r in table.collect()} == set(grid)
+    assert spark.read.csv(f"{tmp_path}/s/predictions_sample/dt_1", header=True).count() == 100

@@ -196,3 +196,9 @@ def test_model_summary(tables):
     row = score.model_summary(tables).first()
     assert (row.total_artists, row.total_cities) == (4, 4)
     assert row.global_avg_max == round(mean(LISTED, 8), 2)
+
+
+def test_optional_fields_may_be_absent(asked, tables):
+    few = asked.select("request_id", "artist", "city", "state")
+    rows = score.score_batch(few, tables, None, AS_OF).collect()
+    assert len(rows) == 5 and all(r.note.startswith("Day: Sat") for r in rows)
