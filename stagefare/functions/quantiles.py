@@ -3,7 +3,7 @@
 The built-in exact ``percentile`` keeps every distinct value of a column in one
 aggregation buffer. Here each wanted quantile is first bracketed with the
 bounded-size ``approx_percentile`` sketch, the bracket being narrowed until it
-holds few rows; only those are sorted. All columns and quantiles share each pass
+holds few rows; only those are kept and sorted. All columns and quantiles share each pass
 over the data.
 """
 
@@ -13,10 +13,10 @@ import math
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GROUP_LIMIT = 100_000
+GROUP_LIMIT = 50_000
 
 
 def _accuracy(rows: int) -> int:
@@ -61,6 +61,14 @@ def _inner(bracket: tuple[str, float, float]) -> Column:
     return F.when(_within(bracket), F.col(bracket[0]))
 
 
+def _at_share(bracket: tuple[str, float, float], share: float) -> str:
+    """SQL of the value that reaches a share of a bracket's rows (it has no DataFrame form)."""
+    column, low, high = bracket
+    name = f"`{column}`"
+    inner = f"if({name} between double('{low!r}') and double('{high!r}'), {name}, null)"
+    return f"percentile_disc({share!r}D) within group (order by {inner})"
+
+
 def _number(column: str) -> Column:
     """The column as double, with NaN as a missing value."""
     value = F.col(column).cast("double")
@@ -131,25 +139,13 @@ def _pick(values: DataFrame, targets: list[_Target]) -> dict[tuple[str, float],
     """Read the wanted ranks from the sorted distinct values of each bracket."""
     if not targets:
         return {}
-    number = {b: i for i, b in enumerate({t.bracket: None for t in targets})}
-    entries = [
-        F.when(_within(b), F.struct(F.lit(i).alias("bracket"), F.col(b[0]).alias("value")))
-        for b, i in number.items()
-    ]
-    counted = (
-        values.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.bracket", "e.value")
-        .agg(F.count("*").alias("n"))
-    )
-    running = Window.partitionBy("bracket").orderBy("value")
-    ranked = counted.withColumn("upto", F.sum("n").over(running))
     picks = []
     for i, t in enumerate(targets):
-        here = F.col("bracket") == number[t.bracket]
         for name, rank in (("lower", t.rank), ("upper", t.upper_rank)):
-            reached = here & (F.col("upto") > rank - t.below)
-            picks.append(F.min(F.when(reached, F.col("value"))).alias(f"{name}{i}"))
-    row = ranked.agg(*picks).first()
+            # The share that lies in the middle of the rank's own step.
+            share = (rank - t.below + 0.5) / t.inside
+            picks.append(F.expr(_at_share(t.bracket, share)).alias(f"{name}{i}"))
+    row = values.agg(*picks).first()
     result = {}
     for i, t in enumerate(targets):
         lower, upper = row[f"lower{i}"], row[f"upper{i}"]
