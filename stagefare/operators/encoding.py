@@ -114,6 +114,11 @@ class MeanEncoder:
         return MeanEncoding.of(materialize(table, "encoding"), self.label, self.dims)
 
 
+def with_joint_key(df: DataFrame, columns: tuple[str, ...], name: str) -> DataFrame:
+    """Add a category made of several columns, to keep cities of the same name apart."""
+    return df.withColumn(name, F.concat_ws(", ", *columns))
+
+
 def save_encoding(encoding: MeanEncoding, path: str) -> None:
     encoding.table.write.mode("overwrite").partitionBy("dim").parquet(path)
 

@@ -142,6 +142,23 @@ def test_read_raw_checks_columns(spark, tmp_path):
         read_raw(spark, f"{tmp_path}/few")
 
 
+def test_inferred_types_clean_to_the_same(spark, tmp_path):
+    raw = listings(
+        spark,
+        {"TM_id": "1", "artists": "['A']", "date": "2024-06-15", "TM_max": "10.5", "TM_min": "4",
+         "SG_listing_count": "3.0", "spotify_popularity": "64", "spotify_followers": "[5, 6]",
+         "presale_date_start": "2024-01-02 10:00:00"},
+        {"TM_id": "2", "artists": "['A', 'B']", "date": "2024-06-16", "TM_max": "7"},
+    )
+    write_rows(raw, f"{tmp_path}/raw")
+    plain = clean_listings(read_raw(spark, f"{tmp_path}/raw")).orderBy("tm_max_price").collect()
+    typed = clean_listings(read_raw(spark, f"{tmp_path}/raw", infer=True)).orderBy("tm_max_price").collect()
+    for a, b in zip(plain, typed):
+        for name in ("artist", "event_date", "price_range", "sg_listing_count", "spotify_popularity",
+                     "spotify_followers", "presale_start", "has_secondary_market", "weekday"):
+            assert a[name] == b[name], name
+
+
 def test_partition_pruning(spark, tmp_path):
     rows = [("1", 2023, 5), ("2", 2024, 5), ("3", 2024, 6)]
     write_clean(spark.createDataFrame(rows, "event_id string, year int, month int"), f"{tmp_path}/t")

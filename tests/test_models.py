@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stagefare.columns import MAX_PRICE, MEAN_FEATURES, MIN_PRICE, Label
 from stagefare.operators import evaluate as ev
-from stagefare.operators.encoding import MeanEncoder, load_encoding, save_encoding
+from stagefare.operators.encoding import MeanEncoder, load_encoding, save_encoding, with_joint_key
 from stagefare.operators.features import dense_assembler
 from stagefare.operators.regressors import KINDS, make_regressor, sweep_grid
 from stagefare.operators.rows import random_split, valid_label
@@ -64,6 +64,14 @@ def test_encoding_leave_one_out(spark):
     assert got == {10.0: 20.0, 20.0: 10.0, 60.0: 30.0}
 
 
+def test_joint_key_keeps_equal_names_apart(spark):
+    rows = [("X", "A", 10.0), ("X", "B", 30.0)]
+    df = with_joint_key(spark.createDataFrame(rows, "city string, state string, y double"), ("city", "state"), "place")
+    encoding = MeanEncoder(LABEL, ("city", "place")).fit(df)
+    got = [(r.city_avg_price, r.place_avg_price) for r in encoding.transform(df).orderBy("y").collect()]
+    assert got == [(20.0, 10.0), (20.0, 30.0)]
+
+
 def test_encoding_saved_and_loaded(spark, data, tmp_path):
     save_encoding(data.encoding, f"{tmp_path}/map")
     back = load_encoding(spark, f"{tmp_path}/map", LABEL)
