@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op9_jaccard, op10_chat
+from . import op4_repeats, op9_jaccard, op10_chat
 from .tables import read
 
 # The conversation that the check adds: control strings inside texts.
 _TRICKY = "\\### Assistant: </turn> ok"
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_repeats.remove_repeats(read(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_jaccard.cluster(read(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_substring_dedup": op4_substring_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_formatting": op10_chat_formatting,
 }
