@@ -135,17 +135,15 @@ def anchors(found: Words, names: np.ndarray, spans: _Spans) -> np.ndarray:
         inside = (level.low >= level.first) & (level.high <= level.last) & (level.high - level.low <= WINDOW)
         low, high = level.low[inside], level.high[inside]
         name = mix(level.name[inside] + spans.name(low, high)) | np.uint64(1)
-        start = np.maximum(high - WINDOW, level.first[inside])
         end = np.minimum(low, level.last[inside] - WINDOW)
+        start = level.first[inside]
         least = np.full(n, np.iinfo(np.uint64).max)
-        step = 0
         # Contexts of one round end at different words, so each step writes to different windows.
-        while len(start):
-            going = start + step <= end
-            start, end, name = start[going], end[going], name[going]
-            at = start + step
-            least[at] = np.minimum(least[at], name)
-            step += 1
+        for step in range(WINDOW):
+            at = high - WINDOW + step
+            going = (at >= start) & (at <= end)
+            at = at[going]
+            least[at] = np.minimum(least[at], name[going])
         new = ~covered & (least != np.iinfo(np.uint64).max)
         best[new] = least[new]
         covered |= new
@@ -193,10 +191,13 @@ def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             spans = _Spans(names, _BASES[0])
             anchor, starts = anchors(found, names, spans), window_starts(found)
             ids = np.asarray(block.column("doc_id"))
+            chosen = []
             for row, shared in _rows_with_list(block, "anchors"):
                 a, b = found.bounds[row], found.bounds[row + 1]
-                anchor[a:b][~(starts[a:b] & np.isin(anchor[a:b], shared))] = 0
-            at = np.flatnonzero(anchor)
+                at = a + np.flatnonzero(starts[a:b] & np.isin(anchor[a:b], shared))
+                # A window that a document repeats counts once.
+                chosen.append(at[np.unique(spans.name(at, at + WINDOW), return_index=True)[1]])
+            at = np.concatenate([*chosen, np.zeros(0, np.int64)])
             one, two = _window_names(names, spans, at)
             doc = ids[np.searchsorted(found.bounds, at, side="right") - 1]
             yield pa.RecordBatch.from_arrays(
