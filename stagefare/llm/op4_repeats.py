@@ -121,6 +121,8 @@ def window_starts(found: Words) -> np.ndarray:
 def anchors(found: Words, names: np.ndarray, spans: _Spans) -> np.ndarray:
     """The anchor of the window at each word; meaningless where none starts."""
     n = len(names)
+    if n == 0:
+        return names
     counts = np.diff(found.bounds)
     first, last = np.repeat(found.bounds[:-1], counts), np.repeat(found.bounds[1:], counts)
     place = np.arange(n)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op4_repeats, op9_jaccard, op10_chat
+from . import op4_repeats, op6_packing, op7_store, op9_jaccard, op10_chat
 from .tables import read
 
 # The conversation that the check adds: control strings inside texts.
@@ -18,6 +18,14 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_repeats.remove_repeats(read(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
 
+def op6_packing_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_packing.pack(read(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_store.round_trip(read(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_jaccard.cluster(read(spark, sf_dir, "documents"))
 
@@ -36,6 +44,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_packing_tiers": op6_packing_tiers,
+    "op7_token_store": op7_token_store,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_formatting": op10_chat_formatting,
 }

@@ -36,12 +36,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def blocks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with at most BLOCK_BYTES of text each, or one row."""
+def blocks(batch: pa.RecordBatch, column: str = "text", most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``most`` bytes of text each, or one row."""
     size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
     first, total = 0, 0
     for row, n in enumerate(size.tolist()):
-        if total and total + n > BLOCK_BYTES:
+        if total and total + n > most:
             yield batch.slice(first, row - first)
             first, total = row, 0
         total += n
