@@ -7,7 +7,7 @@ Files in one folder of the shared store, all written and read by Spark:
   with the documents' keys and lengths. A file holds few blocks, so reading one at a time
   bounds a task's memory.
 * ``index``: keys are dealt to buckets of about BUCKET_KEYS by hash. A row is one bucket:
-  a minimal perfect hash of its keys (keys fall into small groups; each group has a displacement that
+  its seed, a minimal perfect hash of its keys (keys fall into small groups; each group has a displacement that
   sends its keys to slots of their own), and by slot a 32-bit fingerprint of the key, the start of
   the key's ids in the whole output, their number and the number of rows with that key.
 
@@ -90,53 +90,59 @@ def _documents(payload: DataFrame) -> DataFrame:
 
 
 class PerfectHash:
-    """A minimal perfect hash of the distinct keys of one bucket."""
+    """A minimal perfect hash of the distinct keys of one bucket.
 
-    def __init__(self, size: int, displacements: np.ndarray) -> None:
-        self.size, self.displacements = size, displacements
+    Two keys of a group may hash alike in all that a displacement could part them by; such a
+    bucket, or one with a group that finds no place in TURNS turns, is built with another seed.
+    """
+
+    TURNS = 32
+
+    def __init__(self, size: int, seed: int, displacements: np.ndarray) -> None:
+        self.size, self.seed, self.displacements = size, seed, displacements
 
-    @staticmethod
-    def _parts(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        at = mix(keys * _SLOT + np.uint64(1)) % np.uint64(size)
-        step = mix(keys * _STEP + np.uint64(2)) % np.uint64(size)
-        return at.astype(np.int64), step.astype(np.int64)
+    def _hash(self, keys: np.ndarray, salt: np.uint64, count: int) -> np.ndarray:
+        return (mix(mix(keys * salt + np.uint64(self.seed)) + salt) % np.uint64(count)).astype(np.int64)
 
-    @staticmethod
-    def _groups(keys: np.ndarray, count: int) -> np.ndarray:
-        return (mix(keys * _GROUP + np.uint64(3)) % np.uint64(count)).astype(np.int64)
+    def _parts(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        groups = self._hash(keys, _GROUP, len(self.displacements))
+        return groups, self._hash(keys, _SLOT, self.size), self._hash(keys, _STEP, self.size)
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
-        size = len(keys)
-        count = -(-size // GROUP_KEYS)
-        at, step = cls._parts(keys, size)
-        group = cls._groups(keys, count)
+        seed = 1
+        while True:
+            table = cls(len(keys), seed, np.zeros(-(-len(keys) // GROUP_KEYS), np.uint32))
+            if table._place(keys):
+                return table
+            seed += 1
+
+    def _place(self, keys: np.ndarray) -> bool:
+        group, at, step = self._parts(keys)
         order = np.argsort(group, kind="stable")
+        count = len(self.displacements)
         members = np.split(order, np.searchsorted(group[order], np.arange(1, count)))
-        found = np.zeros(count, np.uint32)
-        free = np.ones(size, bool)
-        shifts = np.arange(size)
+        free, shifts = np.ones(self.size, bool), np.arange(self.size)
         for g in sorted(range(count), key=lambda g: -len(members[g])):
             own = members[g]
-            if not len(own):
-                break
-            turn = 0
-            while True:
+            for turn in range(self.TURNS):
                 # All shifts of this turn at once; a displacement is turn * size + shift.
-                slot = (at[own] + turn * step[own]) % size
-                if len(np.unique(slot)) == len(own):
-                    good = free[(slot[None, :] + shifts[:, None]) % size].all(axis=1)
-                    shift = int(np.argmax(good))
-                    if good[shift]:
-                        break
-                turn += 1
-            found[g] = turn * size + shift
-            free[(slot + shift) % size] = False
-        return cls(size, found)
+                slot = (at[own] + turn * step[own]) % self.size
+                if len(set(slot.tolist())) < len(own):
+                    continue
+                good = free[(slot[None, :] + shifts[:, None]) % self.size].all(axis=1)
+                shift = int(np.argmax(good))
+                if good[shift]:
+                    self.displacements[g] = turn * self.size + shift
+                    free[(slot + shift) % self.size] = False
+                    break
+            else:
+                return False
+        return True
 
     def slots(self, keys: np.ndarray) -> np.ndarray:
-        at, step = self._parts(keys, self.size)
-        turn, shift = np.divmod(self.displacements[self._groups(keys, len(self.displacements))].astype(np.int64), self.size)
+        group, at, step = self._parts(keys)
+        turn, shift = np.divmod(self.displacements[group].astype(np.int64), self.size)
         return (at + turn * step + shift) % self.size
 
 
@@ -144,12 +150,12 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
     return (mix(keys * _MARK + np.uint64(4)) >> np.uint64(32)).astype(np.uint32)
 
 
-INDEX = "bucket long, displacements binary, marks binary, starts binary, sizes binary, counts binary"
+INDEX = "bucket long, seed long, displacements binary, marks binary, starts binary, sizes binary, counts binary"
 
 
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns: list[list] = [[] for _ in range(6)]
+        columns: list[list] = [[] for _ in range(7)]
         for row in range(batch.num_rows):
             entries = batch.column("entries")[row].values
             keys, starts, sizes, counts = (np.asarray(entries.field(k)) for k in range(4))
@@ -158,9 +164,10 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.argsort(table.slots(keys))
             packed = (table.displacements, fingerprints(keys)[order], starts[order], sizes[order], counts[order])
             columns[0].append(batch.column("bucket")[row].as_py())
-            for column, values, kind in zip(columns[1:], packed, ("<u4", "<u4", "<i8", "<i8", "<i8"), strict=True):
+            columns[1].append(table.seed)
+            for column, values, kind in zip(columns[2:], packed, ("<u4", "<u4", "<i8", "<i8", "<i8"), strict=True):
                 column.append(values.astype(kind).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=[p.split()[0] for p in INDEX.split(", ")])
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.binary()) for c in columns[2:])], names=[p.split()[0] for p in INDEX.split(", ")])
 
 
 def _bucket(buckets: int):
@@ -197,14 +204,15 @@ def look_up(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
             for row in range(batch.num_rows):
                 held = {c: np.frombuffer(batch.column(c)[row].as_py(), kind) for c, kind in (("displacements", "<u4"), ("marks", "<u4"), ("starts", "<i8"), ("sizes", "<i8"), ("counts", "<i8"))}
                 wanted = np.asarray(batch.column("asked")[row].values).view(np.uint64)
-                slot = PerfectHash(len(held["marks"]), held["displacements"]).slots(wanted)
+                table = PerfectHash(len(held["marks"]), batch.column("seed")[row].as_py(), held["displacements"])
+                slot = table.slots(wanted)
                 there = held["marks"][slot] == fingerprints(wanted)
                 slot = slot[there]
                 parts.append((wanted[there].view(np.int64), held["starts"][slot], held["sizes"][slot], held["counts"][slot]))
             arrays = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "size", "count"])
 
-    joined = asked.join(index, "bucket").select("asked", "displacements", "marks", "starts", "sizes", "counts")
+    joined = asked.join(index, "bucket").select("asked", "seed", "displacements", "marks", "starts", "sizes", "counts")
     return joined.mapInArrow(found, "doc_id long, start long, size long, count long")
 
 

@@ -130,4 +130,12 @@ def test_look_up_knows_what_is_there(spark, tmp_path):
 def test_perfect_hash_is_minimal(size):
     r = random.Random(size)
     keys = np.array(sorted({r.randrange(2**63) for _ in range(size)}), np.uint64)
-    assert sorted(op7_store.PerfectHash.build(keys).slots(keys).tolist()) == list(range(size))
+    for shift in range(20 if size < 100 else 3):
+        own = keys + np.uint64(shift)
+        assert sorted(op7_store.PerfectHash.build(own).slots(own).tolist()) == list(range(size))
+
+
+def test_perfect_hash_of_many_buckets():
+    for first in range(0, 400_000, 1000):
+        keys = np.arange(first, first + 1000, dtype=np.uint64)
+        assert len(np.unique(op7_store.PerfectHash.build(keys).slots(keys))) == 1000
