@@ -39,7 +39,7 @@ END_ID = 1
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
-    " offset long, tier int, step long, ids array<long>"
+    " offset long, tier int, step long, ids array<int>"
 )
 
 # A piece: the number of its document in the block, where it starts there, and its length.
@@ -161,10 +161,10 @@ class _Packer:
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
         if self.with_ids:
             ends = np.cumsum([0, *map(len, kept)], dtype=np.int32)
-            flat = np.concatenate([*kept, np.zeros(0, np.uint32)]).astype(np.int64)
+            flat = np.concatenate([*kept, np.zeros(0, np.uint32)]).astype(np.int32)
             arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
         else:
-            arrays.append(pa.nulls(len(columns[0]), pa.list_(pa.int64())))
+            arrays.append(pa.nulls(len(columns[0]), pa.list_(pa.int32())))
         names = [part.split()[0] for part in SCHEMA.split(",")]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 

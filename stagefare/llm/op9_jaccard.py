@@ -216,3 +216,11 @@ def cluster(docs: DataFrame) -> DataFrame:
     return sketched.join(found, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents with all their columns, of each component only the one with its least ``doc_id``."""
+    gone = cluster(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = materialize(gone, "near-copies")
+    small = gone.count() * 64 <= BROADCAST_LIMIT_BYTES
+    return docs.join(F.broadcast(gone) if small else gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)

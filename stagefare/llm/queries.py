@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op4_repeats, op6_packing, op7_store, op9_jaccard, op10_chat
+from . import op1_pii, op2_toxicity, op3_decontaminate, op4_repeats, op5_language, op6_packing, op7_store, op8_embeddings, op9_jaccard, op10_chat
 from .tables import read
 
 # The conversation that the check adds: control strings inside texts.
 _TRICKY = "\\### Assistant: </turn> ok"
 
 
+def op1_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_pii.find(read(spark, sf_dir, "documents"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op2_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_toxicity.rate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_language.identify(read(spark, sf_dir, "documents"))
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_embeddings.cluster(read(spark, sf_dir, "embeddings"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_repeats.remove_repeats(read(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
@@ -43,6 +63,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_boosting": op1_pii_boosting,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op2_toxicity_fm": op2_toxicity_fm,
+    "op5_language_id": op5_language_id,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_packing_tiers": op6_packing_tiers,
     "op7_token_store": op7_token_store,
