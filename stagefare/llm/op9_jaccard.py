@@ -14,7 +14,7 @@ return, A-Z in lower case); a shorter text counts as one shingle. Documents link
    are the join keys.
 3. Texts with equal sets are one class, of which the least document goes through the join.
 4. Within a key's bucket, members are verified against hubs only: in round ``r`` the next
-   ``2 ** r`` members against all later ones *of another component so far*. Rounds go on until
+   ``4 ** r`` members against all later ones *of another component so far*. Rounds go on until
    no bucket holds an unverified pair of different components, so components are exact,
    while a bucket of mutual near copies costs one row per member.
 5. Pairs are verified on their texts, exactly but for equal 64-bit hashes of shingles.
@@ -173,7 +173,7 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
     links = _verify(docs, materialize(pairs, "pairs")).union(copies)
     links = materialize(links, "jaccard-links")
     found = components(links)
-    first, count = 1, 2
+    first, count = 1, 4
     rest = members.select("key", "rep")
     while True:
         # A bucket with one component has nothing left to find; nor has one of hubs only.
@@ -204,7 +204,7 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
         if not pairs.isEmpty():
             links = materialize(links.union(_verify(docs, pairs)), "jaccard-links")
             found = components(links)
-        rest, first, count = labelled.select("key", "rep"), first + count, 2 * count
+        rest, first, count = labelled.select("key", "rep"), first + count, 4 * count
 
 
 def cluster(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,10 @@ import pyarrow.compute as pc
 import xxhash
 
 # A block holds at most this much text, or one document: it bounds the memory of a task.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+
+# Workers live on between tasks: memory that Arrow frees should go back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

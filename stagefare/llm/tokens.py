@@ -25,10 +25,10 @@ from .text import blocks, utf8
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 # Text encoded at a time: with more, fewer pieces are met again in another block.
-ENCODED_BYTES = 6 << 20
+ENCODED_BYTES = 3 << 20
 
 # Remembered pieces per worker; beyond it the memory starts afresh.
-_REMEMBERED = 800_000
+_REMEMBERED = 250_000
 
 # Code points whose classes are taken from the table: up to Latin Extended-B, Greek and
 # Cyrillic, and General Punctuation to currency signs.
