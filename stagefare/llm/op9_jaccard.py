@@ -13,8 +13,9 @@ return, A-Z in lower case); a shorter text counts as one shingle. Documents link
    pigeonhole principle linked sets agree in at least one of the ``d + 1`` words. The words
    are the join keys.
 3. Texts with equal sets are one class, of which the least document goes through the join.
-4. Within a key's bucket, members are verified against hubs only: in round ``r`` the next
-   ``4 ** r`` members against all later ones *of another component so far*. Rounds go on until
+4. Members rank by how many members their buckets hold in all, so the text from which a group of near copies
+   came ranks first. Within a key's bucket, members are verified against hubs only: first the one that
+   ranks first, in round ``r`` the next ``4 ** r`` members against all later ones *of another component so far*. Rounds go on until
    no bucket holds an unverified pair of different components, so components are exact,
    while a bucket of mutual near copies costs one row per member.
 5. Pairs are verified on their texts, exactly but for equal 64-bit hashes of shingles.
@@ -42,6 +43,7 @@ from .tables import materialize, texts
 from .text import blocks, mix, words
 
 SHINGLE = 3
+_SIZES_FIT = "10 * least(size, hub_size) >= 9 * greatest(size, hub_size)"
 _SET = ("set_a", "set_b", "n_shingles")
 _ODD = np.array([0x8CB92BA72F3D8DD7, 0xD1342543DE82EF95, 0xF1357AEA2E62A9C5], dtype=np.uint64)
 
@@ -158,11 +160,18 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
     named = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(*_SET)
     # Equal sets have equal keys, so any will do.
     heads = named.agg(F.min("doc_id").alias("rep"), F.any_value("keys").alias("keys"))
-    keyed = heads.select("rep", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub < last")
-    members = materialize(keyed.join(shared.select("key", "hub"), "key"), "members")
-    # Round 0: everyone in a bucket against its least member.
-    pairs = members.filter("rep > hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    keyed = heads.select("rep", F.col("n_shingles").alias("size"), F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1")
+    members = materialize(keyed.join(shared, "key"), "members")
+    # The member that shares most with others stands nearest to the middle of its group.
+    weight = members.groupBy("rep").agg(F.sum("held").alias("weight"))
+    members = members.join(weight, "rep").withColumn("rank", F.struct(-F.col("weight"), F.col("rep")))
+    members = materialize(members.select("key", "rep", "size", "rank"), "members")
+    # Round 0: everyone in a bucket against the first by rank.
+    hub = members.groupBy("key").agg(F.min(F.struct("rank", "rep", "size")).alias("hub"))
+    hub = hub.select("key", F.col("hub.rep").alias("b"), F.col("hub.size").alias("hub_size"))
+    pairs = members.join(hub, "key").filter("rep <> b").filter(_SIZES_FIT)
+    pairs = pairs.select(F.col("rep").alias("a"), "b").distinct()
     copies = (
         sketched.select("doc_id", *_SET)
         .join(named.agg(F.min("doc_id").alias("rep")), [*_SET])
@@ -174,11 +183,11 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
     links = materialize(links, "jaccard-links")
     found = components(links)
     first, count = 1, 4
-    rest = members.select("key", "rep")
+    rest = members
     while True:
         # A bucket with one component has nothing left to find; nor has one of hubs only.
         labelled = rest.join(found.withColumnRenamed("vertex", "rep"), "rep", "left").select(
-            "key", "rep", F.coalesce("component", "rep").alias("component")
+            "key", "rep", "size", "rank", F.coalesce("component", "rep").alias("component")
         )
         open_keys = (
             labelled.groupBy("key")
@@ -189,14 +198,19 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
         labelled = materialize(labelled.join(open_keys, "key"), "open")
         if labelled.isEmpty():
             return links, found
-        place = F.row_number().over(Window.partitionBy("key").orderBy("rep")) - 1
+        place = F.row_number().over(Window.partitionBy("key").orderBy("rank")) - 1
         placed = labelled.withColumn("place", place)
         hubs = placed.filter(F.col("place").between(first, first + count - 1)).select(
-            "key", F.col("rep").alias("b"), F.col("component").alias("hub_component"), F.col("place").alias("hub_place")
+            "key",
+            F.col("rep").alias("b"),
+            F.col("size").alias("hub_size"),
+            F.col("component").alias("hub_component"),
+            F.col("place").alias("hub_place"),
         )
         pairs = (
             placed.join(hubs, "key")
             .filter("place > hub_place and component <> hub_component")
+            .filter(_SIZES_FIT)
             .select(F.col("rep").alias("a"), "b")
             .distinct()
         )
@@ -204,7 +218,7 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
         if not pairs.isEmpty():
             links = materialize(links.union(_verify(docs, pairs)), "jaccard-links")
             found = components(links)
-        rest, first, count = labelled.select("key", "rep"), first + count, 4 * count
+        rest, first, count = labelled.drop("component"), first + count, 4 * count
 
 
 def cluster(docs: DataFrame) -> DataFrame:
