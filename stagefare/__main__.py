@@ -60,7 +60,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         requests = spark.read.csv(args.input, header=True)
         raw = read_raw(spark, args.listings)
         scoring.score_job(requests, raw, args.max_model, args.min_model, args.output, args.as_of)
-        return {"answers": spark.read.parquet(args.output).limit(20)}
+        rejected = spark.read.parquet(f"{args.output}_rejected").groupBy("missing").count()
+        return {"answers": spark.read.parquet(args.output).limit(20), "rejected": rejected}
     cleaned = read_clean(spark, args.input)
     if args.job == "report":
         return cleaning.report_job(cleaned, args.output)
@@ -78,11 +79,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
 def main() -> None:
     args = parse()
     spark = build_session(args.job)
-    for name, table in run(spark, args).items():
-        print(name)
-        table.show(truncate=False)
-    clear(spark)
-    spark.stop()
+    try:
+        for name, table in run(spark, args).items():
+            print(name)
+            table.show(truncate=False)
+    finally:
+        clear(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -25,6 +25,6 @@ def weekday_name(weekday: Column) -> Column:
 
 
 def full_date(text: Column) -> Column:
-    """A date only from a whole ``y-m-d`` text; partial or other texts give null."""
-    whole = F.trim(text).rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
-    return F.when(whole, F.trim(text).try_cast("date"))
+    """A date only from a whole ``y-m-d`` text; partial, padded or other texts give null."""
+    whole = text.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}\z")
+    return F.when(whole, text.try_cast("date"))

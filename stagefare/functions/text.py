@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Fixed value: a list of exactly one single-quoted element.
 SINGLE_ITEM = r"\['([^']+)'\]"
 
+# What a cast of text to int reads: a sign, digits, and a fraction that it cuts.
+PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -33,10 +36,13 @@ def first_list_item(col: Column | str, mode: str = "strict_single") -> Column:
 def to_int(col: Column | str) -> Column:
     """Text to int; ``7.0`` gives 7, anything unreadable or out of range null.
 
-    Read as a double, which holds every int exactly: a failed ``try_cast`` costs
-    far more than one that succeeds, and counts often stand as ``7.0``.
+    Only a sign, digits and a fraction are read: ``1e3``, ``70d`` and ``0x1p3`` are no ints. Read as
+    a double, which holds every int exactly: a failed ``try_cast`` costs far more than one that
+    succeeds, and counts often stand as ``7.0``. Columns that are numbers already are cast.
     """
-    return _col(col).try_cast("double").try_cast("int")
+    c = _col(col)
+    plain = c.cast("string").rlike(PLAIN_NUMBER) | (F.typeof(c) != "string")
+    return F.when(plain, c.try_cast("double")).try_cast("int")
 
 
 def first_number_in_list(col: Column | str) -> Column:

@@ -130,6 +130,11 @@ def valid_requests(requests: DataFrame) -> DataFrame:
     return validate(requests).filter(F.col("missing").isNull()).drop("missing")
 
 
+def rejected_requests(requests: DataFrame) -> DataFrame:
+    """The requests that cannot be scored, with ``missing``, the fields they lack."""
+    return validate(requests).filter(F.col("missing").isNotNull())
+
+
 def add_calendar(requests: DataFrame, as_of: str, monday_zero: bool = False) -> DataFrame:
     """Day of the request, ``as_of`` where its date is absent or unreadable.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stagefare.columns import MAX_PRICE, MIN_PRICE
 from stagefare.operators.encoding import load_encoding
 from stagefare.operators.evaluate import importance_values
-from stagefare.operators.score import ScoringTables, score_batch, score_features
+from stagefare.operators.score import ScoringTables, rejected_requests, score_batch, score_features
 from stagefare.sources.models import load_model
 
 
@@ -21,7 +21,11 @@ def load_tables(spark: SparkSession, raw: DataFrame, max_dir: str, min_dir: str)
 def score_job(
     requests: DataFrame, raw: DataFrame, max_dir: str, min_dir: str, target: str, as_of: str
 ) -> ScoringTables:
-    """Score ``requests`` with the models below both folders; answers as Parquet."""
+    """Score ``requests`` with the models below both folders.
+
+    Answers go to ``target`` as Parquet; requests that lack a required field go to
+    ``<target>_rejected`` with the reason, so every request is in one of the two.
+    """
     spark = requests.sparkSession
     tables = load_tables(spark, raw, max_dir, min_dir)
     models = load_model(f"{max_dir}/model"), load_model(f"{min_dir}/model")
@@ -34,4 +38,5 @@ def score_job(
     keep = tuple(c for c in requests.columns if c not in ("date", "genre"))
     answers = score_batch(requests, tables, models, as_of, importances, keep)
     answers.write.mode("overwrite").parquet(target)
+    rejected_requests(requests).write.mode("overwrite").parquet(f"{target}_rejected")
     return tables

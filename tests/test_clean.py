@@ -194,3 +194,13 @@ def test_clean_and_report_jobs(spark, tmp_path):
     assert summaries["summary_overall"].first().total_events == 5
     saved = spark.read.csv(f"{tmp_path}/reports/secondary_market_by_genre", header=True).first()
     assert float(saved.avg_premium_pct) == 50.0
+
+
+def test_to_int_reads_plain_numbers_only(spark):
+    from stagefare.functions.text import to_int
+
+    given = {"7.0": 7, "+5": 5, " 70": 70, "-3.9": -3, "1e3": None, "70d": None, "7f": None, "0x1p3": None, "": None, "NaN": None, "3000000000": None}
+    rows = spark.createDataFrame([(t,) for t in given], "t string").select("t", to_int("t").alias("n")).collect()
+    assert {r.t: r.n for r in rows} == given
+    wide = spark.createDataFrame([(12345678.0,)], "x double").select(to_int("x").alias("n")).first()
+    assert wide.n == 12345678

@@ -27,6 +27,12 @@ def test_clean_report_train_score(spark, sf_dir, tmp_path):
         "--min-model", tmp_path / "min", "--as-of", "2024-06-15",
     )
     assert answers["answers"].count() == 20
+    scored = spark.read.parquet(f"{tmp_path}/answers").count()
+    rejected = spark.read.parquet(f"{tmp_path}/answers_rejected")
+    asked = spark.read.csv(f"{tmp_path}/asked", header=True).count()
+    assert scored + rejected.count() == asked and rejected.count() > 0
+    assert rejected.filter("missing is null").count() == 0
+    assert {r["missing"] for r in answers["rejected"].collect()} == {r.missing for r in rejected.collect()}
 
 
 def test_clear_removes_only_own_tables(spark, tmp_path, monkeypatch):
