@@ -123,13 +123,19 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         bounds = [0, *cuts.tolist(), held.num_rows]
         done = bounds if batch is None else bounds[:-1]
+        found = []
         for a, b in zip(done[:-1], done[1:], strict=True):
             if b - a > 1:
                 part = held.slice(a, b - a)
                 x = np.asarray(part.column("embedding").flatten(), np.float64).reshape(b - a, -1)
                 codes = np.asarray(part.column("codes").flatten()).reshape(b - a, -1)
                 _, _, table, _, one, two = keys[:, a].tolist()
-                yield _compare(np.asarray(part.column("vec_id")), x, codes, np.asarray(part.column("chunk")), table, one == two)
+                rows = _compare(np.asarray(part.column("vec_id")), x, codes, np.asarray(part.column("chunk")), table, one == two)
+                if rows.num_rows:
+                    found.append(rows)
+        # Most buckets hold no near copies; one batch carries what the others found.
+        if found:
+            yield pa.concat_batches(found)
         held = held.slice(done[-1])
 
 
