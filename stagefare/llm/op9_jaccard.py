@@ -14,11 +14,14 @@ return, A-Z in lower case); a shorter text counts as one shingle. Documents link
    are the join keys.
 3. Texts with equal sets are one class, of which the least document goes through the join.
 4. Members rank by how many members their buckets hold in all, so the text from which a group of near copies
-   came ranks first. Within a key's bucket, members are verified against hubs only: first the one that
-   ranks first, in round ``r`` the next ``4 ** r`` members against all later ones *of another component so far*. Rounds go on until
-   no bucket holds an unverified pair of different components, so components are exact,
-   while a bucket of mutual near copies costs one row per member.
-5. Pairs are verified on their texts, exactly but for equal 64-bit hashes of shingles.
+   came ranks first. Every member of a bucket is verified against the bucket's first by rank,
+   its hub, which joins most groups at one row per member.
+5. Buckets that still hold several components are gathered by hub, each member once, and dealt into chunks.
+   A task takes a pair of chunks and compares whole sketches: only pairs whose Hamming distance allows a
+   link, and that nothing joins so far, are verified. What leaves a task is one link for each two components
+   it joined, never the candidates, so a group of texts just below the threshold costs comparisons, spread
+   over tasks, but no rows. Members of a bucket share a hub, so no pair is missed and components are exact.
+6. Pairs are verified on their texts, exactly but for equal 64-bit hashes of shingles.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; equal
 texts always link otherwise; a row with null ``doc_id`` keeps its row, with its own
@@ -33,7 +36,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagefare.functions.joins import BROADCAST_LIMIT_BYTES
@@ -44,6 +47,9 @@ from .text import blocks, mix, words
 
 SHINGLE = 3
 _SIZES_FIT = "10 * least(size, hub_size) >= 9 * greatest(size, hub_size)"
+# A chunk holds about so many texts, and shingles, of a group.
+CHUNK = 256
+CHUNK_SHINGLES = 1 << 17
 _SET = ("set_a", "set_b", "n_shingles")
 _ODD = np.array([0x8CB92BA72F3D8DD7, 0xD1342543DE82EF95, 0xF1357AEA2E62A9C5], dtype=np.uint64)
 
@@ -76,6 +82,14 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield whole[:0]
 
 
+def _sketch(shingles: np.ndarray, count: int) -> np.ndarray:
+    """``count`` words of 64 bits, in which every shingle has flipped one bit."""
+    word = ((shingles >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+    at = word.astype(np.int64) * 64 + (shingles & np.uint64(63)).astype(np.int64)
+    parity = (np.bincount(at, minlength=count * 64) & 1).astype(np.uint8)
+    return np.packbits(parity, bitorder="little").view(np.uint64)
+
+
 def _sketch_keys(shingles: np.ndarray) -> np.ndarray:
     """Join keys of a set: the words of its sketches for both bands it may have partners in."""
     n = len(shingles)
@@ -87,12 +101,8 @@ def _sketch_keys(shingles: np.ndarray) -> np.ndarray:
         if most == 0 or (band > own and 10 * n < 9 * bands[band]):
             continue
         count = most + 1
-        word = ((shingles >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-        at = word.astype(np.int64) * 64 + (shingles & np.uint64(63)).astype(np.int64)
-        parity = (np.bincount(at, minlength=count * 64) & 1).astype(np.uint8)
-        sketch = np.packbits(parity, bitorder="little").view(np.uint64)
         place = np.arange(count, dtype=np.uint64) + np.uint64((band << 32) + 1)
-        keys.append(mix(mix(place) + sketch))
+        keys.append(mix(mix(place) + _sketch(shingles, count)))
     return np.concatenate(keys) if keys else shingles[:0]
 
 
@@ -125,15 +135,17 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _linked(one: np.ndarray, two: np.ndarray) -> bool:
+    shared = len(np.intersect1d(one, two, assume_unique=True))
+    return shared > 0 and 100 * shared >= 90 * (len(one) + len(two) - shared)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of pairs ``(a, b, text, other)`` those that link."""
     for batch in batches:
         for block in blocks(batch):
-            links = []
             sets = zip(shingle_sets(block.column("text")), shingle_sets(block.column("other")), strict=True)
-            for one, two in sets:
-                shared = len(np.intersect1d(one, two, assume_unique=True))
-                links.append(shared > 0 and 100 * shared >= 90 * (len(one) + len(two) - shared))
+            links = [_linked(one, two) for one, two in sets]
             yield block.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
 
@@ -152,10 +164,91 @@ def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text", "other").mapInArrow(_verified, "a long, b long")
 
 
+def _joined(members: pa.RecordBatch) -> list[tuple[int, int]]:
+    """Links that join the components of one pair of chunks as far as its pairs link."""
+    found = []
+    sets = [one for part in blocks(members) for one in shingle_sets(part.column("text"))]
+    size = np.array([len(one) for one in sets])
+    sketches = np.stack([_sketch(one, 2 * int(size.max()) // 19 + 1) for one in sets])
+    rep, chunk = np.asarray(members.column("rep")), np.asarray(members.column("chunk"))
+    label = np.array(members.column("component"))
+    within = members.column("one")[0].as_py() == members.column("two")[0].as_py()
+    for i in range(len(sets) - 1):
+        could = (label != label[i]) & (10 * np.minimum(size, size[i]) >= 9 * np.maximum(size, size[i]))
+        if not within:
+            could &= chunk != chunk[i]
+        at = np.flatnonzero(could[i + 1 :]) + i + 1
+        apart = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+        for j in at[19 * apart <= size[at] + size[i]].tolist():
+            if label[j] != label[i] and _linked(sets[i], sets[j]):
+                found.append((rep[i], rep[j]))
+                label[label == label[j]] = label[i]
+    return found
+
+
+_PAIR = ("hub", "one", "two")
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of rows sorted by pair of chunks; a group never exceeds two chunks."""
+    held: list[pa.RecordBatch] = []
+    last = None
+
+    def links() -> pa.RecordBatch:
+        found = _joined(pa.concat_batches(held))
+        return pa.record_batch({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([np.asarray(batch.column(c)) for c in _PAIR])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            key = keys[:, start].tolist()
+            if held and key != last:
+                yield links()
+                held = []
+            last = key
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield links()
+
+
+def _links_between(docs: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
+    """Links that join the components that buckets still hold side by side."""
+    labelled = members.join(found.withColumnRenamed("vertex", "rep"), "rep", "left").select(
+        "key", "rep", "size", "rank", F.coalesce("component", "rep").alias("component")
+    )
+    # A bucket of one component has nothing left to find; one of two members was verified with its hub.
+    open_keys = (
+        labelled.groupBy("key")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("held"),
+            F.min(F.struct("rank", "rep"))["rep"].alias("hub"),
+        )
+        .filter("low < high and held > 2")
+        .select("key", "hub")
+    )
+    groups = labelled.join(open_keys, "key").groupBy("hub", "rep").agg(F.max("size").alias("size"), F.min("component").alias("component"))
+    groups = materialize(groups, "open")
+    chunks = groups.groupBy("hub").agg(
+        F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("size") / CHUNK_SHINGLES)).alias("chunks")
+    )
+    dealt = groups.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks"))
+    held = _only(docs, materialize(groups.select(F.col("rep").alias("doc_id")).distinct(), "named"))
+    dealt = dealt.join(held.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    pairs = pairs.withColumns({"one": F.least("chunk", "other"), "two": F.greatest("chunk", "other")})
+    pairs = pairs.select(*_PAIR, "chunk", "rep", "component", "text").repartition(*_PAIR).sortWithinPartitions(*_PAIR)
+    return pairs.mapInArrow(_compared, "a long, b long")
+
+
 def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(links, components)`` of all documents, given a written sketch table.
 
-    A copy is linked with the representative of its class only.
+    The links span the components: a copy is linked with the representative of its class only.
     """
     named = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(*_SET)
     # Equal sets have equal keys, so any will do.
@@ -167,7 +260,7 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
     weight = members.groupBy("rep").agg(F.sum("held").alias("weight"))
     members = members.join(weight, "rep").withColumn("rank", F.struct(-F.col("weight"), F.col("rep")))
     members = materialize(members.select("key", "rep", "size", "rank"), "members")
-    # Round 0: everyone in a bucket against the first by rank.
+    # Everyone in a bucket against the first by rank.
     hub = members.groupBy("key").agg(F.min(F.struct("rank", "rep", "size")).alias("hub"))
     hub = hub.select("key", F.col("hub.rep").alias("b"), F.col("hub.size").alias("hub_size"))
     pairs = members.join(hub, "key").filter("rep <> b").filter(_SIZES_FIT)
@@ -182,43 +275,8 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
     links = _verify(docs, materialize(pairs, "pairs")).union(copies)
     links = materialize(links, "jaccard-links")
     found = components(links)
-    first, count = 1, 4
-    rest = members
-    while True:
-        # A bucket with one component has nothing left to find; nor has one of hubs only.
-        labelled = rest.join(found.withColumnRenamed("vertex", "rep"), "rep", "left").select(
-            "key", "rep", "size", "rank", F.coalesce("component", "rep").alias("component")
-        )
-        open_keys = (
-            labelled.groupBy("key")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-            .filter((F.col("low") < F.col("high")) & (F.col("n") > first + 1))
-            .select("key")
-        )
-        labelled = materialize(labelled.join(open_keys, "key"), "open")
-        if labelled.isEmpty():
-            return links, found
-        place = F.row_number().over(Window.partitionBy("key").orderBy("rank")) - 1
-        placed = labelled.withColumn("place", place)
-        hubs = placed.filter(F.col("place").between(first, first + count - 1)).select(
-            "key",
-            F.col("rep").alias("b"),
-            F.col("size").alias("hub_size"),
-            F.col("component").alias("hub_component"),
-            F.col("place").alias("hub_place"),
-        )
-        pairs = (
-            placed.join(hubs, "key")
-            .filter("place > hub_place and component <> hub_component")
-            .filter(_SIZES_FIT)
-            .select(F.col("rep").alias("a"), "b")
-            .distinct()
-        )
-        pairs = materialize(pairs, "pairs")
-        if not pairs.isEmpty():
-            links = materialize(links.union(_verify(docs, pairs)), "jaccard-links")
-            found = components(links)
-        rest, first, count = labelled.drop("component"), first + count, 4 * count
+    links = materialize(links.union(_links_between(docs, members, found)), "jaccard-links")
+    return links, components(links)
 
 
 def cluster(docs: DataFrame) -> DataFrame:

@@ -14,9 +14,18 @@ from stagefare.sources.scratch import materialize
 __all__ = ["checksum", "materialize", "read", "ship_package", "texts"]
 
 
+_BATCH, _SPARK_DEFAULT, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 4 << 20
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, for operators that run on executors that know this package."""
+    """One of the given tables, for operators that run on executors that know this package.
+
+    Arrow batches are limited by bytes, unless the session says otherwise: texts can be long,
+    and a batch is held several times over in a task.
+    """
     ship_package(spark)
+    if spark.conf.get(_BATCH) == _SPARK_DEFAULT:
+        spark.conf.set(_BATCH, str(_BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

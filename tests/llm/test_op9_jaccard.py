@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import cases
+from stagefare.llm import op9_jaccard
 from stagefare.llm.op9_jaccard import cluster, shingle_sets  # noqa: F401
 from stagefare.llm.queries import op9_jaccard_join
 
@@ -70,3 +71,15 @@ def test_empty_and_null_ids(spark):
     got = sorted(map(tuple, cluster(cases.with_null_id(spark)).collect()), key=str)
     assert [r for r in got if r[0] is None] == [(None, 28, None)] * 2
     assert (1, 28, 1) in got and (2, 0, 2) in got
+
+
+def test_a_group_of_several_chunks_just_below_the_threshold(spark, monkeypatch):
+    """Most pairs share sketch words but do not link; the few links between chunks are found."""
+    monkeypatch.setattr(op9_jaccard, "CHUNK", 5)
+    base = cases.prose(4, 90, 10**6)
+    rows = [(k, cases.edited(base, k, 3)) for k in range(60)]
+    rows += [(1000 + k, cases.edited(t, 2000 + k, 1)) for k, t in rows[:20]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute(rows)
+    assert 5 < len({c for _, _, c in expected}) < 75
+    assert sorted(map(tuple, cluster(docs).collect())) == expected
