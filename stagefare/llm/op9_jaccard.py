@@ -157,10 +157,11 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links ``(a, b)`` among written pairs of document ids."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    held = _only(docs, materialize(ids, "named")).select("doc_id", "text")
-    one = held.select(F.col("doc_id").alias("a"), "text")
-    two = held.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
+    def held(end: str) -> DataFrame:
+        ids = materialize(pairs.select(F.col(end).alias("doc_id")).distinct(), "named")
+        return _only(docs, ids).select(F.col("doc_id").alias(end), "text")
+
+    one, two = held("a"), held("b").withColumnRenamed("text", "other")
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text", "other").mapInArrow(_verified, "a long, b long")
 
 
@@ -214,21 +215,20 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links()
 
 
-def _links_between(docs: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
+def _links_between(docs: DataFrame, ranked: DataFrame, found: DataFrame) -> DataFrame:
     """Links that join the components that buckets still hold side by side."""
-    labelled = members.join(found.withColumnRenamed("vertex", "rep"), "rep", "left").select(
-        "key", "rep", "size", "rank", F.coalesce("component", "rep").alias("component")
+    labelled = ranked.join(found.withColumnRenamed("vertex", "rep"), "rep", "left").select(
+        "key", "rep", "size", "weight", F.coalesce("component", "rep").alias("component")
     )
-    # A bucket of one component has nothing left to find; one of two members was verified with its hub.
+    # A bucket of one component has nothing left to find.
     open_keys = (
         labelled.groupBy("key")
         .agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
-            F.count("*").alias("held"),
-            F.min(F.struct("rank", "rep"))["rep"].alias("hub"),
+            F.min(F.struct(-F.col("weight"), "rep"))["rep"].alias("hub"),
         )
-        .filter("low < high and held > 2")
+        .filter("low < high")
         .select("key", "hub")
     )
     groups = labelled.join(open_keys, "key").groupBy("hub", "rep").agg(F.max("size").alias("size"), F.min("component").alias("component"))
@@ -252,19 +252,26 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
     """
     named = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(*_SET)
     # Equal sets have equal keys, so any will do.
-    heads = named.agg(F.min("doc_id").alias("rep"), F.any_value("keys").alias("keys"))
+    heads = materialize(named.agg(F.min("doc_id").alias("rep"), F.any_value("keys").alias("keys")), "heads")
     keyed = heads.select("rep", F.col("n_shingles").alias("size"), F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1")
-    members = materialize(keyed.join(shared, "key"), "members")
-    # The member that shares most with others stands nearest to the middle of its group.
-    weight = members.groupBy("rep").agg(F.sum("held").alias("weight"))
-    members = members.join(weight, "rep").withColumn("rank", F.struct(-F.col("weight"), F.col("rep")))
-    members = materialize(members.select("key", "rep", "size", "rank"), "members")
-    # Everyone in a bucket against the first by rank.
-    hub = members.groupBy("key").agg(F.min(F.struct("rank", "rep", "size")).alias("hub"))
+    shared = materialize(keyed.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1"), "shared")
+    small = shared.count() * 64 <= BROADCAST_LIMIT_BYTES
+    members = materialize(keyed.join(F.broadcast(shared) if small else shared.hint("merge"), "key"), "members")
+    # Most buckets hold two; these are pairs at once.
+    two = (
+        members.filter("held = 2")
+        .groupBy("key")
+        .agg(F.min("rep").alias("b"), F.max("rep").alias("a"), F.min("size").alias("size"), F.max("size").alias("hub_size"))
+        .filter(f"a <> b and {_SIZES_FIT}")
+    )
+    # In the others everyone goes against the one that shares most, as it stands nearest to the middle of its group.
+    weight = members.filter("held > 2").groupBy("rep").agg(F.sum("held").alias("weight"))
+    ranked = members.filter("held > 2").join(weight, "rep").select("key", "rep", "size", "weight")
+    ranked = materialize(ranked, "ranked")
+    hub = ranked.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "rep", "size")).alias("hub"))
     hub = hub.select("key", F.col("hub.rep").alias("b"), F.col("hub.size").alias("hub_size"))
-    pairs = members.join(hub, "key").filter("rep <> b").filter(_SIZES_FIT)
-    pairs = pairs.select(F.col("rep").alias("a"), "b").distinct()
+    many = ranked.join(hub, "key").filter("rep <> b").filter(_SIZES_FIT).withColumnRenamed("rep", "a")
+    pairs = two.select("a", "b").union(many.select("a", "b")).distinct()
     copies = (
         sketched.select("doc_id", *_SET)
         .join(named.agg(F.min("doc_id").alias("rep")), [*_SET])
@@ -275,7 +282,7 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
     links = _verify(docs, materialize(pairs, "pairs")).union(copies)
     links = materialize(links, "jaccard-links")
     found = components(links)
-    links = materialize(links.union(_links_between(docs, members, found)), "jaccard-links")
+    links = materialize(links.union(_links_between(docs, ranked, found)), "jaccard-links")
     return links, components(links)
 
 
