@@ -16,6 +16,7 @@ return, A-Z in lower case); a shorter text counts as one shingle. Documents link
 4. Members rank by how many members their buckets hold in all, so the text from which a group of near copies
    came ranks first. Every member of a bucket is verified against the bucket's first by rank,
    its hub, which joins most groups at one row per member.
+   Short sketches of BRIEF words drop most pairs that cannot link before texts are fetched.
 5. Buckets that still hold several components are gathered by hub, each member once, and dealt into chunks.
    A task takes a pair of chunks and compares whole sketches: only pairs whose Hamming distance allows a
    link, and that nothing joins so far, are verified. What leaves a task is one link for each two components
@@ -50,6 +51,8 @@ _SIZES_FIT = "10 * least(size, hub_size) >= 9 * greatest(size, hub_size)"
 # A chunk holds about so many texts, and shingles, of a group.
 CHUNK = 256
 CHUNK_SHINGLES = 1 << 17
+# Words of the short sketch that a pair must pass before its texts are fetched.
+BRIEF = 16
 _SET = ("set_a", "set_b", "n_shingles")
 _ODD = np.array([0x8CB92BA72F3D8DD7, 0xD1342543DE82EF95, 0xF1357AEA2E62A9C5], dtype=np.uint64)
 
@@ -106,21 +109,22 @@ def _sketch_keys(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(keys) if keys else shingles[:0]
 
 
-_SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>"
+_SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, brief array<long>"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("keys", pa.list_(pa.int64()))]
-    )
+    longs = pa.list_(pa.int64())
+    names = ("doc_id", "n_shingles", "set_a", "set_b", "keys", "brief")
+    schema = pa.schema(list(zip(names, [pa.int64()] * 4 + [longs] * 2, strict=True)))
     for batch in batches:
         for block in blocks(batch):
-            sizes, first, second, keys = [], [], [], []
+            sizes, first, second, keys, brief = [], [], [], [], []
             for shingles in shingle_sets(block.column("text")):
                 sizes.append(len(shingles))
                 first.append(int(np.add.reduce(shingles, dtype=np.uint64).view(np.int64)))
                 second.append(int(np.bitwise_xor.reduce(mix(shingles)).view(np.int64)))
                 keys.append(_sketch_keys(shingles) if len(shingles) else shingles)
+                brief.append(_sketch(shingles, BRIEF))
             ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
             flat = np.concatenate(keys).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -130,6 +134,10 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(first, pa.int64()),
                     pa.array(second, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(brief) + 1, dtype=np.int32) * BRIEF),
+                        pa.array(np.concatenate(brief).view(np.int64)),
+                    ),
                 ],
                 schema=schema,
             )
@@ -245,6 +253,19 @@ def _links_between(docs: DataFrame, ranked: DataFrame, found: DataFrame) -> Data
     return pairs.mapInArrow(_compared, "a long, b long")
 
 
+def _likely(sketched: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of written pairs whose short sketches differ in no more bits than a link allows."""
+    near = pairs
+    for end in ("a", "b"):
+        ids = materialize(pairs.select(F.col(end).alias("doc_id")).distinct(), "named")
+        held = _only(sketched, ids).select(
+            F.col("doc_id").alias(end), F.col("n_shingles").alias(f"size_{end}"), F.col("brief").alias(f"brief_{end}")
+        )
+        near = near.join(held, end)
+    bits = "aggregate(zip_with(brief_a, brief_b, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
+    return near.filter(f"19 * {bits} <= size_a + size_b").select("a", "b").distinct()
+
+
 def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(links, components)`` of all documents, given a written sketch table.
 
@@ -279,7 +300,8 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         .distinct()
     )
-    links = _verify(docs, materialize(pairs, "pairs")).union(copies)
+    pairs = materialize(_likely(sketched, materialize(pairs, "pairs")), "pairs")
+    links = _verify(docs, pairs).union(copies)
     links = materialize(links, "jaccard-links")
     found = components(links)
     links = materialize(links.union(_links_between(docs, ranked, found)), "jaccard-links")
