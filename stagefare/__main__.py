@@ -46,8 +46,10 @@ def parse(args: list[str] | None = None) -> argparse.Namespace:
             sub.add_argument("--parallelism", type=int, default=1)
     score = job("score", "request CSV to scored Parquet")
     score.add_argument("--listings", required=True, help="raw listing CSV")
-    score.add_argument("--max-model", required=True, help="output of train --label max")
-    score.add_argument("--min-model", required=True, help="output of train --label min")
+    score.add_argument("--max-model", required=True, help="output of train, compare or sweep --label max")
+    score.add_argument("--min-model", required=True, help="output of train, compare or sweep --label min")
+    score.add_argument("--max-name", help="which model of a comparison or sweep, such as gbt or rf_3")
+    score.add_argument("--min-name", help="the same for the lowest price")
     score.add_argument("--as-of", required=True, help="day for requests without one")
     return parser.parse_args(args)
 
@@ -59,7 +61,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.job == "score":
         requests = spark.read.csv(args.input, header=True)
         raw = read_raw(spark, args.listings)
-        scoring.score_job(requests, raw, args.max_model, args.min_model, args.output, args.as_of)
+        folders, names = (args.max_model, args.min_model), (args.max_name, args.min_name)
+        scoring.score_job(requests, raw, *folders, args.output, args.as_of, *names)
         rejected = spark.read.parquet(f"{args.output}_rejected").groupBy("missing").count()
         return {"answers": spark.read.parquet(args.output).limit(20), "rejected": rejected}
     cleaned = read_clean(spark, args.input)

@@ -60,6 +60,12 @@ select
  case when l_returnflag = 'N' then null
       when l_returnflag = 'A' then '0'
       when l_partkey % 37 = 0 then 'many'
+      when l_partkey % 41 = 0 then '1e3'
+      when l_partkey % 43 = 0 then '70d'
+      when l_partkey % 47 = 0 then '0x1p3'
+      when l_partkey % 53 = 0 then '+5'
+      when l_partkey % 59 = 0 then ' 70'
+      when l_partkey % 61 = 0 then '7.9'
       else cast(l_quantity as varchar(20)) end as sg_listing_count,
  cast(l_discount as varchar(20)) as sg_artists_score,
  cast(l_tax as varchar(20)) as sg_venue_score,

@@ -9,7 +9,9 @@ _AS_OF = "2024-06-15"
 
 
 def _int(text: str) -> str:
-    return f"try_cast(trunc(try_cast({text} as double)) as integer)"
+    plain = f"regexp_full_match({text}, ' *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+) *')"
+    number = f"try_cast(ltrim(trim({text}), '+') as double)"
+    return f"case when {plain} then try_cast(trunc({number}) as integer) end"
 
 
 def _list_number(column: str) -> str:
@@ -195,8 +197,8 @@ _MAP = " union all ".join(
 )
 _MEAN_COLUMNS = ", ".join(f"round({d}_avg_price, 4) as {d}_avg_price" for d in _DIMS)
 _LEFT_OUT = ", ".join(
-    f"coalesce((m_{d}.total - b.{_MAX}) / nullif(m_{d}.n - 1, 0),"
-    f" (select mean from m_all), 0) as {d}_avg_price"
+    f"round(coalesce((m_{d}.total - b.{_MAX}) / nullif(m_{d}.n - 1, 0),"
+    f" (select mean from m_all), 0), 4) as {d}_avg_price"
     for d in _DIMS
 )
 
@@ -218,6 +220,20 @@ _ONE_HOT = " union all ".join(
     for d in _DIMS
 )
 
+_MODEL_INPUTS = (
+    "spotify_popularity", "year", "month", "weekday", *(f"{d}_avg_price" for d in _DIMS)
+)
+
+
+def _zeros(one: tuple[str, tuple], two: tuple[str, tuple], value: str) -> str:
+    """A row of zero for every pair of names."""
+    return " union all ".join(
+        f"select '{a}' as {one[0]}, '{b}' as {two[0]}, 0.0::double as {value}"
+        for a in one[1]
+        for b in two[1]
+    )
+
+
 # Penalised regression on one feature x: strength l, L1 share a.
 def _penalised(strength: float, l1: float) -> str:
     return f"""s as (
@@ -421,6 +437,23 @@ _PROFILED = (
 )
 _ALL = ("event_id", *_RANKED)
 
+_WHOLE = {
+    "sg_listing_count", "sh_total_postings", "sh_total_tickets", "spotify_followers",
+    "spotify_popularity", "year", "month", "weekday",
+}
+
+
+def _type(c: str) -> str:
+    if c in _WHOLE:
+        return "int"
+    if c in _ROUNDED:
+        return "double"
+    if c in _TIMES:
+        return "timestamp"
+    if c == "event_date":
+        return "date"
+    return "boolean" if c.startswith(("has_", "is_")) else "string"
+
 
 def _numeric_profile(c: str) -> str:
     return f"""select '{c}' as column_name, count({c}) as count, round(avg({c}), 4) as mean,
@@ -453,16 +486,13 @@ def all_oracles() -> dict[str, str]:
 def _oracles() -> dict[str, str]:
     n = "count(*) as event_count"
     return {
-        "csv_roundtrip": _rows(
-            "event_id artist event_date tm_min_price spotify_followers venue_lat", "typed"
-        ),
-        "clean_partitioned_roundtrip": _rows(
-            "event_id city tm_min_price year month", "kept", TABLE
-        ),
+        "csv_roundtrip": _rows(" ".join(_ALL), "typed"),
+        "clean_partitioned_roundtrip": _rows(" ".join(_ALL), "kept", TABLE),
         # A CSV reader takes an empty text for a missing one.
         "parquet_to_csv": _from_table(
-            "select event_id, nullif(artist, '') as artist, round(tm_max_price, 4) as tm_max_price"
-            " from kept"
+            "select "
+            + ", ".join("nullif(artist, '') as artist" if c == "artist" else _show(c) for c in _ALL)
+            + " from kept"
         ),
         "metrics_json_roundtrip": _learn(_MAX, _TEST) + _COMPARISON,
         "encoding_map_roundtrip": _learn(_MAX) + _MAP,
@@ -489,7 +519,7 @@ def _oracles() -> dict[str, str]:
             "typed where event_id is not null and event_date is not null and artist is not null",
         ),
         "dedup_events": _rows(
-            "event_id artist event_date venue tm_max_price promoter",
+            " ".join(_ALL),
             "one_per_id",
             ", ".join([CLEAN, ONE_PER_ID]),
         ),
@@ -573,15 +603,7 @@ from typed"""
         "encoding_map_min": _learn(_MIN) + _MAP,
         "encode_train": _learn(_MAX, _encoded(False))
         + f"select event_id, {_MEAN_COLUMNS} from train",
-        "encode_train_leave_one_out": "with "
-        + ", ".join(
-            [
-                TABLE,
-                _base(_MAX, "exact"),
-                "base as (select * replace (floor(tm_max_price) as tm_max_price) from exact)",
-                _encoding(_MAX),
-            ]
-        )
+        "encode_train_leave_one_out": _learn(_MAX)
         + f" select event_id, {_LEFT_OUT} from base b "
         + " ".join(f"left join m_{d} on b.{d} = m_{d}.k" for d in _DIMS)
         + " where in_train",
@@ -667,6 +689,42 @@ select request_id, round(case when high < low then low * 1.5 else high end, 4) a
         "score_explain": f"with {FEATURED} select name, count(*) as count from ("
         + " union all ".join(f"select {v} as name from featured" for v in _NAMES_SHOWN)
         + ") group by name",
+        "linear_optimality": _zeros(
+            ("model", ("linear_regression", "lasso_regression", "elastic_net")),
+            ("term", ("intercept", *_MODEL_INPUTS)),
+            "breach",
+        ),
+        "compare_models_check": " union all ".join(
+            f"select '{m}' as model, 0.0::double as rmse_off, 0.0::double as mae_off, 0.0::double as r2_off"
+            for m in ("linear_regression", "lasso_regression", "elastic_net", "decision_tree", "gbt")
+        ),
+        "feature_importance_facts": " union all ".join(
+            f"select '{f}' as feature, 0.0::double as importance" for f in _MODEL_INPUTS
+        )
+        + " union all select '(sum)', 1.0",
+        "one_hot_importance_facts": _learn(_MAX, _INDEX)
+        + " union all ".join(
+            [f"select '{f}' as feature, 0.0::double as importance" for f in _MODEL_INPUTS[:4]]
+            + [f"select '{d}_vec_' || label, 0.0 from i_{d}" for d in _DIMS]
+            + ["select '(sum)', 1.0"]
+        ),
+        "score_explain_top": f"with {FEATURED} select place, name, score, count(*) as count from ("
+        + " union all ".join(
+            f"select {place} as place, {_NAMES_SHOWN[i]} as name, {share}::double as score from featured"
+            for place, (i, share) in enumerate(
+                [(0, 0.3), (5, 0.25), (6, 0.1), (2, 0.1), (3, 0.1), (4, 0.05)]
+            )
+        )
+        + ") group by all",
+        "score_rejected": f"""with {REQUESTS} select request_id, concat_ws(', ',
+ case when artist is null or artist = '' then 'artist' end,
+ case when city is null or city = '' then 'city' end,
+ case when state is null or state = '' then 'state' end) as missing from requests
+where coalesce(artist, '') = '' or coalesce(city, '') = '' or coalesce(state, '') = ''""",
+        "score_accounted": f"""with {REQUESTS}
+select case when coalesce(artist, '') = '' or coalesce(city, '') = '' or coalesce(state, '') = ''
+  then 'rejected' else 'answered' end as side,
+ count(*) as n, count(distinct request_id) as ids from requests group by 1""",
         "model_summary": f"""with {TABLE}, {_PAIRED}, {_REFERENCE} select
  (select count(*) from reference) as total_artists, (select count(*) from m_city_max) as total_cities,
  round((select mean from m_all_min), 2) as global_avg_min,
@@ -674,7 +732,8 @@ select request_id, round(case when high < low then low * 1.5 else high end, 4) a
  round((select popularity from usual), 2) as default_popularity""",
         "profile_shape": f"with {TABLE} "
         + " union all ".join(
-            f"select '{c}' as column_name, count(*) as n_rows, {len(_ALL)} as n_columns from kept"
+            f"select '{c}' as column_name, '{_type(c)}' as data_type, count(*) as n_rows,"
+            f" {len(_ALL)} as n_columns from kept"
             for c in _ALL
         ),
         "profile_head": _rows(

@@ -17,7 +17,7 @@ from stagefare.operators.encoding import MeanEncoder, MeanEncoding, save_encodin
 from stagefare.operators.features import dense_assembler, one_hot_stages
 from stagefare.operators.regressors import KINDS, SHORT_NAMES, make_regressor
 from stagefare.operators.rows import hash_split, in_train, training_rows
-from stagefare.sources.models import save_model
+from stagefare.sources.models import model_path, save_model
 from stagefare.sources.outputs import write_report, write_rows
 from stagefare.sources.scratch import materialize
 
@@ -157,7 +157,7 @@ def train_job(
         save_encoding(data.encoding, f"{target}/avg_encoding")
         pipeline = mean_model(kind, label, preset or "mean", **params)
     model = pipeline.fit(data.train)
-    save_model(model, f"{target}/model")
+    save_model(model, model_path(target))
     predictions = model.transform(data.test)
     write_rows(ev.prediction_table(predictions, label), f"{target}/predictions")
     metrics = ev.metrics_long(
@@ -179,6 +179,7 @@ def _fit_and_save(
 ) -> DataFrame:
     """Fit models batch by batch; save each with its sample and importances, then all metrics."""
     data = prepare_means(cleaned, label, written=True)
+    save_encoding(data.encoding, f"{target}/avg_encoding")
     rows = []
     for batch in itertools.batched(models, MODELS_PER_PASS):
         fitted = fit_all(data.train, {n: models[n] for n in batch}, parallelism)
@@ -187,7 +188,7 @@ def _fit_and_save(
         rows += [tuple(r) for r in compared.collect()]
         sample = materialize(ev.first_rows(predictions, "event_id"), "sample")
         for name, model in fitted.items():
-            save_model(model, f"{target}/models/{name}")
+            save_model(model, model_path(target, name))
             shown = ev.prediction_sample(sample, label, prediction=columns[name])
             write_report(shown, f"{target}/predictions_sample/{name}")
             if hasattr(model.stages[-1], "featureImportances"):

@@ -2,6 +2,9 @@
 
 from stagefare.__main__ import parse, run
 from stagefare.catalog.fixture import raw_listings, requests
+from stagefare.columns import MAX_PRICE, MIN_PRICE
+from stagefare.operators.regressors import sweep_grid
+from stagefare.plans import training
 from stagefare.sources import scratch
 from stagefare.sources.outputs import write_rows
 
@@ -35,6 +38,26 @@ def test_clean_report_train_score(spark, sf_dir, tmp_path):
     assert {r["missing"] for r in answers["rejected"].collect()} == {r.missing for r in rejected.collect()}
 
 
+def test_score_with_swept_models(spark, sf_dir, cleaned, tmp_path):
+    write_rows(raw_listings(spark, sf_dir), f"{tmp_path}/raw")
+    write_rows(requests(spark, sf_dir), f"{tmp_path}/asked")
+    grid = sweep_grid()
+    for label, name in ((MAX_PRICE, "dt_1"), (MIN_PRICE, "lr_1")):
+        training.sweep_job(cleaned, label, f"{tmp_path}/{label.column}", {name: grid[name]})
+    run(spark, parse([
+        "score", "--input", f"{tmp_path}/asked", "--output", f"{tmp_path}/answers",
+        "--listings", f"{tmp_path}/raw", "--as-of", "2024-06-15",
+        "--max-model", f"{tmp_path}/tm_max_price", "--max-name", "dt_1",
+        "--min-model", f"{tmp_path}/tm_min_price", "--min-name", "lr_1",
+    ]))
+    answers = spark.read.parquet(f"{tmp_path}/answers")
+    assert answers.count() > 0 and answers.filter("pred_max is null or pred_min is null").count() == 0
+    used = answers.select("max_model", "min_model", "max_model_path").distinct().collect()
+    assert [tuple(r) for r in used] == [
+        ("DecisionTreeRegression", "LinearRegression", f"{tmp_path}/tm_max_price/models/dt_1")
+    ]
+
+
 def test_clear_removes_only_own_tables(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(scratch, "shared_dir", lambda _: str(tmp_path))
     spark.range(3).write.parquet(f"{tmp_path}/other")
