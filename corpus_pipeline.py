@@ -1,6 +1,7 @@
 """The corpus pipeline: each stage works on all documents its predecessor kept.
 
-Toxic documents go, one document of each group of near copies stays, documents that hold a benchmark
+Toxic documents go, one document of each group of near copies
+(5-word shingles, similarity 0.8 or more) stays, documents that hold a benchmark
 item go, personal data is redacted, and what is left is tokenized and packed.
 """
 
@@ -19,7 +20,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op9_jaccard.keep_one(docs)
+    return op9_jaccard.keep_one(docs, op9_jaccard.Rule(words=5, percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

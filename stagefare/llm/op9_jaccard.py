@@ -1,12 +1,13 @@
 """N-gram Jaccard join by parity sketches.
 
-A document's set holds its distinct 3-word shingles (words split at space and tab to carriage
+A document's set holds its distinct shingles of ``words`` words (split at space and tab to carriage
 return, A-Z in lower case); a shorter text counts as one shingle. Documents link when
-``100 * |A and B| >= 90 * |A or B|``.
+``100 * |A and B| >= percent * |A or B|``. Both are parameters, a ``Rule``: the query takes 3 words
+and 90, the pipeline's stage 5 words and 80.
 
-1. Sets of sizes ``a <= b`` that link have ``b <= a * 10 / 9`` and differ in at most
-   ``(a + b) / 19`` shingles. Sizes fall into bands of that ratio, so partners are in the
-   same or the next band, and a band bounds the difference of its pairs by a ``d``.
+1. Sets of sizes ``a <= b`` that link have ``b <= a * 100 / percent`` and differ in at most
+   ``(a + b) * (100 - percent) / (100 + percent)`` shingles. Sizes fall into bands of the first ratio, so
+   partners are in the same or the next band, and a band bounds the difference of its pairs by a ``d``.
 2. For a band a set is sketched as ``d + 1`` words of 64 bits: every shingle is hashed to one
    bit and the bits are XORed. Each differing shingle changes at most one bit, so the
    Hamming distance of two sketches never exceeds the symmetric difference; by the
@@ -32,7 +33,9 @@ their row; no rows give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -46,8 +49,6 @@ from .components import components
 from .tables import materialize, texts
 from .text import blocks, mix, words
 
-SHINGLE = 3
-_SIZES_FIT = "10 * least(size, hub_size) >= 9 * greatest(size, hub_size)"
 # A chunk holds about so many texts, and shingles, of a group.
 CHUNK = 256
 CHUNK_SHINGLES = 1 << 17
@@ -57,29 +58,61 @@ _SET = ("set_a", "set_b", "n_shingles")
 _ODD = np.array([0x8CB92BA72F3D8DD7, 0xD1342543DE82EF95, 0xF1357AEA2E62A9C5], dtype=np.uint64)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the least similarity of a link in percent."""
+
+    words: int = 3
+    percent: int = 90
+
+    def __post_init__(self) -> None:
+        if self.words < 1 or not 1 <= self.percent <= 100:
+            raise ValueError(f"no rule for links: {self}")
+
+    @property
+    def apart(self) -> tuple[int, int]:
+        """``(p, q)``: sets of sizes ``a`` and ``b`` that link have ``q * difference <= p * (a + b)``."""
+        shared = math.gcd(100 - self.percent, 100 + self.percent)
+        return (100 - self.percent) // shared, (100 + self.percent) // shared
+
+    def sizes_fit(self, one: str, two: str) -> str:
+        """SQL: whether sets of two sizes can link."""
+        return f"100 * least({one}, {two}) >= {self.percent} * greatest({one}, {two})"
+
+    def linked(self, one: np.ndarray, two: np.ndarray) -> bool:
+        shared = len(np.intersect1d(one, two, assume_unique=True))
+        return shared > 0 and 100 * shared >= self.percent * (len(one) + len(two) - shared)
+
+
+QUERY = Rule()
+
+
 @cache
-def _bands(up_to: int) -> np.ndarray:
-    """First sizes of the bands, until one is above ``up_to``."""
+def _bands(up_to: int, percent: int) -> np.ndarray:
+    """First sizes of the bands, until three are above ``up_to``."""
     first = [1]
-    while first[-1] <= up_to:
-        first.append(-(-first[-1] * 10 // 9))
-    return np.array([*first, -(-first[-1] * 10 // 9), -(-first[-1] * 100 // 81) + 1])
+    while len(first) < 3 or first[-3] <= up_to:
+        first.append(max(first[-1] + 1, -(-first[-1] * 100 // percent)))
+    return np.array(first)
 
 
-def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array, length: int = QUERY.words) -> Iterator[np.ndarray]:
     """The sorted 64-bit shingle hashes of each text."""
     found = words(column, lower=True)
     name = mix(found.names())
     whole = np.zeros(0, np.uint64)
-    if len(name) >= SHINGLE:
-        whole = name[:-2] * _ODD[0] + mix(name[1:-1] * _ODD[1]) + mix(name[2:] + _ODD[2])
+    if len(name) >= length:
+        count = len(name) - length + 1
+        whole = name[:count] * _ODD[0]
+        for k in range(1, length):
+            whole = mix(whole + mix(name[k : k + count] * _ODD[1] + _ODD[2]))
         whole = mix(whole)
     bounds = found.bounds.tolist()
     for start, end in zip(bounds[:-1], bounds[1:], strict=True):
-        if end - start >= SHINGLE:
-            yield np.unique(whole[start : end - SHINGLE + 1])
+        if end - start >= length:
+            yield np.unique(whole[start : end - length + 1])
         elif end > start:
-            salted = name[start:end] * _ODD[: end - start] + np.uint64(end - start)
+            salted = name[start:end] * mix(np.arange(1, end - start + 1, dtype=np.uint64)) + np.uint64(end - start)
             yield mix(np.array([np.add.reduce(mix(salted))], dtype=np.uint64))
         else:
             yield whole[:0]
@@ -93,15 +126,16 @@ def _sketch(shingles: np.ndarray, count: int) -> np.ndarray:
     return np.packbits(parity, bitorder="little").view(np.uint64)
 
 
-def _sketch_keys(shingles: np.ndarray) -> np.ndarray:
+def _sketch_keys(shingles: np.ndarray, rule: Rule) -> np.ndarray:
     """Join keys of a set: the words of its sketches for both bands it may have partners in."""
     n = len(shingles)
-    bands = _bands(1 << max(4, n.bit_length()))
+    bands = _bands(1 << max(4, n.bit_length()), rule.percent)
+    p, q = rule.apart
     own = int(np.searchsorted(bands, n, side="right")) - 1
     keys = []
     for band in (own, own + 1):
-        most = 2 * (int(bands[band + 1]) - 1) // 19
-        if most == 0 or (band > own and 10 * n < 9 * bands[band]):
+        most = p * 2 * (int(bands[band + 1]) - 1) // q
+        if most == 0 or (band > own and 100 * n < rule.percent * bands[band]):
             continue
         count = most + 1
         place = np.arange(count, dtype=np.uint64) + np.uint64((band << 32) + 1)
@@ -112,49 +146,50 @@ def _sketch_keys(shingles: np.ndarray) -> np.ndarray:
 _SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, brief array<long>"
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    longs = pa.list_(pa.int64())
-    names = ("doc_id", "n_shingles", "set_a", "set_b", "keys", "brief")
-    schema = pa.schema(list(zip(names, [pa.int64()] * 4 + [longs] * 2, strict=True)))
-    for batch in batches:
-        for block in blocks(batch):
-            sizes, first, second, keys, brief = [], [], [], [], []
-            for shingles in shingle_sets(block.column("text")):
-                sizes.append(len(shingles))
-                first.append(int(np.add.reduce(shingles, dtype=np.uint64).view(np.int64)))
-                second.append(int(np.bitwise_xor.reduce(mix(shingles)).view(np.int64)))
-                keys.append(_sketch_keys(shingles) if len(shingles) else shingles)
-                brief.append(_sketch(shingles, BRIEF))
-            ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
-            flat = np.concatenate(keys).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(first, pa.int64()),
-                    pa.array(second, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(brief) + 1, dtype=np.int32) * BRIEF),
-                        pa.array(np.concatenate(brief).view(np.int64)),
-                    ),
-                ],
-                schema=schema,
-            )
-
-
-def _linked(one: np.ndarray, two: np.ndarray) -> bool:
-    shared = len(np.intersect1d(one, two, assume_unique=True))
-    return shared > 0 and 100 * shared >= 90 * (len(one) + len(two) - shared)
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs ``(a, b, text, other)`` those that link."""
-    for batch in batches:
-        for block in blocks(batch):
-            sets = zip(shingle_sets(block.column("text")), shingle_sets(block.column("other")), strict=True)
-            links = [_linked(one, two) for one, two in sets]
-            yield block.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
+def _sketches(rule: Rule):
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
+        names = ("doc_id", "n_shingles", "set_a", "set_b", "keys", "brief")
+        schema = pa.schema(list(zip(names, [pa.int64()] * 4 + [longs] * 2, strict=True)))
+        for batch in batches:
+            for block in blocks(batch):
+                sizes, first, second, keys, brief = [], [], [], [], []
+                for shingles in shingle_sets(block.column("text"), rule.words):
+                    sizes.append(len(shingles))
+                    first.append(int(np.add.reduce(shingles, dtype=np.uint64).view(np.int64)))
+                    second.append(int(np.bitwise_xor.reduce(mix(shingles)).view(np.int64)))
+                    keys.append(_sketch_keys(shingles, rule) if len(shingles) else shingles)
+                    brief.append(_sketch(shingles, BRIEF))
+                ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+                flat = np.concatenate(keys).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        block.column("doc_id"),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(first, pa.int64()),
+                        pa.array(second, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(brief) + 1, dtype=np.int32) * BRIEF),
+                            pa.array(np.concatenate(brief).view(np.int64)),
+                        ),
+                    ],
+                    schema=schema,
+                )
+
+    return sketches
+
+
+def _verified(rule: Rule):
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of pairs ``(a, b, text, other)`` those that link."""
+        for batch in batches:
+            for block in blocks(batch):
+                sets = zip(*(shingle_sets(block.column(c), rule.words) for c in ("text", "other")), strict=True)
+                links = [rule.linked(one, two) for one, two in sets]
+                yield block.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
+
+    return verified
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -163,33 +198,34 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if small else ids.hint("merge"), "doc_id", "left_semi")
 
 
-def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verify(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """Links ``(a, b)`` among written pairs of document ids."""
     def held(end: str) -> DataFrame:
         ids = materialize(pairs.select(F.col(end).alias("doc_id")).distinct(), "named")
         return _only(docs, ids).select(F.col("doc_id").alias(end), "text")
 
     one, two = held("a"), held("b").withColumnRenamed("text", "other")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text", "other").mapInArrow(_verified, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "text", "other").mapInArrow(_verified(rule), "a long, b long")
 
 
-def _joined(members: pa.RecordBatch) -> list[tuple[int, int]]:
+def _joined(members: pa.RecordBatch, rule: Rule) -> list[tuple[int, int]]:
     """Links that join the components of one pair of chunks as far as its pairs link."""
     found = []
-    sets = [one for part in blocks(members) for one in shingle_sets(part.column("text"))]
+    p, q = rule.apart
+    sets = [one for part in blocks(members) for one in shingle_sets(part.column("text"), rule.words)]
     size = np.array([len(one) for one in sets])
-    sketches = np.stack([_sketch(one, 2 * int(size.max()) // 19 + 1) for one in sets])
+    sketches = np.stack([_sketch(one, p * 2 * int(size.max()) // q + 1) for one in sets])
     rep, chunk = np.asarray(members.column("rep")), np.asarray(members.column("chunk"))
     label = np.array(members.column("component"))
     within = members.column("one")[0].as_py() == members.column("two")[0].as_py()
     for i in range(len(sets) - 1):
-        could = (label != label[i]) & (10 * np.minimum(size, size[i]) >= 9 * np.maximum(size, size[i]))
+        could = (label != label[i]) & (100 * np.minimum(size, size[i]) >= rule.percent * np.maximum(size, size[i]))
         if not within:
             could &= chunk != chunk[i]
         at = np.flatnonzero(could[i + 1 :]) + i + 1
         apart = np.bitwise_count(sketches[at] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-        for j in at[19 * apart <= size[at] + size[i]].tolist():
-            if label[j] != label[i] and _linked(sets[i], sets[j]):
+        for j in at[q * apart <= p * (size[at] + size[i])].tolist():
+            if label[j] != label[i] and rule.linked(sets[i], sets[j]):
                 found.append((rep[i], rep[j]))
                 label[label == label[j]] = label[i]
     return found
@@ -198,32 +234,35 @@ def _joined(members: pa.RecordBatch) -> list[tuple[int, int]]:
 _PAIR = ("hub", "one", "two")
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of rows sorted by pair of chunks; a group never exceeds two chunks."""
-    held: list[pa.RecordBatch] = []
-    last = None
+def _compared(rule: Rule):
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of rows sorted by pair of chunks; a group never exceeds two chunks."""
+        held: list[pa.RecordBatch] = []
+        last = None
 
-    def links() -> pa.RecordBatch:
-        found = _joined(pa.concat_batches(held))
-        return pa.record_batch({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        def links() -> pa.RecordBatch:
+            found = _joined(pa.concat_batches(held), rule)
+            return pa.record_batch({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([np.asarray(batch.column(c)) for c in _PAIR])
-        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-            key = keys[:, start].tolist()
-            if held and key != last:
-                yield links()
-                held = []
-            last = key
-            held.append(batch.slice(start, end - start))
-    if held:
-        yield links()
-
-
-def _links_between(docs: DataFrame, ranked: DataFrame, found: DataFrame) -> DataFrame:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([np.asarray(batch.column(c)) for c in _PAIR])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                key = keys[:, start].tolist()
+                if held and key != last:
+                    yield links()
+                    held = []
+                last = key
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield links()
+
+    return compared
+
+
+def _links_between(docs: DataFrame, ranked: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     """Links that join the components that buckets still hold side by side."""
     labelled = ranked.join(found.withColumnRenamed("vertex", "rep"), "rep", "left").select(
         "key", "rep", "size", "weight", F.coalesce("component", "rep").alias("component")
@@ -250,10 +289,10 @@ def _links_between(docs: DataFrame, ranked: DataFrame, found: DataFrame) -> Data
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     pairs = pairs.withColumns({"one": F.least("chunk", "other"), "two": F.greatest("chunk", "other")})
     pairs = pairs.select(*_PAIR, "chunk", "rep", "component", "text").repartition(*_PAIR).sortWithinPartitions(*_PAIR)
-    return pairs.mapInArrow(_compared, "a long, b long")
+    return pairs.mapInArrow(_compared(rule), "a long, b long")
 
 
-def _likely(sketched: DataFrame, pairs: DataFrame) -> DataFrame:
+def _likely(sketched: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """Those of written pairs whose short sketches differ in no more bits than a link allows."""
     near = pairs
     for end in ("a", "b"):
@@ -263,10 +302,11 @@ def _likely(sketched: DataFrame, pairs: DataFrame) -> DataFrame:
         )
         near = near.join(held, end)
     bits = "aggregate(zip_with(brief_a, brief_b, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
-    return near.filter(f"19 * {bits} <= size_a + size_b").select("a", "b").distinct()
+    p, q = rule.apart
+    return near.filter(f"{q} * {bits} <= {p} * (size_a + size_b)").select("a", "b").distinct()
 
 
-def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+def links_of(docs: DataFrame, sketched: DataFrame, rule: Rule = QUERY) -> tuple[DataFrame, DataFrame]:
     """``(links, components)`` of all documents, given a written sketch table.
 
     The links span the components: a copy is linked with the representative of its class only.
@@ -283,7 +323,7 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
         members.filter("held = 2")
         .groupBy("key")
         .agg(F.min("rep").alias("b"), F.max("rep").alias("a"), F.min("size").alias("size"), F.max("size").alias("hub_size"))
-        .filter(f"a <> b and {_SIZES_FIT}")
+        .filter(f"a <> b and {rule.sizes_fit('size', 'hub_size')}")
     )
     # In the others everyone goes against the one that shares most, as it stands nearest to the middle of its group.
     weight = members.filter("held > 2").groupBy("rep").agg(F.sum("held").alias("weight"))
@@ -291,7 +331,7 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
     ranked = materialize(ranked, "ranked")
     hub = ranked.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "rep", "size")).alias("hub"))
     hub = hub.select("key", F.col("hub.rep").alias("b"), F.col("hub.size").alias("hub_size"))
-    many = ranked.join(hub, "key").filter("rep <> b").filter(_SIZES_FIT).withColumnRenamed("rep", "a")
+    many = ranked.join(hub, "key").filter("rep <> b").filter(rule.sizes_fit("size", "hub_size")).withColumnRenamed("rep", "a")
     pairs = two.select("a", "b").union(many.select("a", "b")).distinct()
     copies = (
         sketched.select("doc_id", *_SET)
@@ -300,28 +340,28 @@ def links_of(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         .distinct()
     )
-    pairs = materialize(_likely(sketched, materialize(pairs, "pairs")), "pairs")
-    links = _verify(docs, pairs).union(copies)
+    pairs = materialize(_likely(sketched, materialize(pairs, "pairs"), rule), "pairs")
+    links = _verify(docs, pairs, rule).union(copies)
     links = materialize(links, "jaccard-links")
     found = components(links)
-    links = materialize(links.union(_links_between(docs, ranked, found)), "jaccard-links")
+    links = materialize(links.union(_links_between(docs, ranked, found, rule)), "jaccard-links")
     return links, components(links)
 
 
-def cluster(docs: DataFrame) -> DataFrame:
+def cluster(docs: DataFrame, rule: Rule = QUERY) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``documents(doc_id, text)``."""
     docs = texts(docs)
-    sketched = materialize(docs.mapInArrow(_sketches, _SKETCH), "sketches")
-    _, found = links_of(docs, sketched)
+    sketched = materialize(docs.mapInArrow(_sketches(rule), _SKETCH), "sketches")
+    _, found = links_of(docs, sketched, rule)
     found = found.withColumnRenamed("vertex", "doc_id")
     return sketched.join(found, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = QUERY) -> DataFrame:
     """The documents with all their columns, of each component only the one with its least ``doc_id``."""
-    gone = cluster(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = cluster(docs, rule).filter("doc_id <> component_id").select("doc_id").distinct()
     gone = materialize(gone, "near-copies")
     small = gone.count() * 64 <= BROADCAST_LIMIT_BYTES
     return docs.join(F.broadcast(gone) if small else gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)

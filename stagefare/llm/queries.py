@@ -47,7 +47,7 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op9_jaccard.cluster(read(spark, sf_dir, "documents"))
+    return op9_jaccard.cluster(read(spark, sf_dir, "documents"), op9_jaccard.Rule(words=3, percent=90))
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,3 +83,43 @@ def test_a_group_of_several_chunks_just_below_the_threshold(spark, monkeypatch):
     expected = brute(rows)
     assert 5 < len({c for _, _, c in expected}) < 75
     assert sorted(map(tuple, cluster(docs).collect())) == expected
+
+
+def brute_by(rows, words, percent):
+    """As ``brute``, for any length of shingles and threshold, over all pairs."""
+    sets = []
+    for d, t in rows:
+        w = cases.WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append((d, {tuple(w[i : i + words]) for i in range(len(w) - words + 1)} or ({tuple(w)} if w else set())))
+    links = [(d, e) for k, (d, a) in enumerate(sets) for e, b in sets[:k] if a & b and 100 * len(a & b) >= percent * len(a | b)]
+    component = cases.groups(links, {d for d, _ in sets})
+    return sorted((d, len(s), component[d]) for d, s in sets)
+
+
+def test_other_rules_match_brute_force(spark, monkeypatch):
+    rows = [(k, t) for k, t in enumerate(cases.odd_texts()) if len(t or "") < 10_000]
+    for n in (5, 6, 9, 20, 60, 130):
+        base = cases.prose(n, n, 10**6)
+        rows += [(1000 * n + k, cases.edited(base, k, k % 7)) for k in range(14)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = set()
+    for words, percent, chunk in ((5, 80, 256), (5, 80, 4), (3, 90, 256), (1, 55, 256)):
+        monkeypatch.setattr(op9_jaccard, "CHUNK", chunk)
+        got = sorted(map(tuple, cluster(docs, op9_jaccard.Rule(words, percent)).collect()))
+        assert got == brute_by(rows, words, percent), (words, percent)
+        found.add(tuple(got))
+    assert len(found) == 3
+
+
+def test_the_stage_takes_five_words_and_eight_tenths(spark):
+    """Two changed words in 100 leave 0.82 of the 5-word shingles: below 0.9, so once both stayed."""
+    import corpus_pipeline
+
+    base = [f"v{k}" for k in range(100)]
+    near, far = [*base], [*base]
+    near[30], near[70] = "x", "y"
+    far[20], far[50], far[80] = "x", "y", "z"
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, cases.prose(5, 80)), (4, " ".join(far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [c for _, _, c in brute_by(rows, 5, 80)] == [1, 1, 3, 4]
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [1, 3, 4]
