@@ -1,7 +1,7 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Texts and items are compared on their letters and digits alone, in lower case (ASCII letters; other
-bytes of UTF-8 as they are), so punctuation, case and spacing hide nothing. An item of ``m`` such bytes
+Texts and items are compared on their letters and digits alone, with the case of all letters folded
+(beyond ASCII every sign counts as a letter, in UTF-8), so ASCII punctuation, case and spacing hide nothing. An item of ``m`` such bytes
 is found where a region of a text is within ``k = m // EDIT_SHARE`` edits of it (fewer for short
 items, so that the bound below stays positive).
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,19 +41,80 @@ ITEM_BYTES = 8 << 20
 _BITS = 22
 
 # Bytes compared: a-z, 0-9 and those of letters beyond ASCII; A-Z are mapped to a-z, others dropped.
-_MAPPED = np.zeros(256, np.uint8)
-_MAPPED[48:58] = np.arange(48, 58)
-_MAPPED[97:123] = np.arange(97, 123)
-_MAPPED[65:91] = np.arange(97, 123)
-_MAPPED[128:] = np.arange(128, 256)
+_ASCII = np.zeros(256, np.uint8)
+_ASCII[48:58] = np.arange(48, 58)
+_ASCII[97:123] = np.arange(97, 123)
+_ASCII[65:91] = np.arange(97, 123)
+_ASCII[128:] = np.arange(128, 256)
+# No letter from here on has a case.
+_CASELESS = 0x1F000
+
+
+@cache
+def _folds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, signs, size)``: by code point its row, by row the bytes of its folded form; row 0 folds nothing.
+
+    Folding what is upper-cased first makes one of all forms (dotless i too).
+    """
+    row, forms = np.zeros(_CASELESS + 1, np.int64), [b""]
+    for code in range(128, _CASELESS):
+        form = chr(code).upper().casefold()
+        if form != chr(code):
+            row[code] = len(forms)
+            forms.append(form.encode())
+    size = np.array([len(f) for f in forms])
+    signs = np.zeros((len(forms), max(4, int(size.max()))), np.uint8)
+    for k, form in enumerate(forms):
+        signs[k, : len(form)] = np.frombuffer(form, np.uint8)
+    return row, signs, size
+
+
+def folded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of UTF-8 as they are compared, 0 where dropped, and the place in ``data`` each comes from."""
+    mapped, place = _ASCII[data], np.arange(len(data))
+    lead = np.flatnonzero(data >= 0xC2)
+    if not len(lead):
+        return mapped, place
+    first = data[lead].astype(np.int64)
+    one, two, three = (data[np.minimum(lead + k, len(data) - 1)].astype(np.int64) & 0x3F for k in (1, 2, 3))
+    code = np.where(
+        first < 0xE0,
+        (first & 0x1F) << 6 | one,
+        np.where(first < 0xF0, (first & 0xF) << 12 | one << 6 | two, (first & 7) << 18 | one << 12 | two << 6 | three),
+    )
+    row, signs, size = _folds()
+    form = row[np.minimum(code, _CASELESS)]
+    cased = form > 0
+    at, form, own = lead[cased], form[cased], (2 + (first >= 0xE0) + (first >= 0xF0))[cased]
+    for k in range(4):
+        held = k < own
+        mapped[at[held] + k] = signs[form[held], k]
+    more = np.maximum(size[form] - own, 0)
+    if more.any():
+        after = np.repeat(at + own, more)
+        nth = np.arange(len(after)) - np.repeat(np.cumsum(more) - more, more)
+        mapped = np.insert(mapped, after, signs[np.repeat(form, more), np.repeat(own, more) + nth])
+        place = np.insert(place, after, after - 1)
+    return mapped, place
+
+
+class _Mapped:
+    """The compared bytes of a byte string as ``_MAPPED[bytes]``, 0 where dropped."""
+
+    def __getitem__(self, data: np.ndarray) -> np.ndarray:
+        return folded(data)[0]
+
+
+_MAPPED = _Mapped()
 
 
 def reduced(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The compared bytes of texts, their places in the column's bytes, and the texts' bounds."""
     data, rows = utf8(column)
-    mapped = _MAPPED[data]
-    place = np.flatnonzero(mapped)
-    return mapped[place], place, np.searchsorted(place, rows)
+    mapped, place = folded(data)
+    kept = np.flatnonzero(mapped)
+    place = place[kept]
+    return mapped[kept], place, np.searchsorted(place, rows)
 
 
 def grams(x: np.ndarray) -> np.ndarray:
@@ -200,9 +262,13 @@ def _matches(items):
                 out: list[list] = [[] for _ in range(5)]
                 for row, item, first, end, edits in items.value.search(column):
                     whole = column[row].as_py().encode()
+                    # A region may start or end inside a character beyond ASCII, which it then holds whole.
+                    while whole[first] & 0xC0 == 0x80:
+                        first -= 1
+                    while end < len(whole) and whole[end] & 0xC0 == 0x80:
+                        end += 1
                     start = len(whole[:first].decode())
-                    # A region may end inside a character beyond ASCII, which it then holds whole.
-                    length = len(whole[first:end].decode(errors="ignore"))
+                    length = len(whole[first:end].decode())
                     for values, value in zip(out, (ids[row].as_py(), item, start, start + length, edits), strict=True):
                         values.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "item_id", "start", "end", "edits"])

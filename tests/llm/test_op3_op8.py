@@ -70,6 +70,55 @@ def test_given_benchmark(spark, sf_dir):
     assert brute(few, [(i.item_id, i.text) for i in items]) == {g for g in got if g[0] in {d for d, _ in few}}
 
 
+CASED = [
+    "¿Cuándo empezó la construcción del ferrocarril según él, y qué ocasión única celebró María después?",
+    "Où l'élève a-t-elle été préparée à l'épreuve, et à quelle époque a-t-on dépêché Hélène là-bas ?",
+    "Größere Städte äußern überall höchst ungewöhnliche Wünsche: müßte man für Straßenbäume Gebühren erhöhen?",
+    "Почему летним вечером над рекой долго стоит густой туман и не слышно птиц?",
+    "ᾳ τίνος ΐσως ΰδωρ ᾀδουσιν οἱ ποιηταὶ τῆς Ἑλλάδος ŉ ǰ ﬁ ﬀ",
+    "Işıklı kıyıların yakınında İstanbul'un ılık kış akşamları nasıl kısalır?",
+]
+
+
+def test_case_of_letters_beyond_ascii_hides_nothing(spark):
+    docs = []
+    for k, item in enumerate(CASED):
+        for n, form in enumerate((item, item.upper(), item.lower(), item.swapcase())):
+            docs.append((10 * k + n, "Éé " + cases.prose(k, 30) + " ÀÉ " + form + " Öö " + cases.prose(k + 9, 20)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(CASED)), "item_id long, text string")
+    rows = op3.find(table, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(d, d // 10) for d, _ in docs}
+    whole = dict(docs)
+    for r in rows:
+        assert r.edits == 0
+        if r.doc_id % 10 < 2:
+            found, item = (x.upper().casefold() for x in (whole[r.doc_id][r.start : r.end], CASED[r.item_id]))
+            assert found.strip(" ¿?") == item.strip(" ¿?")
+    assert op3.remove(table, benchmark).count() == 0
+
+
+def test_folding_matches_python_and_keeps_places():
+    import pyarrow as pa
+
+    signs = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    data, place, bounds = op3.reduced(pa.array(signs))
+    starts = np.cumsum([0, *(len(c.encode()) for c in signs)])
+    for k, c in enumerate(signs):
+        expected = bytes(b for b in c.upper().casefold().encode() if b >= 128 or chr(b).isalnum())
+        assert data[bounds[k] : bounds[k + 1]].tobytes() == expected, hex(ord(c))
+    assert (np.diff(place) >= 0).all()
+    assert (np.searchsorted(starts, place, side="right") - 1 == np.repeat(np.arange(len(signs)), np.diff(bounds))).all()
+
+
+def test_a_region_may_start_inside_a_character(spark):
+    item = "é" + cases.prose(77, 14).replace("é", "e")
+    text = "ñ©" + item[1:]
+    table = spark.createDataFrame([(1, text), (2, item[1:]), (3, "x" + item[1:] + "ñ")], "doc_id long, text string")
+    rows = op3.find(table, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted({r.doc_id for r in rows}) == [1, 2, 3]
+
+
 def vectors(seed=4):
     r = np.random.default_rng(seed)
     rows = []
