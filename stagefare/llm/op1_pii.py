@@ -8,7 +8,12 @@ are added, unless they overlap a base span of their kind. Base spans always stay
 
 The trees are fitted on proposals from about TRAINING documents at most, spread over all by a hash of
 ``doc_id``, and on CANDIDATES of them at most (bounds on the fit alone; every text is searched).
-Proposals that a base span confirms are the positive ones. The threshold of a kind is the
+Only what the base misses is learned, as only that is offered: proposals that overlap no base span of their
+kind. Positive are base spans rewritten in their own context (``variants``) and proposals written as one
+(``known``): addresses with (at) and (dot), cards with other separators that pass the Luhn check, phones
+with 00, with an area in brackets, or with slashes. A fixed stock of such spans and of look-alikes (dates,
+ranges, failing checks, versions) goes into every fit, so a table without base spans teaches them too. IP
+addresses have no known variant: a list of numbers between commas is none. The threshold of a kind is the
 least at which PRECISION holds on the proposals left out of the fit; without one, nothing
 is added. The model is a few small trees.
 
@@ -20,6 +25,7 @@ ignored by the search and kept by the redaction.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -62,6 +68,16 @@ _HINTS = (
     re.compile(r"(?i)tel|phone|call|fax|mobile"),
 )
 
+# What tells the variants of base spans: separators in brackets, 00 and a country, an area in brackets.
+_BRACKETED = re.compile(r"(?i) ?[\[(](at|dot)[\])] ?")
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+_ABROAD = re.compile(r"00[ ()./-]{0,2}[1-9]")
+_AREA = re.compile(r"\([0-9]{2,5}\)")
+# Digits by kind.
+_COUNTS = ((0, 64), (4, 12), (13, 19), (9, 15))
+# Base spans of a document that are rewritten for the fit, and characters of context.
+REWRITTEN, CONTEXT = 16, 64
+
 Span = tuple[int, int, int]  # kind, start, end
 
 
@@ -136,6 +152,11 @@ def features(text: str, span: Span) -> list[float]:
         all(c in _LOCAL or c == "@" for c in inside),
         before[-1:].isalnum(),
         after.isalnum(),
+        inside.count("/"),
+        bool(_BRACKETED.search(inside)),
+        bool(_ABROAD.match(inside)),
+        bool(_AREA.match(inside)),
+        _COUNTS[kind][0] <= len(digits) <= _COUNTS[kind][1],
         *(bool(h.search(before)) for h in _HINTS),
     ]
 
@@ -147,6 +168,94 @@ def confirmed(spans: list[Span], span: Span) -> bool:
     return any(10 * s >= 9 * max(n, end - start) for s, n in shared)
 
 
+def known(kind: int, inside: str) -> bool:
+    """Whether a proposal that the base misses is written as one of the known variants."""
+    digits = re.sub(r"[^0-9]", "", inside)
+    if kind == 0:
+        plain = _BRACKETED.sub(lambda m: "@" if m[1].lower() == "at" else ".", inside)
+        return plain != inside and _ADDRESS.fullmatch(re.sub(r" ?\. ?", ".", plain)) is not None
+    if not _COUNTS[kind][0] <= len(digits) <= _COUNTS[kind][1]:
+        return False
+    if kind == 2:
+        return luhn(digits)
+    return kind == 3 and bool(_ABROAD.match(inside) and not inside.isdigit() or _AREA.match(inside) or inside.startswith("+"))
+
+
+def variants(kind: int, inside: str) -> list[str]:
+    """A base span in forms that the base misses."""
+    if kind == 0:
+        at, dot = inside.replace("@", " (at) "), inside.rpartition("@")
+        host = dot[2].replace(".", " (dot) ")
+        return [f"{dot[0]} (at) {host}", f"{dot[0]}[at]{dot[2].replace('.', '[dot]')}", at, f"{dot[0]}(AT){dot[2].replace('.', '(DOT)')}"]
+    digits = re.sub(r"[^0-9]", "", inside)
+    if kind == 2:
+        parts = [digits[k : k + 4] for k in range(0, len(digits), 4)]
+        return [sign.join(parts) for sign in (".", "/", "  ", " - ")]
+    if kind == 3:
+        rest = re.sub(r"[ ().-]+", " ", inside[1:]).strip()
+        area = re.search(r"\([0-9]{2,5}\).*", inside)
+        return ["00" + rest, "00 " + rest, "+" + rest.replace(" ", "/"), *([area[0]] if area else [])]
+    return []
+
+
+def _offered(text: str) -> list[Span]:
+    """Proposals that overlap no base span of their kind."""
+    base = base_spans(text)
+    return [s for s in proposals(text) if not any(k == s[0] and a < s[2] and s[1] < b for k, a, b in base)]
+
+
+def _labelled(text: str) -> Iterator[tuple[list[float], int]]:
+    """Features and labels of what the base misses in a text, and in it with base spans rewritten."""
+    for span in _offered(text):
+        yield features(text, span), int(known(span[0], text[span[1] : span[2]]))
+    for kind, start, end in base_spans(text)[:REWRITTEN]:
+        before = text[max(0, start - CONTEXT) : start]
+        for form in variants(kind, text[start:end]):
+            changed = before + form + text[end : end + CONTEXT]
+            whole = (kind, len(before), len(before) + len(form))
+            for span in _offered(changed):
+                # Others of its context are looked at in the text itself.
+                if span[1] < whole[2] and whole[1] < span[2]:
+                    right = confirmed([whole], span) and known(kind, changed[span[1] : span[2]])
+                    yield features(changed, span), int(right)
+
+
+def _stock() -> list[tuple[list[float], int]]:
+    """Labelled proposals that go into every fit."""
+    r = random.Random(1)
+    digit = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    found = []
+    for k in range(400):
+        name = f"{r.choice(['ann', 'j.lee', 'info', 'max_w', 'x'])}{k}@{r.choice(['mail', 'host-1', 'example', 'a.bc'])}.{r.choice(['com', 'org', 'de', 'co.uk'])}"
+        card = digit(r.choice([12, 13, 14, 15, 15, 15, 18]))
+        card = next(card + d for d in "0123456789" if luhn(card + d))
+        phone = r.choice([
+            f"+{r.randrange(1, 99)} ({digit(3)}) {digit(3)}-{digit(4)}",
+            f"+{r.randrange(1, 99)} {digit(2)} {digit(r.choice([4, 6, 7]))}",
+            "+" + r.choice(" -.").join([str(r.randrange(1, 999)), *(digit(r.randrange(2, 6)) for _ in range(r.randrange(2, 5)))]),
+        ])
+        wrong = card[:-1] + str((int(card[-1]) + 1 + k % 9) % 10)
+        near = [
+            f"{r.randrange(1900, 2030)}-{r.randrange(10, 13)}-{r.randrange(10, 29)} {r.randrange(10, 24)}",
+            f"{r.randrange(10, 29)}.{r.randrange(10, 13)}.{r.randrange(1900, 2030)}",
+            f"{r.randrange(1000, 2000)}-{r.randrange(2000, 3000)}",
+            f"({r.randrange(1900, 2030)}-{r.randrange(1900, 2030)})",
+            *(sign.join(wrong[i : i + 4] for i in range(0, len(wrong), 4)) for sign in (".", "/", " ", "  ")),
+            f"{digit(2)} {digit(3)} {digit(3)} {digit(4)}".lstrip("0 "),
+            f"00{digit(7)}",
+            f"({digit(3)}) {digit(4)}",
+            f"{r.randrange(9)}.{r.randrange(99)}.{r.randrange(9)}.{r.randrange(300, 9999)}",
+            f"{r.randrange(99)},{r.randrange(999)},{r.randrange(999)},{r.randrange(999)}",
+            f"look (at) page{k}",
+            f"{k}@{k}",
+            f"@{k}@host",
+        ]
+        for text in (name, card, phone, *near):
+            before, after = r.choice(["", "and ", "mail me: ", "call ", "pay by card ", "no. ", "see server "]), r.choice(["", " ", ". ", ", then", "; it"])
+            found += _labelled(before + text + after)
+    return found
+
+
 @dataclass
 class Boosted:
     """Boosted trees of one depth: by tree, a feature and a limit for each inner node, then the leaves."""
@@ -202,7 +311,7 @@ class Detector:
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """Base spans and all spans of a text, by kind and start."""
         base = base_spans(text)
-        offered = [s for s in proposals(text) if not any(k == s[0] and a < s[2] and s[1] < b for k, a, b in base)]
+        offered = _offered(text)
         if not offered or not self.model.trees:
             return base, base
         score = self.model.score(np.array([features(text, s) for s in offered], np.float64))
@@ -222,11 +331,9 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batch):
             found, labels = [], []
             for row in _with_digits(block).tolist():
-                text = block.column("text")[row].as_py()
-                base = base_spans(text)
-                for span in proposals(text):
-                    found.append(features(text, span))
-                    labels.append(int(confirmed(base, span)))
+                for seen, label in _labelled(block.column("text")[row].as_py()):
+                    found.append(seen)
+                    labels.append(label)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([[float(v) for v in f] for f in found], pa.list_(pa.float64())), pa.array(labels, pa.int32())],
                 names=["features", "label"],
@@ -239,14 +346,10 @@ def learn(docs: DataFrame, most: int = TRAINING) -> Detector:
     # Sorted by their hash, so that any split of the input gives the same sample in the same order.
     order = F.xxhash64("features", "label")
     rows = sample.withColumn("order", order).orderBy("order", "features").limit(CANDIDATES).toArrow()
-    none = Detector(Boosted(), np.full(len(KINDS), 2.0))
-    if not rows.num_rows:
-        return none
-    x = np.array(rows.column("features").to_pylist(), np.float64)
-    y = np.asarray(rows.column("label"), np.float64)
+    stock = _stock()
+    x = np.array([*(f for f, _ in stock), *rows.column("features").to_pylist()], np.float64)
+    y = np.array([*(label for _, label in stock), *rows.column("label").to_pylist()], np.float64)
     fitted = np.arange(len(x)) % 2 == 0
-    if not 0 < y[fitted].mean() < 1:
-        return none
     model = Boosted.fit(x[fitted], y[fitted])
     score, truth, kind = model.score(x[~fitted]), y[~fitted], x[~fitted, 0]
     thresholds = np.full(len(KINDS), 2.0)

@@ -95,3 +95,29 @@ def test_trees_learn_and_thresholds_hold():
     x, y = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows], float)
     score = op1_pii.Boosted.fit(x, y).score(x)
     assert ((score >= 0.5) == (y == 1)).mean() > 0.97
+
+
+VARIANTS = {
+    "write to name (at) host (dot) com today": "name (at) host (dot) com",
+    "jane.doe[at]mail[dot]co[dot]uk": "jane.doe[at]mail[dot]co[dot]uk",
+    "phone (017) 555-7713, after six": "(017) 555-7713",
+    "call 00 49 30 123456; or not": "00 49 30 123456",
+    "it is +44/20/7946/0958.": "+44/20/7946/0958",
+    "pay with 4111.1111.1111.1111 now": "4111.1111.1111.1111",
+    "and 5500/0000/0000/0004 too": "5500/0000/0000/0004",
+}
+LOOK_ALIKES = [
+    "on 2024-06-15 12 people came", "from 1990-1995 to 2001-2004", "pay with 4111.1111.1111.1112 now", "look (at) page 5",
+    "version 1.20.3.4000", "sums of 1,234,567,890", "(1998-2004)", "no 12 345 678 9012", "id 0012345678", "12.10.2024",
+]
+
+
+def test_variants_that_the_base_misses_are_found_and_look_alikes_are_not(spark, sf_dir):
+    for table in (cases.no_docs(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        detector = op1_pii.learn(table)
+        for text, span in VARIANTS.items():
+            base, whole = detector.spans(text)
+            assert base == [] and span in [text[a:b] for _, a, b in whole], (text, whole)
+            assert span not in op1_pii.redacted(text, whole)
+        for text in LOOK_ALIKES:
+            assert detector.spans(text) == ([], []), text
