@@ -359,9 +359,27 @@ def cluster(docs: DataFrame, rule: Rule = QUERY) -> DataFrame:
     )
 
 
+_VERTEX = "__vertex"
+
+
 def keep_one(docs: DataFrame, rule: Rule = QUERY) -> DataFrame:
-    """The documents with all their columns, of each component only the one with its least ``doc_id``."""
-    gone = cluster(docs, rule).filter("doc_id <> component_id").select("doc_id").distinct()
+    """The documents with all their columns, of each component one row: one with its least ``doc_id``.
+
+    Of rows that repeat a ``doc_id`` the least by all columns counts. Rows without an id are named by a hash of their
+    text beyond 2**62, so they take part and rows with an id stay before them; those without a word all stay.
+    """
+    word = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    hashed = F.xxhash64(F.col("text").cast("string")).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    held = docs.withColumn(_VERTEX, F.coalesce(F.col("doc_id").cast("long"), F.when(word, hashed)))
+    ids = held.select(F.col(_VERTEX).alias("doc_id"), "text")
+    gone = cluster(ids, rule).filter("doc_id <> component_id").select(F.col("doc_id").alias(_VERTEX)).distinct()
     gone = materialize(gone, "near-copies")
-    small = gone.count() * 64 <= BROADCAST_LIMIT_BYTES
-    return docs.join(F.broadcast(gone) if small else gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    again = held.filter(F.col(_VERTEX).isNotNull()).groupBy(_VERTEX).agg(F.count("*").alias("rows")).filter("rows > 1")
+    again = materialize(again.select(_VERTEX).join(gone, _VERTEX, "left_anti"), "repeated")
+
+    def named(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() * 64 <= BROADCAST_LIMIT_BYTES else ids.hint("merge")
+
+    single = held.join(named(gone.union(again)), _VERTEX, "left_anti").select(*docs.columns)
+    first = held.join(named(again), _VERTEX, "left_semi").groupBy(_VERTEX).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return single.union(first.select("row.*"))

@@ -123,3 +123,16 @@ def test_the_stage_takes_five_words_and_eight_tenths(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert [c for _, _, c in brute_by(rows, 5, 80)] == [1, 1, 3, 4]
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [1, 3, 4]
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Rows that repeat an id, and rows without one, do not stay beside their copies."""
+    one, two, three = cases.prose(1, 40), cases.prose(2, 40), cases.prose(3, 40)
+    rows = [(5, one, "b"), (5, one, "a"), (7, one, "c"), (None, one, "d"), (None, two, "e"), (None, two, "f"), (9, three, "g")]
+    rows += [(None, cases.edited(two, 1, 0) + " end", "h"), (None, None, "i"), (None, " ", "j"), (11, None, "k"), (12, "", "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    got = op9_jaccard.keep_one(docs, op9_jaccard.Rule(5, 80))
+    assert got.columns == docs.columns
+    kept = sorted((r.component_id, r.doc_id) for r in got.collect())
+    assert [k for k in kept if k[0] not in "efh"] == [("a", 5), ("g", 9), ("i", None), ("j", None), ("k", 11), ("l", 12)]
+    assert len([k for k in kept if k[0] in "efh"]) == 1
