@@ -15,7 +15,8 @@ Items are sent to tasks in groups of at most ITEM_BYTES, so what is broadcast is
 groups mean more passes over the documents, with the same result.
 
 Defined results: a row per document, item and place found; a document with a null ``doc_id`` too; items with
-fewer than MIN_ITEM letters and digits are too short to tell and match nothing, like null and empty ones;
+fewer than MIN_ITEM bytes of letters and digits are found without edits and as whole words only; null ones and those
+without a letter or digit match nothing;
 items that repeat are each reported; repeated rows are each searched; empty tables give no rows; other
 columns are ignored by the search and kept by the filter.
 """
@@ -124,6 +125,25 @@ def grams(x: np.ndarray) -> np.ndarray:
     return np.ndarray((len(x) - Q + 1,), "<u8", np.ascontiguousarray(x), strides=(1,)).copy()
 
 
+def _windows(x: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit name of every ``n`` bytes in a row."""
+    if len(x) < n:
+        return np.zeros(0, np.uint64)
+    if n < Q:
+        return grams(np.append(x, np.zeros(Q, np.uint8)))[: len(x) - n + 1] & np.uint64((1 << 8 * n) - 1)
+    gram, count = grams(x), len(x) - n + 1
+    name = np.zeros(count, np.uint64)
+    for start in {*range(0, n - Q, Q), n - Q}:
+        name = name + mix(gram[start : start + count] + np.uint64(start))
+    return name
+
+
+def _joins(one: str, two: str) -> bool:
+    """Whether two signs side by side are of one word; scripts without spaces have a bound after each sign."""
+    spaced = not any("\u0e00" <= c <= "\u109f" or "\u1780" <= c <= "\u17ff" or "\u2e80" <= c <= "\u9fff" or "\U00020000" <= c for c in (one, two))
+    return spaced and one.isalnum() and two.isalnum()
+
+
 def edits_allowed(m: int) -> int:
     return min(m // EDIT_SHARE, (m - Q) // Q)
 
@@ -166,11 +186,17 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    short: dict[int, tuple[np.ndarray, dict[bytes, list[int]]]]
 
     @classmethod
     def of(cls, ids: list[int], column: pa.Array) -> Items:
         data, _, bounds = reduced(column)
         parts = [(i, data[a:b]) for i, a, b in zip(ids, bounds[:-1], bounds[1:], strict=True) if b - a >= MIN_ITEM]
+        short: dict[int, dict[bytes, list[int]]] = {}
+        for i, a, b in zip(ids, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if 0 < b - a < MIN_ITEM:
+                short.setdefault(b - a, {}).setdefault(data[a:b].tobytes(), []).append(i)
+        named = {n: (np.unique(np.concatenate([_windows(np.frombuffer(x, np.uint8), n) for x in own])), own) for n, own in short.items()}
         gram = np.concatenate([*(grams(x) for _, x in parts), np.zeros(0, np.uint64)])
         count = [len(x) - Q + 1 for _, x in parts]
         item = np.repeat(np.arange(len(parts)), count)
@@ -178,7 +204,7 @@ class Items:
         order = np.argsort(gram, kind="stable")
         seen = np.zeros(1 << _BITS, bool)
         seen[mix(gram) >> np.uint64(64 - _BITS)] = True
-        return cls([i for i, _ in parts], [x for _, x in parts], gram[order], item[order], place[order], seen)
+        return cls([i for i, _ in parts], [x for _, x in parts], gram[order], item[order], place[order], seen, named)
 
     def candidates(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Rows ``(text, item, first diagonal, last diagonal)`` of the bands that reach the bound."""
@@ -236,7 +262,24 @@ class Items:
             best = unique.get((text, item, end))
             if best is None or edits < best[4]:
                 unique[text, item, end] = (text, item, first, end, edits)
-        return sorted(unique.values())
+        return sorted([*unique.values(), *self._short_found(column, data, place, bounds, rows)])
+
+    def _short_found(self, column, data, place, bounds, rows) -> Iterator[tuple[int, int, int, int, int]]:
+        """As ``search``, of the short items: whole words without edits."""
+        for n, (names, own) in self.short.items():
+            at = np.flatnonzero(np.isin(_windows(data, n), names))
+            text = np.searchsorted(bounds, at, side="right") - 1
+            for start, row in zip(at.tolist(), text.tolist(), strict=True):
+                ids = own.get(data[start : start + n].tobytes())
+                if ids is None or start + n > bounds[row + 1]:
+                    continue
+                first, end = int(place[start] - rows[row]), int(place[start + n - 1] - rows[row]) + 1
+                whole = column[row].as_py().encode()
+                head, tail = (part.decode(errors="ignore") for part in (whole[max(0, first - 4) : first], whole[end : end + 4]))
+                found = whole[first:end].decode(errors="ignore")
+                if not found or (head and _joins(head[-1], found[0])) or (tail and _joins(found[-1], tail[0])):
+                    continue
+                yield from ((row, i, first, end, 0) for i in ids)
 
 
 def _item_groups(benchmark: DataFrame) -> list[Items]:

@@ -119,6 +119,18 @@ def test_a_region_may_start_inside_a_character(spark):
     assert sorted({r.doc_id for r in rows}) == [1, 2, 3]
 
 
+def test_short_items_are_found_as_whole_words(spark):
+    items = [(1, "Wer bist du?"), (2, "12 + 7 = 19"), (3, "Élan"), (4, "Who wrote Hamlet, then"), (5, "首都是哪里"), (6, "?!"), (7, "élan")]
+    docs = [(1, "so: WER BIST DU, sag"), (2, "x 12+7=19."), (3, "l'ÉLAN vital"), (4, "who wrote hamlet then?"), (5, "中国的首都是哪里呢")]
+    docs += [(6, "wer bist duo, 12+7=198, élans, bwho wrote hamlet then"), (7, "?! wer bist"), (8, None)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = op3.find(table, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 2), (3, 3), (3, 7), (4, 4), (5, 5)}
+    assert {docs[r.doc_id - 1][1][r.start : r.end] for r in rows} == {"WER BIST DU", "12+7=19", "ÉLAN", "who wrote hamlet then", "首都是哪里"}
+    assert sorted(r.doc_id for r in op3.remove(table, benchmark).collect()) == [6, 7, 8]
+
+
 def vectors(seed=4):
     r = np.random.default_rng(seed)
     rows = []
