@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_pii, op2_toxicity, op3_decontaminate, op4_repeats, op5_language, op6_packing, op7_store, op8_embeddings, op9_jaccard, op10_chat
+from . import op1_pii, op2_toxicity, op3_decontaminate, op4_repeats, op5_language, op6_packing, op7_store, op8_embeddings, op9_jaccard, op10_chat, op11_weighting
 from .tables import read
 
 # The conversation that the check adds: control strings inside texts.
@@ -62,6 +62,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_chat.digests(op10_chat.read_back(chats))
 
 
+def op11_context_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_weighting.score(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_boosting": op1_pii_boosting,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_store": op7_token_store,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_context_weighting": op11_context_weighting,
 }
 
 ORACLES: dict[str, str] = {
