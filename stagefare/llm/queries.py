@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_pii, op2_toxicity, op3_decontaminate, op4_repeats, op5_language, op6_packing, op7_store, op8_embeddings, op9_jaccard, op10_chat, op11_weighting, op13_whitening
+from . import op1_pii, op2_toxicity, op3_decontaminate, op4_repeats, op5_language, op6_packing, op7_store, op8_embeddings, op9_jaccard, op10_chat, op11_weighting, op12_alignment, op13_whitening
 from .tables import read
 
 # The conversation that the check adds: control strings inside texts.
@@ -66,6 +66,10 @@ def op11_context_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_weighting.score(read(spark, sf_dir, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_alignment.count_links(read(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_whitening.whiten(read(spark, sf_dir, "embeddings"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_context_weighting": op11_context_weighting,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
