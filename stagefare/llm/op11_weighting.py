@@ -38,12 +38,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runs import first_run, grouped, merge_rows, pack, pack_sorted, summed, unpack, unpack_sorted
+from .runs import distinct, first_run, grouped, merge_rows, merged, pack, pack_sorted, summed, unpack, unpack_sorted
 from .sampling import fold
 from .tables import materialize, ship_package, texts
 from .text import blocks, mix
 
-# Bytes of context; with the byte itself, a gram has 8 bytes at most.
+# Bytes of context; with the byte itself a gram has 7 bytes at most, which leaves one to tell texts apart while sorting.
 ORDER = 6
 # Text of a run, at most, or one document.
 RUN_BYTES = 16 << 20
@@ -82,15 +82,27 @@ def stream_of(column: pa.Array, order: int = ORDER) -> np.ndarray:
 
 def grams_of(stream: np.ndarray, first: int, last: int, order: int) -> tuple[np.ndarray, np.ndarray]:
     """``(positions, grams)`` of the predicted bytes of a stretch. A gram holds the context, nearest byte first, then the byte."""
-    at = np.flatnonzero(stream[first:last] != START) + first
-    code = np.zeros(last - first, np.uint64)
-    for back in range(1, order + 1):
-        shifted = np.zeros(last - first, np.uint64)
-        from_ = max(0, back - first)
-        shifted[from_:] = stream[first + from_ - back : last - back]
-        code = (code << _U8) | shifted
-    code = (code << _U8) | stream[first:last]
-    return at, code[at - first]
+    predicted = stream[first:last] != START
+    start = max(0, first - order)
+    part = stream[start:last]
+
+    def earlier(x: np.ndarray, by: int) -> np.ndarray:
+        out = np.zeros_like(x)
+        out[by:] = x[:-by]
+        return out
+
+    # A context of n bytes is one of half the length, followed by the one that stands as many bytes before.
+    one = earlier(part.astype(np.uint64), 1)
+    known, length = {1: one}, 1
+    while length * 2 <= order:
+        known[length * 2] = (known[length] << np.uint64(8 * length)) | earlier(known[length], length)
+        length *= 2
+    code = known[length]
+    while length < order:
+        more = max(k for k in known if k <= order - length)
+        code = (code << np.uint64(8 * more)) | earlier(known[more], length)
+        length += more
+    return np.flatnonzero(predicted) + first, ((code << _U8) | part)[first - start :][predicted]
 
 
 @dataclass
@@ -286,7 +298,6 @@ class _Run:
 
     def __post_init__(self) -> None:
         self.bytes, self.streams, self.tables = 0, [], []
-        self.grams, self.counts = np.zeros(0, np.uint64), np.zeros(0)
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
         self.words: list[pa.Table] = []
         self.docs = self.tokens = 0
@@ -299,9 +310,10 @@ class _Run:
         for first in range(0, len(stream), SLICE):
             last = min(len(stream), first + SLICE)
             at, grams = grams_of(stream, first, last, self.order)
-            counts = learned[np.searchsorted(ends, at)].astype(np.float64)
-            self.waiting.append(summed(grams, counts))
-        if sum(len(k) for k, _ in self.waiting) > 4 * SLICE:
+            marked = np.sort((grams << _U8) | learned[np.searchsorted(ends, at)])
+            starts = distinct(marked >> _U8)
+            self.waiting.append((marked[starts] >> _U8, np.add.reduceat(marked & np.uint64(1), starts).astype(np.int64)))
+        if sum(len(k) for k, _ in self.waiting) > 2 * SLICE:
             self._fold()
         found = words_of(stream)
         of_word = np.repeat(learned, np.diff(found.bounds))
@@ -312,25 +324,23 @@ class _Run:
         self.tables.append(block.select(["doc_id", "held_out"]))
         self.streams.append(zstandard.compress(stream.tobytes(), 3))
 
-    def _fold(self) -> None:
-        keys = np.concatenate([self.grams, *(k for k, _ in self.waiting)])
-        counts = np.concatenate([self.counts, *(c for _, c in self.waiting)])
-        self.grams, self.counts = summed(keys, counts)
-        self.waiting = []
+    def _fold(self) -> tuple[np.ndarray, np.ndarray]:
+        self.waiting = [merged(self.waiting)]
+        return self.waiting[0]
 
     def rows(self, run: int) -> Iterator[pa.RecordBatch]:
-        self._fold()
+        grams, counts = self._fold()
         words = pa.concat_tables(self.words).group_by("word").aggregate([("n", "sum")])
         names = words.column("word").combine_chunks()
         dealt = np.array([hash_of(w) % self.parts for w in names.to_pylist()], np.int64)
-        part = part_of(self.grams, self.order, self.parts)
+        part = part_of(grams, self.order, self.parts)
         out = []
         for p in range(self.parts):
             own, named = part == p, np.flatnonzero(dealt == p)
             if own.any() or len(named):
                 out.append(
                     {"run": run, "part": p, "ids": b"", "stream": b"", "train_docs": 0, "train_tokens": 0}
-                    | {"grams": pack_sorted(self.grams[own]), "counts": pack(self.counts[own].astype(np.int64))}
+                    | {"grams": pack_sorted(grams[own]), "counts": pack(counts[own])}
                     | {"words": _pack_words(names.take(named)), "word_counts": pack(np.asarray(words.column("n_sum"))[named])}
                 )
         sink = pa.BufferOutputStream()
@@ -381,12 +391,10 @@ _LIST_ARROW = pa.schema(
 )
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One list of each group's, with summed counts; what nobody learned from stays with count 0."""
     for rows in grouped(batches, "part", "slot"):
-        grams, counts = summed(
-            np.concatenate([unpack_sorted(r["grams"]) for r in rows]), np.concatenate([unpack(r["counts"], np.int64) for r in rows])
-        )
+        grams, counts = merged([(unpack_sorted(r["grams"]), unpack(r["counts"], np.int64)) for r in rows])
         named = pa.table({
             "word": pa.array([w for r in rows for w in _unpack_words(r["words"])], pa.binary()),
             "n": np.concatenate([unpack(r["word_counts"], np.int64) for r in rows]),
@@ -457,35 +465,40 @@ _SCORED_ARROW = pa.schema(
 )
 
 
-def _scored(order: int, train_docs: int, train_tokens: int, distinct: int):
+def _scored(order: int, train_docs: int, train_tokens: int, vocabulary: int):
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches, "run"):
-            yield from _score_run(rows, order, train_docs, train_tokens, distinct)
+            yield from _score_run(rows, order, train_docs, train_tokens, vocabulary)
 
     return scored
 
 
-def _score_run(rows: list[dict], order: int, train_docs: int, train_tokens: int, distinct: int) -> Iterator[pa.RecordBatch]:
+def _score_run(rows: list[dict], order: int, train_docs: int, train_tokens: int, vocabulary: int) -> Iterator[pa.RecordBatch]:
     *lists, text = rows
     grams = np.concatenate([unpack_sorted(r["grams"]) for r in lists])
     logs = np.concatenate([unpack(r["logs"], np.float32) for r in lists])
-    place = np.argsort(grams)
+    place = np.argsort(grams, kind="stable")
     grams, logs = grams[place], logs[place].astype(np.float64)
     words = pa.array([w for r in lists for w in _unpack_words(r["words"])], pa.binary())
     counts = np.concatenate([unpack(r["word_counts"], np.int64) for r in lists])
     ids = pa.ipc.open_stream(text["ids"]).read_all().combine_chunks()
     streams = pa.ipc.open_stream(text["stream"]).read_all().column("piece").to_pylist()
-    floor = math.log10(train_tokens + distinct + 1)
+    floor = math.log10(train_tokens + vocabulary + 1)
     done = 0
     for piece in streams:
         stream = np.frombuffer(zstandard.decompress(piece), np.uint8)
         ends = document_ends(stream)
         score = np.zeros(len(ends))
-        for first in range(0, len(stream), SLICE):
-            at, wanted = grams_of(stream, first, min(len(stream), first + SLICE), order)
-            named = pa.array(wanted).dictionary_encode()
-            of = logs[np.searchsorted(grams, np.asarray(named.dictionary))][np.asarray(named.indices)]
-            score += np.bincount(np.searchsorted(ends, at), weights=of, minlength=len(ends))
+        for some in range(0, len(ends), 256):
+            last = min(some + 256, len(ends))
+            bounds = (0 if some == 0 else int(ends[some - 1]) + 1, int(ends[last - 1]) + 1)
+            for first in range(*bounds, SLICE):
+                at, wanted = grams_of(stream, first, min(bounds[1], first + SLICE), order)
+                marked = np.sort((wanted << _U8) | np.searchsorted(ends[some:last], at).astype(np.uint64))
+                named = marked >> _U8
+                starts = distinct(named)
+                of = np.repeat(logs[np.searchsorted(grams, named[starts])], np.diff(np.append(starts, len(named))))
+                score[some:last] += np.bincount((marked & np.uint64(255)).astype(np.int64), weights=of, minlength=last - some)
         found = words_of(stream)
         c = counts[np.asarray(pc.index_in(found.vocabulary.cast(pa.binary()), words))][found.codes] if len(found.codes) else np.zeros(0, np.int64)
         doc = np.repeat(np.arange(len(ends)), np.diff(found.bounds))
@@ -502,15 +515,15 @@ def _score_run(rows: list[dict], order: int, train_docs: int, train_tokens: int,
 
 @dataclass(frozen=True)
 class Plan:
-    """Bytes of context (2 to 7), key partitions, and text of a run."""
+    """Bytes of context (2 to 6), key partitions, and text of a run."""
 
     order: int = ORDER
     parts: int = PARTS
     run_bytes: int = RUN_BYTES
 
     def __post_init__(self) -> None:
-        if not 2 <= self.order <= 7:
-            raise ValueError("a context has 2 to 7 bytes")
+        if not 2 <= self.order <= 6:
+            raise ValueError("a context has 2 to 6 bytes")
 
 
 def score(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
@@ -525,17 +538,17 @@ def score(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     seen = ends.agg(F.count("*"), F.sum("train_docs"), F.sum("train_tokens")).first()
     runs, train_docs, tokens = (int(x or 0) for x in seen)
     lists = rows.filter(F.col("part") < plan.parts).select("part", "run", "grams", "counts", "words", "word_counts")
-    merged = materialize(merge_rows(lists, "part", "run", _merged, _LIST, runs), "weighting-merged")
+    whole = materialize(merge_rows(lists, "part", "run", _added, _LIST, runs), "weighting-merged")
     # At most 65,535 nodes of depth 0 and 1, whatever the corpus holds.
-    up = merged.repartition("part").mapInArrow(_upward(order), _UP)
+    up = whole.repartition("part").mapInArrow(_upward(order), _UP)
     up = up.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "longer", "known")]).collect()
-    distinct = sum(r["known"] for r in up) + (train_docs > 0)
+    vocabulary = sum(r["known"] for r in up) + (train_docs > 0)
     nodes = sorted((r for r in up if r["node"] >= 0), key=lambda r: r["node"])
     columns = [np.array([r[c] for r in nodes], kind) for c, kind in (("node", np.int64), ("zeros", float), ("ones", float), ("longer", float))]
     top = spark.sparkContext.broadcast(top_of(*columns))
-    asked = merged.withColumn("run", F.lit(-1).cast("long")).unionByName(lists)
+    asked = whole.withColumn("run", F.lit(-1).cast("long")).unionByName(lists)
     asked = asked.repartition(F.col("part")).sortWithinPartitions("part", "run")
     answers = asked.mapInArrow(_answered(order, top), _ANSWER)
     said = ends.select("run", "part", *[F.lit(b"").alias(c) for c in ("grams", "logs", "words", "word_counts")], "ids", "stream")
     met = answers.unionByName(said).repartition(F.col("run")).sortWithinPartitions("run", "part")
-    return met.mapInArrow(_scored(order, train_docs, tokens, distinct), _SCORED)
+    return met.mapInArrow(_scored(order, train_docs, tokens, vocabulary), _SCORED)

@@ -51,10 +51,27 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
         return keys, counts
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    starts = distinct(keys)
     return keys[starts], np.add.reduceat(counts, starts)
 
 
+def distinct(ordered: np.ndarray) -> np.ndarray:
+    """Where each value of a sorted array first stands."""
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def merged(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Summed counts of several lists of sorted distinct keys."""
+    keys = np.sort(np.concatenate([k for k, _ in pieces]))
+    keys = keys[distinct(keys)]
+    counts = np.zeros(len(keys), pieces[0][1].dtype)
+    for own, held in pieces:
+        counts[np.searchsorted(keys, own)] += held
+    return keys, counts
+
+
 def grouped(batches: Iterator[pa.RecordBatch], *by: str) -> Iterator[list[dict]]:
     """The rows of each group, of rows sorted by ``by``."""
     held: list[dict] = []
