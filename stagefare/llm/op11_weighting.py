@@ -276,8 +276,8 @@ _RUN_ARROW = pa.schema(
 _EMPTY = {n: b"" for n in ("grams", "counts", "words", "word_counts", "ids", "stream")}
 
 
-def _pack_words(found: pa.Array) -> bytes:
-    return zstandard.compress(b"\n".join(found.to_pylist()), 3)
+def _pack_words(found: list[bytes]) -> bytes:
+    return zstandard.compress(b"\n".join(found), 3)
 
 
 def _unpack_words(blob: bytes) -> list[bytes]:
@@ -299,7 +299,7 @@ class _Run:
     def __post_init__(self) -> None:
         self.bytes, self.streams, self.tables = 0, [], []
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        self.words: list[pa.Table] = []
+        self.words: dict[bytes, int] = {}
         self.docs = self.tokens = 0
 
     def add(self, block: pa.RecordBatch) -> None:
@@ -318,7 +318,8 @@ class _Run:
         found = words_of(stream)
         of_word = np.repeat(learned, np.diff(found.bounds))
         counted = np.bincount(found.codes, weights=of_word, minlength=len(found.vocabulary)).astype(np.int64)
-        self.words.append(pa.table({"word": found.vocabulary, "n": counted}))
+        for word, n in zip(found.vocabulary.to_pylist(), counted.tolist(), strict=True):
+            self.words[word] = self.words.get(word, 0) + n
         self.docs += int(learned.sum())
         self.tokens += int(of_word.sum()) + int(learned.sum())
         self.tables.append(block.select(["doc_id", "held_out"]))
@@ -330,18 +331,20 @@ class _Run:
 
     def rows(self, run: int) -> Iterator[pa.RecordBatch]:
         grams, counts = self._fold()
-        words = pa.concat_tables(self.words).group_by("word").aggregate([("n", "sum")])
-        names = words.column("word").combine_chunks()
-        dealt = np.array([hash_of(w) % self.parts for w in names.to_pylist()], np.int64)
-        part = part_of(grams, self.order, self.parts)
+        names = list(self.words)
+        dealt = np.array([hash_of(w) % self.parts for w in names], np.int64)
+        by_gram, grams_end = by_part(part_of(grams, self.order, self.parts), self.parts)
+        by_word, words_end = by_part(dealt, self.parts)
         out = []
         for p in range(self.parts):
-            own, named = part == p, np.flatnonzero(dealt == p)
-            if own.any() or len(named):
+            own = by_gram[grams_end[p] : grams_end[p + 1]]
+            named = by_word[words_end[p] : words_end[p + 1]].tolist()
+            if len(own) or named:
                 out.append(
                     {"run": run, "part": p, "ids": b"", "stream": b"", "train_docs": 0, "train_tokens": 0}
                     | {"grams": pack_sorted(grams[own]), "counts": pack(counts[own])}
-                    | {"words": _pack_words(names.take(named)), "word_counts": pack(np.asarray(words.column("n_sum"))[named])}
+                    | {"words": _pack_words([names[k] for k in named])}
+                    | {"word_counts": pack(np.array([self.words[names[k]] for k in named], np.int64))}
                 )
         sink = pa.BufferOutputStream()
         table = pa.Table.from_batches(self.tables)
@@ -364,6 +367,12 @@ def hash_of(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
+def by_part(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries in order of their key partition, and where each partition's begin."""
+    order = np.argsort(part.astype(np.uint16), kind="stable")
+    return order, np.append(0, np.cumsum(np.bincount(part, minlength=parts)))
+
+
 def part_of(grams: np.ndarray, order: int, parts: int) -> np.ndarray:
     """The key partition of each gram, by the two bytes next to the predicted one."""
     near = grams >> np.uint64(8 * (order - 1))
@@ -395,13 +404,12 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One list of each group's, with summed counts; what nobody learned from stays with count 0."""
     for rows in grouped(batches, "part", "slot"):
         grams, counts = merged([(unpack_sorted(r["grams"]), unpack(r["counts"], np.int64)) for r in rows])
-        named = pa.table({
-            "word": pa.array([w for r in rows for w in _unpack_words(r["words"])], pa.binary()),
-            "n": np.concatenate([unpack(r["word_counts"], np.int64) for r in rows]),
-        }).group_by("word").aggregate([("n", "sum")])
+        words: dict[bytes, int] = {}
+        for r in rows:
+            for word, n in zip(_unpack_words(r["words"]), unpack(r["word_counts"], np.int64).tolist(), strict=True):
+                words[word] = words.get(word, 0) + n
         row = {"part": rows[0]["part"], "run": min(r["run"] for r in rows), "grams": pack_sorted(grams), "counts": pack(counts)}
-        words = named.column("word").combine_chunks()
-        yield _rows([row | {"words": _pack_words(words), "word_counts": pack(np.asarray(named.column("n_sum")))}], _LIST_ARROW)
+        yield _rows([row | {"words": _pack_words(list(words)), "word_counts": pack(np.array(list(words.values()), np.int64))}], _LIST_ARROW)
 
 
 def _learned(row: dict, order: int) -> list[list[Nodes]]:
@@ -446,13 +454,12 @@ def _answered(order: int, top):
                     part = row["part"]
                     grams = unpack_sorted(row["grams"])
                     logs = log10_of(grams, _learned(row, order), top.value, order).astype(np.float32)
-                    words = pa.array(_unpack_words(row["words"]), pa.binary())
-                    counts = unpack(row["word_counts"], np.int64)
+                    words = dict(zip(_unpack_words(row["words"]), unpack(row["word_counts"], np.int64).tolist(), strict=True))
                     continue
                 own = logs[np.searchsorted(grams, unpack_sorted(row["grams"]))]
-                at = np.asarray(pc.index_in(pa.array(_unpack_words(row["words"]), pa.binary()), words))
+                counts = np.array([words[w] for w in _unpack_words(row["words"])], np.int64)
                 found = {"run": row["run"], "part": part, "grams": row["grams"], "logs": pack(own), "words": row["words"]}
-                yield _rows([found | {"word_counts": pack(counts[at]), "ids": b"", "stream": b""}], _ANSWER_ARROW)
+                yield _rows([found | {"word_counts": pack(counts), "ids": b"", "stream": b""}], _ANSWER_ARROW)
 
     return answered
 
@@ -479,8 +486,9 @@ def _score_run(rows: list[dict], order: int, train_docs: int, train_tokens: int,
     logs = np.concatenate([unpack(r["logs"], np.float32) for r in lists])
     place = np.argsort(grams, kind="stable")
     grams, logs = grams[place], logs[place].astype(np.float64)
-    words = pa.array([w for r in lists for w in _unpack_words(r["words"])], pa.binary())
-    counts = np.concatenate([unpack(r["word_counts"], np.int64) for r in lists])
+    counts: dict[bytes, int] = {}
+    for r in lists:
+        counts |= zip(_unpack_words(r["words"]), unpack(r["word_counts"], np.int64).tolist(), strict=True)
     ids = pa.ipc.open_stream(text["ids"]).read_all().combine_chunks()
     streams = pa.ipc.open_stream(text["stream"]).read_all().column("piece").to_pylist()
     floor = math.log10(train_tokens + vocabulary + 1)
@@ -500,7 +508,7 @@ def _score_run(rows: list[dict], order: int, train_docs: int, train_tokens: int,
                 of = np.repeat(logs[np.searchsorted(grams, named[starts])], np.diff(np.append(starts, len(named))))
                 score[some:last] += np.bincount((marked & np.uint64(255)).astype(np.int64), weights=of, minlength=last - some)
         found = words_of(stream)
-        c = counts[np.asarray(pc.index_in(found.vocabulary.cast(pa.binary()), words))][found.codes] if len(found.codes) else np.zeros(0, np.int64)
+        c = np.array([counts[w] for w in found.vocabulary.to_pylist()], np.int64)[found.codes]
         doc = np.repeat(np.arange(len(ends)), np.diff(found.bounds))
         n = np.diff(found.bounds) + 1
         known = np.bincount(doc, weights=c > 0, minlength=len(ends)).astype(np.int64) + (train_docs > 0)
