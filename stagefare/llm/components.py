@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import checksum, materialize
+from .tables import checksum, discard, materialize
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -49,8 +49,9 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(edges.distinct(), "links")
     seen = checksum(edges)
     while seen[0]:
-        edges = materialize(_small_star(_large_star(edges)).distinct(), "links")
+        last, edges = edges, materialize(_small_star(_large_star(edges)).distinct(), "links")
         before, seen = seen, checksum(edges)
+        discard(last)
         if before == seen:
             break
     roots = edges.select(F.col("b").alias("vertex"), F.col("b").alias("component")).distinct()

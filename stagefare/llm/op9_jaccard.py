@@ -40,13 +40,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagefare.functions.joins import BROADCAST_LIMIT_BYTES
 
 from .components import components
-from .tables import materialize, texts
+from .tables import discard, materialize, texts
 from .text import blocks, mix, words
 
 # A chunk holds about so many texts, and shingles, of a group.
@@ -143,43 +143,48 @@ def _sketch_keys(shingles: np.ndarray, rule: Rule) -> np.ndarray:
     return np.concatenate(keys) if keys else shingles[:0]
 
 
-_SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, brief array<long>"
+_SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, brief array<long>"
 
 
 def _sketches(rule: Rule):
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Size, name and short sketch of every set."""
         longs = pa.list_(pa.int64())
-        names = ("doc_id", "n_shingles", "set_a", "set_b", "keys", "brief")
-        schema = pa.schema(list(zip(names, [pa.int64()] * 4 + [longs] * 2, strict=True)))
+        schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "n_shingles", "set_a", "set_b")] + [("brief", longs)])
         for batch in batches:
             for block in blocks(batch):
-                sizes, first, second, keys, brief = [], [], [], [], []
+                sizes, first, second, brief = [], [], [], []
                 for shingles in shingle_sets(block.column("text"), rule.words):
                     sizes.append(len(shingles))
                     first.append(int(np.add.reduce(shingles, dtype=np.uint64).view(np.int64)))
                     second.append(int(np.bitwise_xor.reduce(mix(shingles)).view(np.int64)))
-                    keys.append(_sketch_keys(shingles, rule) if len(shingles) else shingles)
                     brief.append(_sketch(shingles, BRIEF))
-                ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
-                flat = np.concatenate(keys).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        block.column("doc_id"),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(first, pa.int64()),
-                        pa.array(second, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.arange(len(brief) + 1, dtype=np.int32) * BRIEF),
-                            pa.array(np.concatenate(brief).view(np.int64)),
-                        ),
-                    ],
-                    schema=schema,
-                )
+                ends = pa.array(np.arange(len(brief) + 1, dtype=np.int32) * BRIEF)
+                names = [pa.array(x, pa.int64()) for x in (sizes, first, second)]
+                short = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(brief).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([block.column("doc_id"), *names, short], schema=schema)
 
     return sketches
 
 
+def _keyed(rule: Rule):
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row ``(key, rep, size)`` for every join key of every set."""
+        for batch in batches:
+            for block in blocks(batch):
+                reps = np.asarray(block.column("doc_id"))
+                sets = list(shingle_sets(block.column("text"), rule.words))
+                keys = [_sketch_keys(one, rule) if len(one) else one for one in sets]
+                counts = np.array([len(k) for k in keys])
+                yield pa.record_batch({
+                    "key": pa.array(np.concatenate(keys).view(np.int64)),
+                    "rep": pa.array(np.repeat(reps, counts)),
+                    "size": pa.array(np.repeat(np.array([len(one) for one in sets], np.int32), counts)),
+                })
+
+    return keyed
+
+
 def _verified(rule: Rule):
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of pairs ``(a, b, text, other)`` those that link."""
@@ -312,27 +317,25 @@ def links_of(docs: DataFrame, sketched: DataFrame, rule: Rule = QUERY) -> tuple[
     The links span the components: a copy is linked with the representative of its class only.
     """
     named = sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(*_SET)
-    # Equal sets have equal keys, so any will do.
-    heads = materialize(named.agg(F.min("doc_id").alias("rep"), F.any_value("keys").alias("keys")), "heads")
-    keyed = heads.select("rep", F.col("n_shingles").alias("size"), F.explode("keys").alias("key"))
-    shared = materialize(keyed.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1"), "shared")
-    small = shared.count() * 64 <= BROADCAST_LIMIT_BYTES
-    members = materialize(keyed.join(F.broadcast(shared) if small else shared.hint("merge"), "key"), "members")
+    heads = materialize(named.agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "heads")
+    # Keys are computed from the texts of heads and go straight to their buckets; they are written nowhere.
+    keyed = _only(docs, heads).mapInArrow(_keyed(rule), "key long, rep long, size int")
+    bucket = Window.partitionBy("key")
+    held = {"held": F.count("*"), "low": F.min("rep"), "high": F.max("rep"), "least": F.min("size"), "most": F.max("size")}
+    members = keyed.withColumns({n: c.over(bucket) for n, c in held.items()}).filter("held > 1 and low < high")
+    members = materialize(members, "members")
     # Most buckets hold two; these are pairs at once.
-    two = (
-        members.filter("held = 2")
-        .groupBy("key")
-        .agg(F.min("rep").alias("b"), F.max("rep").alias("a"), F.min("size").alias("size"), F.max("size").alias("hub_size"))
-        .filter(f"a <> b and {rule.sizes_fit('size', 'hub_size')}")
-    )
+    two = members.filter(f"held = 2 and rep = low and {rule.sizes_fit('least', 'most')}")
+    two = two.select(F.col("high").alias("a"), F.col("low").alias("b"))
     # In the others everyone goes against the one that shares most, as it stands nearest to the middle of its group.
     weight = members.filter("held > 2").groupBy("rep").agg(F.sum("held").alias("weight"))
-    ranked = members.filter("held > 2").join(weight, "rep").select("key", "rep", "size", "weight")
+    ranked = members.filter("held > 2").select("key", "rep", "size").join(weight, "rep")
     ranked = materialize(ranked, "ranked")
     hub = ranked.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "rep", "size")).alias("hub"))
     hub = hub.select("key", F.col("hub.rep").alias("b"), F.col("hub.size").alias("hub_size"))
     many = ranked.join(hub, "key").filter("rep <> b").filter(rule.sizes_fit("size", "hub_size")).withColumnRenamed("rep", "a")
-    pairs = two.select("a", "b").union(many.select("a", "b")).distinct()
+    pairs = materialize(two.union(many.select("a", "b")).distinct(), "pairs")
+    discard(members, heads)
     copies = (
         sketched.select("doc_id", *_SET)
         .join(named.agg(F.min("doc_id").alias("rep")), [*_SET])
@@ -340,12 +343,14 @@ def links_of(docs: DataFrame, sketched: DataFrame, rule: Rule = QUERY) -> tuple[
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         .distinct()
     )
-    pairs = materialize(_likely(sketched, materialize(pairs, "pairs"), rule), "pairs")
-    links = _verify(docs, pairs, rule).union(copies)
-    links = materialize(links, "jaccard-links")
+    likely = materialize(_likely(sketched, pairs, rule), "likely")
+    discard(pairs)
+    links = materialize(_verify(docs, likely, rule).union(copies), "jaccard-links")
+    discard(likely)
     found = components(links)
-    links = materialize(links.union(_links_between(docs, ranked, found, rule)), "jaccard-links")
-    return links, components(links)
+    every = materialize(links.union(_links_between(docs, ranked, found, rule)), "jaccard-links")
+    discard(ranked, found, links)
+    return every, components(every)
 
 
 def cluster(docs: DataFrame, rule: Rule = QUERY) -> DataFrame:

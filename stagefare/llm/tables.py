@@ -9,9 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagefare.sources.scratch import materialize
+from stagefare.sources.scratch import _hadoop, materialize
 
-__all__ = ["checksum", "materialize", "read", "ship_package", "texts"]
+__all__ = ["checksum", "discard", "materialize", "read", "ship_package", "texts"]
 
 
 _BATCH, _SPARK_DEFAULT, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 4 << 20
@@ -34,6 +34,14 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
 
 
+def discard(*written: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more."""
+    for df in written:
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            files, folder = _hadoop(df.sparkSession, path)
+            files.delete(folder, True)
+
+
 def checksum(df: DataFrame) -> tuple:
     """Row count and an order-free hash of a small-row table, to see whether it changed."""
     row = df.agg(
