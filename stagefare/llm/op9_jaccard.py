@@ -8,11 +8,14 @@ and 90, the pipeline's stage 5 words and 80.
 1. Sets of sizes ``a <= b`` that link have ``b <= a * 100 / percent`` and differ in at most
    ``(a + b) * (100 - percent) / (100 + percent)`` shingles. Sizes fall into bands of the first ratio, so
    partners are in the same or the next band, and a band bounds the difference of its pairs by a ``d``.
-2. For a band a set is sketched as ``d + 1`` words of 64 bits: every shingle is hashed to one
+2. For a band a set is sketched as ``d + 1 + s`` words: every shingle is hashed to one
    bit and the bits are XORed. Each differing shingle changes at most one bit, so the
    Hamming distance of two sketches never exceeds the symmetric difference; by the
-   pigeonhole principle linked sets agree in at least one of the ``d + 1`` words. The words
-   are the join keys.
+   pigeonhole principle linked sets agree in at least ``s + 1`` words, into which the same shingles fall.
+   The words are the join keys. They are 2**64 bits wide, as 64 bits say little where few shingles fall into a word, and
+   stand for themselves as the XOR of their bits' numbers, scrambled. A set leaves out those with fewer than ``t`` shingles, for the highest ``t`` that
+   leaves out ``s`` at most: of the ``s + 1`` words that two linked sets share, the one with the most shingles is kept
+   by both. So empty words are no keys where shingles are few for each word.
 3. Texts with equal sets are one class, of which the least document goes through the join.
 4. Members rank by how many members their buckets hold in all, so the text from which a group of near copies
    came ranks first. Every member of a bucket is verified against the bucket's first by rank,
@@ -75,6 +78,11 @@ class Rule:
         shared = math.gcd(100 - self.percent, 100 + self.percent)
         return (100 - self.percent) // shared, (100 + self.percent) // shared
 
+    def spare(self, most: int) -> int:
+        """Words beyond those that differing shingles can change; with more than 5 shingles a word none are needed."""
+        p, q = self.apart
+        return most // 9 + 1 if 2 * p * 5 >= q else 0
+
     def sizes_fit(self, one: str, two: str) -> str:
         """SQL: whether sets of two sizes can link."""
         return f"100 * least({one}, {two}) >= {self.percent} * greatest({one}, {two})"
@@ -118,10 +126,14 @@ def shingle_sets(column: pa.Array, length: int = QUERY.words) -> Iterator[np.nda
             yield whole[:0]
 
 
+def _word_of(shingles: np.ndarray, count: int) -> np.ndarray:
+    """The word of a sketch that each shingle falls into."""
+    return (((shingles >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)).astype(np.int64)
+
+
 def _sketch(shingles: np.ndarray, count: int) -> np.ndarray:
     """``count`` words of 64 bits, in which every shingle has flipped one bit."""
-    word = ((shingles >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-    at = word.astype(np.int64) * 64 + (shingles & np.uint64(63)).astype(np.int64)
+    at = _word_of(shingles, count) * 64 + (shingles & np.uint64(63)).astype(np.int64)
     parity = (np.bincount(at, minlength=count * 64) & 1).astype(np.uint8)
     return np.packbits(parity, bitorder="little").view(np.uint64)
 
@@ -137,9 +149,16 @@ def _sketch_keys(shingles: np.ndarray, rule: Rule) -> np.ndarray:
         most = p * 2 * (int(bands[band + 1]) - 1) // q
         if most == 0 or (band > own and 100 * n < rule.percent * bands[band]):
             continue
-        count = most + 1
+        spare = rule.spare(most)
+        count = most + 1 + spare
         place = np.arange(count, dtype=np.uint64) + np.uint64((band << 32) + 1)
-        keys.append(mix(mix(place) + _sketch(shingles, count)))
+        word = _word_of(shingles, count)
+        starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))  # shingles are sorted, so words are too
+        bits = np.zeros(count, np.uint64)
+        bits[word[starts]] = np.bitwise_xor.reduceat(mix(shingles), starts)
+        key = mix(mix(place) + bits)
+        held = np.bincount(word, minlength=count)
+        keys.append(key[held >= np.sort(held)[spare]])
     return np.concatenate(keys) if keys else shingles[:0]
 
 
