@@ -698,6 +698,19 @@ select request_id, round(case when high < low then low * 1.5 else high end, 4) a
             f"select '{m}' as model, 0.0::double as rmse_off, 0.0::double as mae_off, 0.0::double as r2_off"
             for m in ("linear_regression", "lasso_regression", "elastic_net", "decision_tree", "gbt")
         ),
+        "tree_predictions_check": _learn(_MAX, _TEST)
+        + " union all ".join(
+            f"select '{m}' as model, (select count(*) from test) as n_rows, 0.0::double as prediction_off"
+            for m in ("decision_tree", "gbt", "random_forest")
+        ),
+        "tree_leaves_check": _learn(_MAX, _TEST)
+        + "select n as n_rows, 0::bigint as rows_off, 0.0::double as mean_off from m_all",
+        "tree_importance_check": " union all ".join(
+            f"select '{m}' as model, '{f}' as feature, 0.0::double as importance_off"
+            for m in ("decision_tree", "gbt", "random_forest")
+            for f in _MODEL_INPUTS
+        ),
+        "one_hot_tree_check": "select 'one_hot' as model, 0.0::double as prediction_off, 0.0::double as importance_off",
         "feature_importance_facts": " union all ".join(
             f"select '{f}' as feature, 0.0::double as importance" for f in _MODEL_INPUTS
         )

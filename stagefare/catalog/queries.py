@@ -24,7 +24,7 @@ from stagefare.columns import (
     mean_column,
 )
 from stagefare.operators import evaluate as ev
-from stagefare.operators import profile, reports, score
+from stagefare.operators import profile, reports, score, trees
 from stagefare.operators.clean import clean_listings
 from stagefare.operators.encoding import (
     MeanEncoder,
@@ -33,6 +33,7 @@ from stagefare.operators.encoding import (
     save_encoding,
 )
 from stagefare.operators.features import dense_assembler, indexer, one_hot_encoder
+from stagefare.operators.regressors import sweep_grid
 from stagefare.operators.rows import dedup, in_train, require
 from stagefare.operators.rows import fill_missing as fill_constants
 from stagefare.plans import training
@@ -476,7 +477,7 @@ def fit_gbt(spark, sf_dir):
 @query
 def fit_random_forest(spark, sf_dir):
     data = training.prepare_means(cleaned_listings(spark, sf_dir), MAX_PRICE, written=True)
-    model = training.mean_model("random_forest", MAX_PRICE, "quick").fit(data.train)
+    model = training.mean_model("random_forest", MAX_PRICE, "probe").fit(data.train)
     return ev.evaluate(model.transform(data.test), MAX_PRICE)
 
 
@@ -490,23 +491,70 @@ def one_hot_linear(spark, sf_dir):
 @query
 def compare_models(spark, sf_dir):
     data = training.prepare_means(cleaned_listings(spark, sf_dir), MAX_PRICE, written=True)
-    return training.compare_models(data, MAX_PRICE, "quick", parallelism=3)[0]
+    return training.compare_models(data, MAX_PRICE, "probe", parallelism=3)[0]
 
 
-SMALL_GRID = {
-    "lr_1": ("linear_regression", {"maxIter": 100}),
-    "lasso_1": ("lasso_regression", {"maxIter": 100, "regParam": 0.1}),
-    "lasso_2": ("lasso_regression", {"maxIter": 100, "regParam": 0.01}),
-    "elastic_net_1": ("elastic_net", {"maxIter": 100, "elasticNetParam": 0.5}),
-    "dt_1": ("decision_tree", {"maxDepth": 3}),
-    "dt_2": ("decision_tree", {"maxDepth": 6}),
-}
+# Families of the sweep that a workstation fits in a short time; forests and boosted trees are left to ``sweep_job``.
+_SWEPT = ("linear_regression", "lasso_regression", "elastic_net", "decision_tree")
 
 
 @query
 def sweep_models(spark, sf_dir):
     data = training.prepare_means(cleaned_listings(spark, sf_dir), MIN_PRICE, written=True)
-    return training.sweep(data, MIN_PRICE, SMALL_GRID, parallelism=3)[0]
+    grid = {name: entry for name, entry in sweep_grid().items() if entry[0] in _SWEPT}
+    return training.sweep(data, MIN_PRICE, grid, parallelism=4)[0]
+
+
+# -- trees as tables: differences between what node rows say and what the models say ---------
+
+
+def _tree_models(spark, sf_dir):
+    data = training.prepare_means(cleaned_listings(spark, sf_dir), MAX_PRICE, written=True)
+    models = {k: training.mean_model(k, MAX_PRICE, "probe") for k in ("decision_tree", "gbt", "random_forest")}
+    fitted = training.fit_all(data.train, models, parallelism=3)
+    return data, fitted, trees.all_nodes(spark, fitted)
+
+
+def _prediction_off(test: DataFrame, fitted: dict[str, PipelineModel], nodes: DataFrame) -> DataFrame:
+    predictions, columns = training.predict_all(test, fitted)
+    assembled = PipelineModel(next(iter(fitted.values())).stages[:-1]).transform(predictions)
+    walked = trees.predict_by_nodes(assembled, nodes)
+    off = [F.struct(F.lit(n).alias("model"), F.max(F.abs(F.col(c) - F.col(f"walked_{n}"))).alias("prediction_off")) for n, c in columns.items()]
+    counted = walked.agg(F.count("*").alias("n_rows"), F.array(*off).alias("models"))
+    return counted.select("n_rows", F.inline("models")).select("model", "n_rows", "prediction_off")
+
+
+@query
+def tree_predictions_check(spark, sf_dir):
+    data, fitted, nodes = _tree_models(spark, sf_dir)
+    return _prediction_off(data.test, fitted, nodes)
+
+
+@query
+def tree_leaves_check(spark, sf_dir):
+    """Leaves of the full tree against the training rows that end in them."""
+    data = training.prepare_means(cleaned_listings(spark, sf_dir), MAX_PRICE, written=True)
+    model = training.mean_model("decision_tree", MAX_PRICE).fit(data.train)
+    nodes = trees.all_nodes(spark, {"decision_tree": model})
+    rows = PipelineModel(model.stages[:-1]).transform(data.train)
+    found = trees.leaf_statistics(rows, nodes, MAX_PRICE.column).withColumnsRenamed({"rows": "n", "model": "of"})
+    leaves = nodes.filter("left < 0").join(found.drop("tree", "of"), "node", "full")
+    return leaves.agg(
+        F.sum(F.col("n")).alias("n_rows"),
+        F.sum(F.when(F.col("n").eqNullSafe(F.col("rows")), 0).otherwise(1)).alias("rows_off"),
+        F.max(F.abs(F.col("mean") - F.col("prediction"))).alias("mean_off"),
+    )
+
+
+@query
+def tree_importance_check(spark, sf_dir):
+    data, fitted, nodes = _tree_models(spark, sf_dir)
+    names = list(MEAN_FEATURES)
+    single = trees.importance_by_nodes(nodes.filter("model <> 'gbt'"), names)
+    found = single.unionByName(trees.importance_by_nodes(nodes.filter("model = 'gbt'"), names, normalise_trees=False))
+    told = [(m, f, v) for m, model in fitted.items() for f, v in ev.importance_values(model, data.test).items()]
+    told = spark.createDataFrame(told, "model string, feature string, told double")
+    return found.join(told, ["model", "feature"], "full").select("model", "feature", (F.col("importance") - F.col("told")).alias("importance_off"))
 
 
 # The kinds whose full settings a workstation fits in a short time.
@@ -605,6 +653,20 @@ def _facts(importance: DataFrame) -> DataFrame:
     return shares.unionByName(total)
 
 
+@query
+def one_hot_tree_check(spark, sf_dir):
+    """A tree on one-hot vectors, whose splits are categories: its predictions and importances by node rows."""
+    train, test = _sides(spark, sf_dir, MAX_PRICE)
+    model = training.one_hot_model("decision_tree", MAX_PRICE).fit(train)
+    nodes = trees.all_nodes(spark, {"one_hot": model})
+    off = _prediction_off(test, {"one_hot": model}, nodes)
+    names = ev.feature_names(model, test)
+    told = spark.createDataFrame(list(ev.importance_values(model, test).items()), "feature string, told double")
+    found = trees.importance_by_nodes(nodes, names).join(told, "feature", "full")
+    apart = found.agg(F.max(F.abs(F.col("importance") - F.col("told"))).alias("importance_off"))
+    return off.join(F.broadcast(apart.withColumn("model", F.lit("one_hot"))), "model").drop("n_rows")
+
+
 @query
 def feature_importance_facts(spark, sf_dir):
     return _facts(feature_importance(spark, sf_dir))
@@ -758,7 +820,7 @@ def score_full(spark, sf_dir):
         for label in (MAX_PRICE, MIN_PRICE)
     }
     models = tuple(
-        training.mean_model("random_forest", label, "quick").fit(d.train)
+        training.mean_model("gbt", label).fit(d.train)
         for label, d in data.items()
     )
     tables = score.ScoringTables.build(
