@@ -698,6 +698,8 @@ select request_id, round(case when high < low then low * 1.5 else high end, 4) a
             f"select '{m}' as model, 0.0::double as rmse_off, 0.0::double as mae_off, 0.0::double as r2_off"
             for m in ("linear_regression", "lasso_regression", "elastic_net", "decision_tree", "gbt")
         ),
+        "string_index_models": _learn(_MAX, _TEST)
+        + " union all ".join(f"select '{d}' as dim, 0::bigint as n_off, (select count(*) from test) as n_rows" for d in _DIMS),
         "tree_predictions_check": _learn(_MAX, _TEST)
         + " union all ".join(
             f"select '{m}' as model, (select count(*) from test) as n_rows, 0.0::double as prediction_off"

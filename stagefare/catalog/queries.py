@@ -25,6 +25,7 @@ from stagefare.columns import (
 )
 from stagefare.operators import evaluate as ev
 from stagefare.operators import profile, reports, score, trees
+from stagefare.operators.category_index import apply_index, category_index
 from stagefare.operators.clean import clean_listings
 from stagefare.operators.encoding import (
     MeanEncoder,
@@ -329,7 +330,7 @@ def encode_test(spark, sf_dir):
 @query
 def string_index(spark, sf_dir):
     train, test = _sides(spark, sf_dir, MAX_PRICE)
-    indexed = indexer().fit(train).transform(test)
+    indexed = apply_index(test, category_index(train, ONE_HOT_DIMS), ONE_HOT_DIMS)
     entries = [
         F.struct(F.lit(d).alias("dim"), F.col(d).alias("label"), F.col(f"{d}_idx").alias("idx"))
         for d in ONE_HOT_DIMS
@@ -337,6 +338,17 @@ def string_index(spark, sf_dir):
     return indexed.select(F.inline(F.array(*entries))).groupBy("dim", "label", "idx").count()
 
 
+@query
+def string_index_models(spark, sf_dir):
+    """Rows whose index by the table differs from that of MLlib's indexer, by column."""
+    train, test = _sides(spark, sf_dir, MAX_PRICE)
+    own = apply_index(test, category_index(train, ONE_HOT_DIMS), ONE_HOT_DIMS)
+    own = own.withColumnsRenamed({f"{d}_idx": f"{d}_own" for d in ONE_HOT_DIMS})
+    both = indexer().fit(train).transform(own)
+    entries = [F.struct(F.lit(d).alias("dim"), (F.col(f"{d}_idx") != F.col(f"{d}_own")).alias("off")) for d in ONE_HOT_DIMS]
+    return both.select(F.inline(F.array(*entries))).groupBy("dim").agg(F.count_if("off").alias("n_off"), F.count("*").alias("n_rows"))
+
+
 @query
 def one_hot_counts(spark, sf_dir):
     train, test = _sides(spark, sf_dir, MAX_PRICE)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagefare.columns import Label
-from stagefare.functions.quantiles import exact_quantiles
+from stagefare.functions.running import number, quantiles
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -41,11 +41,9 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Count, mean, standard deviation, extremes and exact quartiles per column."""
     columns = columns or numeric_columns(df)
-    quartiles = exact_quantiles(df, columns, list(QUARTILES.values()))
     entries = []
     for c in columns:
-        value = F.col(c).cast("double")
-        value = F.when(~F.isnan(value), value)
+        value = number(c)
         entries.append(
             F.struct(
                 F.lit(c).alias("column_name"),
@@ -53,14 +51,17 @@ def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFram
                 F.avg(value).alias("mean"),
                 F.stddev_samp(value).alias("std"),
                 F.min(value).alias("min"),
-                *[
-                    F.lit(quartiles[(c, p)]).cast("double").alias(q)
-                    for q, p in QUARTILES.items()
-                ],
                 F.max(value).alias("max"),
             )
         )
-    return df.agg(F.array(*entries).alias("stats")).select(F.inline("stats"))
+    stats = df.agg(F.array(*entries).alias("stats")).select(F.inline("stats"))
+    found = quantiles(df, columns, list(QUARTILES.values()))
+    wide = found.groupBy("column_name").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(q) for q, p in QUARTILES.items()]
+    )
+    return stats.join(F.broadcast(wide), "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min", *QUARTILES, "max"
+    )
 
 
 def profile_missing(df: DataFrame) -> DataFrame:

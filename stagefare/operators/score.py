@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stagefare.columns import ENCODED_DIMS, mean_column
 from stagefare.functions.calendar import full_date
 from stagefare.functions.joins import Lookup, look_up, measure, measure_dims
+from stagefare.functions.running import quantiles
 from stagefare.functions.text import first_number_in_list, strip_list_marks
 from stagefare.operators.encoding import MeanEncoding
 from stagefare.sources.scratch import materialize
@@ -68,12 +69,9 @@ def artist_reference(raw: DataFrame) -> DataFrame:
 
 
 def default_popularity(artists: DataFrame) -> DataFrame:
-    """Median popularity of the artists that have one, else 50, as one row.
-
-    Popularity is a small whole number, so the exact median's buffer is small.
-    """
-    middle = F.coalesce(F.median("popularity"), F.lit(DEFAULT_POPULARITY))
-    return artists.agg(middle.alias("default_popularity"))
+    """Median popularity of the artists that have one, else 50, as one row."""
+    middle = quantiles(artists, ["popularity"], [0.5])
+    return middle.agg(F.coalesce(F.max("value"), F.lit(DEFAULT_POPULARITY)).alias("default_popularity"))
 
 
 def paired_means(highest: MeanEncoding, lowest: MeanEncoding) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from stagefare.operators.regressors import KINDS, SHORT_NAMES, make_regressor
 from stagefare.operators.rows import hash_split, in_train, training_rows
 from stagefare.sources.models import model_path, save_model
 from stagefare.sources.outputs import write_report, write_rows
-from stagefare.sources.scratch import materialize
+from stagefare.sources.scratch import exists, materialize
 
 # What the training jobs read of a cleaned table besides the label.
 ID_COLUMNS = ("event_id", "artist", "event_date")
@@ -169,32 +170,56 @@ def train_job(
     return cleaned.sparkSession.read.csv(f"{target}/metrics", header=True, inferSchema=True)
 
 
-# Models whose predictions share a pass over the test rows, and which the driver
-# holds at a time; deep forests are large.
+# Models whose predictions share a pass over the test rows, and which the driver holds at a time.
 MODELS_PER_PASS = 8
 
 
+def passes(models: dict[str, Pipeline]) -> list[tuple[str, ...]]:
+    """Names by pass: MODELS_PER_PASS at a time, but every forest by itself, as deep forests are large."""
+    forests = [n for n, m in models.items() if isinstance(m.getStages()[-1], RandomForestRegressor)]
+    others = [n for n in models if n not in forests]
+    return [*itertools.batched(others, MODELS_PER_PASS), *((n,) for n in forests)]
+
+
+def ledger_path(target: str, name: str) -> str:
+    """Where a finished entry of a comparison or sweep leaves its metrics, after all its other outputs."""
+    return f"{target}/ledger/{name}"
+
+
+def _finish(data: Prepared, label: Label, target: str, fitted: dict[str, PipelineModel]) -> None:
+    """Save models with their samples and importances; their ledger entries come last."""
+    predictions, columns = predict_all(data.test, fitted)
+    metrics = {r["model"]: r for r in ev.compare_predictions(predictions, label, columns).collect()}
+    sample = materialize(ev.first_rows(predictions, "event_id"), "sample")
+    for name, model in fitted.items():
+        save_model(model, model_path(target, name))
+        shown = ev.prediction_sample(sample, label, prediction=columns[name])
+        write_report(shown, f"{target}/predictions_sample/{name}")
+        if hasattr(model.stages[-1], "featureImportances"):
+            importance = ev.feature_importance(model, data.test)
+            write_report(importance, f"{target}/feature_importance/{name}")
+        row = ev.comparison_table(sample.sparkSession, [tuple(metrics[name])])
+        row.coalesce(1).write.mode("overwrite").parquet(ledger_path(target, name))
+
+
 def _fit_and_save(
     cleaned: DataFrame, label: Label, target: str, models: dict[str, Pipeline], parallelism: int
 ) -> DataFrame:
-    """Fit models batch by batch; save each with its sample and importances, then all metrics."""
-    data = prepare_means(cleaned, label, written=True)
-    save_encoding(data.encoding, f"{target}/avg_encoding")
-    rows = []
-    for batch in itertools.batched(models, MODELS_PER_PASS):
-        fitted = fit_all(data.train, {n: models[n] for n in batch}, parallelism)
-        predictions, columns = predict_all(data.test, fitted)
-        compared = ev.compare_predictions(predictions, label, columns)
-        rows += [tuple(r) for r in compared.collect()]
-        sample = materialize(ev.first_rows(predictions, "event_id"), "sample")
-        for name, model in fitted.items():
-            save_model(model, model_path(target, name))
-            shown = ev.prediction_sample(sample, label, prediction=columns[name])
-            write_report(shown, f"{target}/predictions_sample/{name}")
-            if hasattr(model.stages[-1], "featureImportances"):
-                importance = ev.feature_importance(model, data.test)
-                write_report(importance, f"{target}/feature_importance/{name}")
-    comparison = ev.comparison_table(cleaned.sparkSession, rows)
+    """Fit models pass by pass and save each, then all metrics.
+
+    A restart on the same target fits only the models that have no ledger entry; split, encoding and seeds do not depend
+    on the run, so the result is that of a run without a stop.
+    """
+    spark = cleaned.sparkSession
+    left = {n: m for n, m in models.items() if not exists(spark, ledger_path(target, n))}
+    if left:
+        data = prepare_means(cleaned, label, written=True)
+        save_encoding(data.encoding, f"{target}/avg_encoding")
+        for names in passes(left):
+            _finish(data, label, target, fit_all(data.train, {n: left[n] for n in names}, parallelism))
+    ledger = spark.read.schema(ev.COMPARISON_SCHEMA).parquet(*[ledger_path(target, n) for n in models])
+    found = {r["model"]: tuple(r) for r in ledger.collect()}
+    comparison = ev.comparison_table(spark, [found[n] for n in models])
     write_report(comparison, f"{target}/metrics_comparison_csv")
     write_report(comparison, f"{target}/metrics_comparison_json", "json")
     return comparison

@@ -199,3 +199,34 @@ def test_sweep_job_runs_in_batches(spark, known, tmp_path, monkeypatch):
     table = training.sweep_job(known, LABEL, f"{tmp_path}/s", grid)
     assert {r.model for r in table.collect()} == set(grid)
     assert spark.read.csv(f"{tmp_path}/s/predictions_sample/dt_1", header=True).count() == 100
+
+
+def test_sweep_job_resumes_where_it_stopped(spark, known, tmp_path, monkeypatch):
+    monkeypatch.setattr(training, "MODELS_PER_PASS", 1)
+    grid = {k: v for k, v in sweep_grid().items() if k in ("lr_1", "lasso_1", "lasso_2", "dt_1")}
+    whole = training.sweep_job(known, LABEL, f"{tmp_path}/whole", grid).collect()
+    fits, fit_all = [], training.fit_all
+
+    def stopped(train, models, parallelism=1):
+        if len(fits) == 2:
+            raise RuntimeError("stopped")
+        fits.extend(models)
+        return fit_all(train, models, parallelism)
+
+    monkeypatch.setattr(training, "fit_all", stopped)
+    with pytest.raises(RuntimeError):
+        training.sweep_job(known, LABEL, f"{tmp_path}/s", grid)
+    again = []
+    monkeypatch.setattr(training, "fit_all", lambda t, m, p=1: (again.extend(m), fit_all(t, m, p))[1])
+    resumed = training.sweep_job(known, LABEL, f"{tmp_path}/s", grid).collect()
+    assert fits == ["lr_1", "lasso_1"] and again == ["lasso_2", "dt_1"]
+    assert resumed == whole
+    training.sweep_job(known, LABEL, f"{tmp_path}/s", grid)
+    assert again == ["lasso_2", "dt_1"]
+
+
+def test_forests_are_fitted_one_at_a_time():
+    models = {n: training.mean_model(kind, LABEL, **params) for n, (kind, params) in sweep_grid().items()}
+    found = training.passes(models)
+    assert sorted(n for names in found for n in names) == sorted(models)
+    assert all(len(names) == 1 for names in found if names[0].startswith("rf")) and max(map(len, found)) <= 8

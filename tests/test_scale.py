@@ -10,7 +10,8 @@ from conftest import plan_of
 from stagefare.catalog.fixture import raw_listings
 from stagefare.columns import MAX_PRICE
 from stagefare.functions.joins import Lookup, look_up, measure
-from stagefare.functions.quantiles import exact_quantiles
+from stagefare.functions.running import quantiles, running_total
+from stagefare.operators.category_index import apply_index, category_index, slots
 from stagefare.operators import reports
 from stagefare.operators.encoding import MeanEncoder, encoding_map
 from stagefare.operators.rows import hash_split
@@ -116,23 +117,49 @@ def test_large_look_up_splits_a_hot_key(spark):
             spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("limit", [100_000, 50])
-def test_exact_quantiles(spark, limit):
+def test_exact_quantiles(spark):
     rng = random.Random(5)
     values = [round(rng.gauss(100, 30), 2) for _ in range(3000)] + [77.0] * 1500
     other = [float(rng.randint(0, 3)) for _ in values]
-    data = [(v, o, None) for v, o in zip(values, other)] + [(float("nan"), None, None)]
+    data = [(v, o, None) for v, o in zip(values, other)] + [(float("nan"), None, None), (float("inf"), None, None)]
     df = spark.createDataFrame(data, "v double, o double, none double").repartition(6)
     probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = exact_quantiles(df, ["v", "o", "none"], probs, group_limit=limit)
-    for name, column in (("v", sorted(values)), ("o", sorted(other))):
+    got = {(r.column_name, r.prob): r.value for r in quantiles(df, ["v", "o", "none"], probs).collect()}
+    for name, column in (("v", sorted([*values, float("inf")])), ("o", sorted(other))):
         for p in probs:
             at = (len(column) - 1) * p
             low = column[int(at)]
             high = column[min(int(at) + 1, len(column) - 1)]
-            assert got[(name, p)] == pytest.approx(low + (high - low) * (at - int(at)), abs=1e-9)
-    assert got[("none", 0.5)] is None
-    assert got[("v", 0.5)] == pytest.approx(statistics.median(values))
+            want = low if low == high else low + (high - low) * (at - int(at))
+            assert got[(name, p)] == pytest.approx(want, abs=1e-9)
+    assert len(got) == 2 * len(probs)
+    assert got[("o", 0.5)] == pytest.approx(statistics.median(other))
+
+
+def test_running_totals_span_tasks(spark):
+    rows = [(g, k, k % 5) for g in ("a", "b", None) for k in range(400)]
+    df = spark.createDataFrame(rows, "g string, k int, w int").repartition(7)
+    found = running_total(df, "g", [-F.col("k")], F.col("w"), "s")
+    assert "SinglePartition" not in plan_of(found)
+    for g in ("a", "b", None):
+        total = 0
+        for r in sorted((r for r in found.collect() if r.g == g), key=lambda r: -r.k):
+            total += r.w
+            assert r.s == total
+
+
+def test_category_index_by_frequency_and_name(spark):
+    rows = [("x", "m")] * 5 + [("y", "m")] * 5 + [("z", "n")] * 9 + [(None, "n")] * 3
+    df = spark.createDataFrame(rows, "one string, two string").repartition(4)
+    index = category_index(df, ("one", "two"))
+    assert {(r.dim, r.key): (r["index"], r["rows"]) for r in index.collect()} == {
+        ("one", "z"): (0, 9), ("one", "x"): (1, 5), ("one", "y"): (2, 5), ("two", "n"): (0, 12), ("two", "m"): (1, 10)
+    }
+    new = spark.createDataFrame([("x", "?"), (None, "n")], "one string, two string")
+    assert sorted(map(tuple, apply_index(new, index, ("one", "two")).select("one_idx", "two_idx").collect())) == [(1.0, 2.0), (3.0, 0.0)]
+    assert slots(index, ("one", "two")) == {"one": 3, "two": 2}
+    none = category_index(df.limit(0), ("one",))
+    assert [r.one_idx for r in apply_index(df, none, ("one",)).collect()] == [0.0] * 22
 
 
 def test_encoding_same_by_broadcast_and_shuffle(spark, cleaned):
