@@ -9,6 +9,8 @@ items, so that the bound below stays positive).
    diagonals (place in text less place in item) at most ``2 * k + 1`` apart.
 2. Every q-gram of a text is looked up among those of the items; hits are counted by item and
    band of diagonals. Bands are twice as wide as needed and overlap by half, so one holds all.
+   Pairs are expanded a slice at a time; bands that no later place can reach are closed, so memory follows the items, not
+   the pairs. Where a q-gram repeats in a text, only its first place in a band is looked at.
 3. Bands that reach the bound are verified by banded alignment of the item with their region.
 
 Items are sent to tasks in groups of at most ITEM_BYTES, so what is broadcast is bounded; more
@@ -39,6 +41,8 @@ Q = 8
 EDIT_SHARE = 10
 MIN_ITEM = 24
 ITEM_BYTES = 8 << 20
+# Pairs of equal q-grams of text and items that are expanded at a time: it bounds memory on repetitive texts.
+EXPANDED = 1 << 19
 _BITS = 22
 
 # Bytes compared: a-z, 0-9 and those of letters beyond ASCII; A-Z are mapped to a-z, others dropped.
@@ -176,6 +180,15 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int, an
     return int(row[best]), int(column[best])
 
 
+def _since_last(gram: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How far back the same q-gram last stood in the same text; a large number if it did not."""
+    gap = np.full(len(at), np.iinfo(np.int64).max)
+    order = np.lexsort((at, gram, text))
+    same = (gram[order][1:] == gram[order][:-1]) & (text[order][1:] == text[order][:-1])
+    gap[order[1:][same]] = np.diff(at[order])[same]
+    return gap
+
+
 @dataclass
 class Items:
     """Benchmark items with their q-grams in order."""
@@ -208,32 +221,53 @@ class Items:
 
     def candidates(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Rows ``(text, item, first diagonal, last diagonal)`` of the bands that reach the bound."""
+        none = np.zeros((0, 4), np.int64)
+        if not self.ids:
+            return none
         gram = grams(data)
         at = np.flatnonzero(self.seen[mix(gram) >> np.uint64(64 - _BITS)]) if len(gram) else np.zeros(0, np.int64)
         first = np.searchsorted(self.gram, gram[at], side="left")
         count = np.searchsorted(self.gram, gram[at], side="right") - first
         text = np.searchsorted(bounds, at, side="right") - 1
         count[at + Q > bounds[text + 1]] = 0
-        sums = np.cumsum(count) - count
-        entry = np.repeat(first - sums, count) + np.arange(count.sum())
-        item, text, at = self.item[entry], np.repeat(text, count), np.repeat(at, count)
+        at, first, count, text = (x[count > 0] for x in (at, first, count, text))
+        if not len(at):
+            return none
         sizes = np.array([len(x) for x in self.bytes_], np.int64)
         allowed = np.minimum(sizes // EDIT_SHARE, (sizes - Q) // Q)
-        width = 2 * allowed + 1
-        diagonal = at - bounds[text] - self.place[entry] + sizes[item]  # never negative
-        band = diagonal // width[item]
-        limit = int(band.max(initial=0)) + 2
-        # Band b holds the widths b and b + 1: a hit counts for its own and the one before.
-        key = (text * len(self.ids) + item) * limit + band + 1
-        # A q-gram of the item counts once in a band, however often the text repeats it.
-        longest = int(sizes.max(initial=1))
-        once = np.unique(np.concatenate([key, key - 1]) * longest + np.tile(self.place[entry], 2))
-        both, hits = np.unique(once // longest, return_counts=True)
-        text, item, band = both // limit // max(len(self.ids), 1), both // limit % max(len(self.ids), 1), both % limit - 1
-        good = hits >= (sizes - Q + 1 - allowed * Q)[item]
-        text, item, band = text[good], item[good], band[good]
-        low = band * width[item] - sizes[item]
-        return np.stack([text, item, low, low + 2 * width[item] - 1], axis=1)
+        width, longest = 2 * allowed + 1, int(sizes.max())
+        needed = sizes - Q + 1 - allowed * Q
+        limit = int((np.diff(bounds).max() + longest) // width.min()) + 3
+        gap = _since_last(first, text, at)
+        sums = np.append(0, np.cumsum(count))
+        cuts = np.unique(np.append(np.searchsorted(sums, np.arange(0, sums[-1], EXPANDED)), len(at)))
+        open_, found = np.zeros(0, np.int64), []
+        for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            part = slice(start, end)
+            n = count[part]
+            entry = np.repeat(first[part] - (sums[start:end] - sums[start]), n) + np.arange(n.sum())
+            item, place = self.item[entry], self.place[entry]
+            own = np.repeat(text[part], n)
+            diagonal = np.repeat(at[part] - bounds[text[part]], n) - place + sizes[item]  # never negative
+            # The same q-gram stood so far back on the same band: it has counted there.
+            new = diagonal % width[item] < np.repeat(gap[part], n)
+            own, item, place, diagonal = own[new], item[new], place[new], diagonal[new]
+            # Band b holds the widths b and b + 1: a hit counts for its own and the one before.
+            key = (own * len(self.ids) + item) * limit + diagonal // width[item] + 1
+            # A q-gram of the item counts once in a band, however often the text repeats it.
+            once = np.unique(np.concatenate([open_, key * longest + place, (key - 1) * longest + place]))
+            both = once // longest
+            whose, band = both // limit, both % limit - 1
+            last = end == len(at)
+            ahead = 0 if last else at[end] - bounds[text[end]] + Q
+            closed = np.ones(len(once), bool) if last else (whose // len(self.ids) < text[end]) | ((band + 2) * width[whose % len(self.ids)] <= ahead)
+            open_ = once[~closed]
+            ended, hits = np.unique(both[closed], return_counts=True)
+            item = ended // limit % len(self.ids)
+            ended, item = ended[hits >= needed[item]], item[hits >= needed[item]]
+            low = (ended % limit - 1) * width[item] - sizes[item]
+            found.append(np.stack([ended // limit // len(self.ids), item, low, low + 2 * width[item] - 1], axis=1))
+        return np.concatenate(found)
 
     def search(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """``(row, item id, first byte, end byte, edits)`` of all items found, by place."""

@@ -1,7 +1,12 @@
+import os
 import random
+import subprocess
+import sys
 
 import cases
 import numpy as np
+import pyarrow as pa
+import pytest
 from stagefare.llm import op3_decontaminate as op3
 from stagefare.llm import op8_embeddings as op8
 from stagefare.llm.queries import op3_benchmark_decontamination, op8_embedding_dedup
@@ -184,3 +189,61 @@ def test_given_embeddings(spark, sf_dir):
     got = op8_embedding_dedup(spark, sf_dir).collect()
     assert len(got) == len(rows)
     check(got, [(r.vec_id, r.embedding, r.label) for r in rows])
+
+
+REPETITIVE = ["a" * 400, "abc" * 130, "ha" * 60 + cases.prose(3, 10), cases.prose(4, 12)]
+
+
+@pytest.mark.parametrize("expanded", [7, 1000, 1 << 19])
+def test_repetitive_texts_by_slices(monkeypatch, expanded):
+    """Slices change nothing: every item within its edits is found wherever a text repeats itself."""
+    monkeypatch.setattr(op3, "EXPANDED", expanded)
+    texts = ["a" * 1500, "abc" * 400, "x" + "a" * 395 + "bb" + "a" * 30, "ha" * 300 + " " + cases.prose(3, 10), "b" * 700, "acb" * 200, "q" + cases.prose(4, 12) + "a" * 380]
+    items = op3.Items.of(list(range(len(REPETITIVE))), pa.array(REPETITIVE))
+    got = {(row, item) for row, item, *_ in items.search(pa.array(texts))}
+    assert got == brute(list(enumerate(texts)), list(enumerate(REPETITIVE)))
+    assert len(got) > 4
+
+
+def test_candidates_are_those_of_all_pairs(monkeypatch):
+    """Bands by counting every pair of equal q-grams at once, of texts with runs, copies and edits."""
+    r = random.Random(8)
+    items = [cases.prose(20 + k, 14) for k in range(5)] + REPETITIVE
+    texts = [noisy(r.choice(items), k, k % 6) + r.choice(["", "a" * 300, "abc" * 50, cases.prose(k, 20)]) for k in range(30)]
+    found = op3.Items.of(list(range(len(items))), pa.array(items))
+    data, _, bounds = op3.reduced(pa.array(texts))
+    whole = sorted(map(tuple, found.candidates(data, bounds).tolist()))
+    want = []
+    for t in range(len(texts)):
+        text = data[bounds[t] : bounds[t + 1]].tobytes()
+        for i, x in enumerate(found.bytes_):
+            item, allowed = x.tobytes(), op3.edits_allowed(len(x))
+            width, bands = 2 * allowed + 1, {}
+            for p in range(len(item) - op3.Q + 1):
+                for at in range(len(text) - op3.Q + 1):
+                    if item[p : p + op3.Q] == text[at : at + op3.Q]:
+                        band = (at - p + len(item)) // width
+                        bands.setdefault(band, set()).add(p)
+                        bands.setdefault(band - 1, set()).add(p)
+            for band, places in bands.items():
+                if len(places) >= len(item) - op3.Q + 1 - allowed * op3.Q:
+                    low = band * width - len(item)
+                    want.append((t, i, low, low + 2 * width - 1))
+    assert whole == sorted(want)
+
+
+def test_two_megabytes_of_one_letter_stay_in_memory():
+    """In a process of its own: the peak beyond what imports take stays below 1 GB."""
+    code = """
+import resource, pyarrow as pa
+from stagefare.llm import op3_decontaminate as op3
+items = op3.Items.of([1, 2], pa.array(["a" * 400, "abc" * 130]))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for text, item in (("a" * (2 << 20), 1), ("abc" * 700_000, 2)):
+    found = items.search(pa.array([text]))
+    assert {f[1] for f in found} == {item} and all(f[4] == 0 for f in found), found[:3]
+    assert found[0][2] < 400 and found[-1][3] > len(text) - 800
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ":".join(sys.path)}, timeout=300, check=True)
+    assert int(done.stdout) < 1000
