@@ -9,11 +9,14 @@ are added, unless they overlap a base span of their kind. Base spans always stay
 The trees are fitted on proposals from about TRAINING documents at most, spread over all by a hash of
 ``doc_id``, and on CANDIDATES of them at most (bounds on the fit alone; every text is searched).
 Only what the base misses is learned, as only that is offered: proposals that overlap no base span of their
-kind. Positive are base spans rewritten in their own context (``variants``) and proposals written as one
-(``known``): addresses with (at) and (dot), cards with other separators that pass the Luhn check, phones
-with 00, with an area in brackets, or with slashes. A fixed stock of such spans and of look-alikes (dates,
-ranges, failing checks, versions) goes into every fit, so a table without base spans teaches them too. IP
-addresses have no known variant: a list of numbers between commas is none. The threshold of a kind is the
+kind. What a string means follows from its form *and* from the words around it: base spans are rewritten in forms that the
+base misses, and strings of forms that name nothing by themselves (digit groups, numbers between commas) are made, and all are put
+where they stood, after a word that goes with their kind ("call", "server"), and after one that goes with something
+else ("order", "version"). After the latter none is personal data; the others are by themselves only if their
+form is a known one (``known``). The patterns of these forms are no features: the trees see counts of signs, and what
+the words before and after a proposal have told about its kind in a third of the examples (``Odds``, learned as
+log odds by kind and word). A fixed stock of such strings and look-alikes goes into every fit, so a
+table without base spans teaches them too. The threshold of a kind is the
 least at which PRECISION holds on the proposals left out of the fit; without one, nothing
 is added. The model is a few small trees.
 
@@ -42,7 +45,7 @@ from .text import blocks, utf8
 KINDS = ("email", "ip", "card", "phone")
 TRAINING, CANDIDATES = 20_000, 40_000
 PRECISION = 0.98
-ROUNDS, DEPTH, RATE, BINS = 30, 3, 0.3, 32
+ROUNDS, DEPTH, RATE, BINS = 60, 4, 0.3, 32
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -61,12 +64,20 @@ _PROPOSED = {
     "card": (re.compile(r"(?<![0-9])[0-9](?:[ ./-]{0,2}[0-9]){11,20}"),),
     "phone": (re.compile(r"(?:\+|00|\()?[0-9][0-9 ()./-]{6,22}[0-9]"),),
 }
-_HINTS = (
-    re.compile(r"(?i)mail|contact|write"),
-    re.compile(r"(?i)\bip\b|server|host|addr"),
-    re.compile(r"(?i)card|visa|pay|credit"),
-    re.compile(r"(?i)tel|phone|call|fax|mobile"),
-)
+# Words that go with each kind, and words that go with other things made of digits or signs.
+_FITTING = {
+    0: ("mail", "e-mail:", "write to", "contact", "reply to", "reach me:"),
+    1: ("server", "host", "ip", "address", "node", "gateway", "ping"),
+    2: ("card", "visa", "pay with", "credit card", "charged to", "card no."),
+    3: ("call", "phone", "tel.", "fax", "mobile", "dial", "whatsapp"),
+}
+_OTHER = ("order", "invoice", "ticket", "part", "reference", "lot", "tracking", "parcel", "serial", "isbn", "build", "section")
+_FOREIGN = {
+    0: ("concert", "picnic", "match", "party", "game"),
+    1: ("version", "release", "scores", "sums", "chapter", *_OTHER),
+    2: ("version", "meter", "barcode", *_OTHER),
+    3: ("version", "account", "article", *_OTHER),
+}
 
 # What tells the variants of base spans: separators in brackets, 00 and a country, an area in brackets.
 _BRACKETED = re.compile(r"(?i) ?[\[(](at|dot)[\])] ?")
@@ -130,7 +141,7 @@ def features(text: str, span: Span) -> list[float]:
     inside = text[start:end]
     digits = re.sub(r"[^0-9]", "", inside)
     parts = re.findall(r"[0-9]+", inside)
-    before, after = text[max(0, start - 24) : start], text[end : end + 1]
+    before, after = text[max(0, start - 1) : start], text[end : end + 1]
     host = inside.rpartition("@")[2]
     return [
         kind,
@@ -139,28 +150,71 @@ def features(text: str, span: Span) -> list[float]:
         sum(c.isalpha() for c in inside),
         inside.count("@"),
         inside.count("."),
+        inside.count(","),
         inside.count("-"),
         inside.count(" "),
         inside.count("("),
+        inside.count("["),
         inside.startswith("+"),
+        inside.startswith("0"),
+        inside.startswith("("),
         luhn(digits) if digits else 0,
         min(999, max((int(p[:4]) for p in parts), default=0)),
         len(parts),
+        len(parts[0]) if parts else 0,
         len(max(parts, key=len, default="")),
+        len(min(parts, key=len, default="")),
+        len(parts[-1]) if parts else 0,
         "." in host.strip("."),
         len(host.rpartition(".")[2]),
         all(c in _LOCAL or c == "@" for c in inside),
-        before[-1:].isalnum(),
+        before.isalnum(),
         after.isalnum(),
         inside.count("/"),
-        bool(_BRACKETED.search(inside)),
-        bool(_ABROAD.match(inside)),
-        bool(_AREA.match(inside)),
-        _COUNTS[kind][0] <= len(digits) <= _COUNTS[kind][1],
-        *(bool(h.search(before)) for h in _HINTS),
+        len(re.findall(r"[A-Za-z]+", inside)),
     ]
 
 
+_WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
+# Words before a proposal that are looked at, and how far.
+_WORDS, _REACH = 3, 40
+
+
+def around(text: str, span: Span) -> list[str]:
+    """The nearest words before a proposal, nearest first, and the one after it, marked; in lower case."""
+    _, start, end = span
+    before = [w.lower() for w in _WORD.findall(text[max(0, start - _REACH) : start])][: -_WORDS - 1 : -1]
+    after = _WORD.search(text, end, end + _REACH // 2)
+    return [*before, *([">" + after[0].lower()] if after else [])]
+
+
+@dataclass
+class Odds:
+    """Log odds that a proposal of a kind is personal data, by kind and word around it; rare words tell nothing."""
+
+    of: dict[tuple[int, str], float] = field(default_factory=dict)
+
+    @classmethod
+    def learn(cls, rows: list[tuple[int, list[str], int]]) -> Odds:
+        counts: dict[tuple[int, str], list[int]] = {}
+        total = [[1, 1] for _ in KINDS]
+        for kind, words, label in rows:
+            total[kind][label] += 1
+            for word in {*words}:
+                counts.setdefault((kind, word), [0, 0])[label] += 1
+        return cls({
+            key: float(np.log((pos + 0.5) / (neg + 0.5)) - np.log(total[key[0]][1] / total[key[0]][0]))
+            for key, (neg, pos) in counts.items()
+            if neg + pos >= 8
+        })
+
+    def features(self, kind: int, words: list[str]) -> list[float]:
+        """What the nearest word, all before, the worst of them, and the one after tell."""
+        told = [self.of.get((kind, w), 0.0) for w in words if w[0] != ">"]
+        after = [self.of.get((kind, w), 0.0) for w in words if w[0] == ">"]
+        return [told[0] if told else 0.0, sum(told), min(told, default=0.0), after[0] if after else 0.0]
+
+
 def confirmed(spans: list[Span], span: Span) -> bool:
     """Whether base spans of its kind cover most of a proposal and it most of them."""
     kind, start, end = span
@@ -204,28 +258,53 @@ def _offered(text: str) -> list[Span]:
     return [s for s in proposals(text) if not any(k == s[0] and a < s[2] and s[1] < b for k, a, b in base)]
 
 
-def _labelled(text: str) -> Iterator[tuple[list[float], int]]:
-    """Features and labels of what the base misses in a text, and in it with base spans rewritten."""
+# One example: features of the form, words around, label.
+Example = tuple[list[float], list[str], int]
+
+
+def shapes(r: random.Random) -> list[tuple[int, str]]:
+    """Strings whose form alone names nothing: what stands around them decides."""
+    digit = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    part = lambda: str(r.randrange(256))
+    return [
+        (3, f"{digit(3)}-{digit(3)}-{digit(4)}"),
+        (3, f"{r.randrange(1, 10)}{digit(2)} {digit(3)} {digit(4)}"),
+        (3, f"{r.randrange(1, 10)}{digit(9)}"),
+        (1, ",".join(part() for _ in range(4))),
+        (1, ".".join([part(), part(), str(r.randrange(256, 999)), part()])),
+    ]
+
+
+def _placed(kind: int, before: str, form: str, after: str, decided: bool, r: random.Random) -> Iterator[Example]:
+    """Examples of a string where it stood, after a fitting word and after a foreign one."""
+    fitting, foreign = r.choice(_FITTING[kind]) + r.choice((" ", ": ")), r.choice(_FOREIGN[kind]) + r.choice((" ", ": ", " no. "))
+    for lead, fits in (("", decided), (fitting, True), (foreign, False)):
+        whole = before + lead + form + after
+        span = (kind, len(before) + len(lead), len(before) + len(lead) + len(form))
+        for found in _offered(whole):
+            if found[1] < span[2] and span[1] < found[2] and found[0] == kind:
+                yield features(whole, found), around(whole, found), int(fits and confirmed([span], found))
+
+
+def _labelled(text: str) -> Iterator[Example]:
+    """What the base misses in a text, and strings put into it where base spans stand."""
     for span in _offered(text):
-        yield features(text, span), int(known(span[0], text[span[1] : span[2]]))
+        yield features(text, span), around(text, span), int(known(span[0], text[span[1] : span[2]]))
     for kind, start, end in base_spans(text)[:REWRITTEN]:
-        before = text[max(0, start - CONTEXT) : start]
+        before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
+        r = random.Random(f"{start}:{text[start:end]}")
         for form in variants(kind, text[start:end]):
-            changed = before + form + text[end : end + CONTEXT]
-            whole = (kind, len(before), len(before) + len(form))
-            for span in _offered(changed):
-                # Others of its context are looked at in the text itself.
-                if span[1] < whole[2] and whole[1] < span[2]:
-                    right = confirmed([whole], span) and known(kind, changed[span[1] : span[2]])
-                    yield features(changed, span), int(right)
+            yield from _placed(kind, before, form, after, known(kind, form), r)
+        for other, form in shapes(r):
+            yield from _placed(other, before, form, after, False, r)
 
 
-def _stock() -> list[tuple[list[float], int]]:
+def _stock() -> list[Example]:
     """Labelled proposals that go into every fit."""
     r = random.Random(1)
     digit = lambda n: "".join(r.choice("0123456789") for _ in range(n))
     found = []
-    for k in range(400):
+    for k in range(300):
         name = f"{r.choice(['ann', 'j.lee', 'info', 'max_w', 'x'])}{k}@{r.choice(['mail', 'host-1', 'example', 'a.bc'])}.{r.choice(['com', 'org', 'de', 'co.uk'])}"
         card = digit(r.choice([12, 13, 14, 15, 15, 15, 18]))
         card = next(card + d for d in "0123456789" if luhn(card + d))
@@ -251,8 +330,11 @@ def _stock() -> list[tuple[list[float], int]]:
             f"@{k}@host",
         ]
         for text in (name, card, phone, *near):
-            before, after = r.choice(["", "and ", "mail me: ", "call ", "pay by card ", "no. ", "see server "]), r.choice(["", " ", ". ", ", then", "; it"])
-            found += _labelled(before + text + after)
+            fitting = [f"{w} " for words in _FITTING.values() for w in words]
+            lead = r.choice([r.choice(["", "and ", "an old one: ", "it is ", "then ", "no. ", "see "]), r.choice(fitting)])
+            found += _labelled(lead + text + r.choice(["", " ", ". ", ", then", "; it", " too", " now"]))
+        for kind, form in shapes(r):
+            found += _placed(kind, r.choice(["", "and ", "it is ", "so ", "the ", "please ", "or the ", "my ", "on "]), form, r.choice(["", " then", ", or not", "."]), False, r)
     return found
 
 
@@ -306,6 +388,7 @@ class Boosted:
 @dataclass
 class Detector:
     model: Boosted
+    odds: Odds
     thresholds: np.ndarray  # by kind; above 1 where nothing is added
 
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
@@ -314,7 +397,7 @@ class Detector:
         offered = _offered(text)
         if not offered or not self.model.trees:
             return base, base
-        score = self.model.score(np.array([features(text, s) for s in offered], np.float64))
+        score = self.model.score(np.array([[*features(text, s), *self.odds.features(s[0], around(text, s))] for s in offered], np.float64))
         return base, sorted({*base, *(s for s, v in zip(offered, score, strict=True) if v >= self.thresholds[s[0]])})
 
 
@@ -329,26 +412,31 @@ def _with_digits(block: pa.RecordBatch) -> np.ndarray:
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in blocks(batch):
-            found, labels = [], []
-            for row in _with_digits(block).tolist():
-                for seen, label in _labelled(block.column("text")[row].as_py()):
-                    found.append(seen)
-                    labels.append(label)
+            found = [x for row in _with_digits(block).tolist() for x in _labelled(block.column("text")[row].as_py())]
+            seen, words, labels = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([[float(v) for v in f] for f in found], pa.list_(pa.float64())), pa.array(labels, pa.int32())],
-                names=["features", "label"],
+                [
+                    pa.array([[float(v) for v in f] for f in seen], pa.list_(pa.float64())),
+                    pa.array(words, pa.list_(pa.string())),
+                    pa.array(labels, pa.int32()),
+                ],
+                names=["features", "words", "label"],
             )
 
 
 def learn(docs: DataFrame, most: int = TRAINING) -> Detector:
     """Fit trees and thresholds on a bounded sample of ``documents(doc_id, text)``."""
-    sample = bounded(texts(docs), "doc_id", most).mapInArrow(_examples, "features array<double>, label int")
+    sample = bounded(texts(docs), "doc_id", most).mapInArrow(_examples, "features array<double>, words array<string>, label int")
     # Sorted by their hash, so that any split of the input gives the same sample in the same order.
-    order = F.xxhash64("features", "label")
-    rows = sample.withColumn("order", order).orderBy("order", "features").limit(CANDIDATES).toArrow()
-    stock = _stock()
-    x = np.array([*(f for f, _ in stock), *rows.column("features").to_pylist()], np.float64)
-    y = np.array([*(label for _, label in stock), *rows.column("label").to_pylist()], np.float64)
+    order = F.xxhash64("features", "words", "label")
+    rows = sample.withColumn("order", order).orderBy("order", "features", "words").limit(CANDIDATES).toArrow()
+    given = zip(*(rows.column(c).to_pylist() for c in ("features", "words", "label")), strict=True)
+    # A third tells what words mean, a third fits the trees, a third sets the thresholds.
+    every = [*_stock(), *given]
+    odds = Odds.learn([(int(f[0]), words, label) for f, words, label in every[::3]])
+    rest = [x for k, x in enumerate(every) if k % 3]
+    x = np.array([[*f, *odds.features(int(f[0]), words)] for f, words, _ in rest], np.float64)
+    y = np.array([label for *_, label in rest], np.float64)
     fitted = np.arange(len(x)) % 2 == 0
     model = Boosted.fit(x[fitted], y[fitted])
     score, truth, kind = model.score(x[~fitted]), y[~fitted], x[~fitted, 0]
@@ -361,18 +449,18 @@ def learn(docs: DataFrame, most: int = TRAINING) -> Detector:
         good = np.flatnonzero((right >= PRECISION) & last & (ranked >= 0.5))
         if len(good):
             thresholds[k] = ranked[good[-1]]
-    return Detector(model, thresholds)
+    return Detector(model, odds, thresholds)
 
 
 def _written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
 
 
 def find(docs: DataFrame, detector: Detector | None = None) -> DataFrame:
-    """Counts, hash of base spans and all spans of every row of ``documents(doc_id, text)``."""
+    """Counts, hash of base spans, all spans and their number of every row of ``documents(doc_id, text)``."""
     docs = texts(docs)
     detector = detector or learn(docs)
 
@@ -382,14 +470,16 @@ def find(docs: DataFrame, detector: Detector | None = None) -> DataFrame:
             for block in blocks(batch):
                 counts = np.zeros((len(KINDS), block.num_rows), np.int64)
                 digests, spans = [nothing] * block.num_rows, [""] * block.num_rows
+                number = np.zeros(block.num_rows, np.int64)
                 for row in _with_digits(block).tolist():
                     base, whole = detector.spans(block.column("text")[row].as_py())
                     for kind, _, _ in base:
                         counts[kind, row] += 1
                     digests[row] = hashlib.sha256(_written(base).encode()).hexdigest()
                     spans[row] = _written(whole)
+                    number[row] = len(whole)
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("doc_id"), *map(pa.array, counts), pa.array(digests, pa.string()), pa.array(spans, pa.string())],
+                    [block.column("doc_id"), *map(pa.array, counts), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(number)],
                     names=[p.split()[0] for p in FOUND.split(", ")],
                 )
 

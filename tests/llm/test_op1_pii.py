@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import cases
@@ -121,3 +122,43 @@ def test_variants_that_the_base_misses_are_found_and_look_alikes_are_not(spark,
             assert span not in op1_pii.redacted(text, whole)
         for text in LOOK_ALIKES:
             assert detector.spans(text) == ([], []), text
+
+
+# The same string after a word that goes with its kind, and after one that does not.
+TOLD = [
+    ("please call {} today", "the order {} today", "555-012-7713"),
+    ("on mobile {} or so", "for invoice {} or so", "415 555 0199"),
+    ("the server {} is down", "scores {} came in", "10,0,0,7"),
+    ("pay with {} now", "parcel {} now", "4111.1111.1111.1111"),
+    ("phone {}, after six", "ticket {}, after six", "(017) 555-7713"),
+]
+
+
+def test_words_around_decide_between_equal_strings(spark, sf_dir):
+    for table in (cases.no_docs(spark), spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        detector = op1_pii.learn(table)
+        for fitting, foreign, inside in TOLD:
+            assert inside in [fitting.format(inside)[a:b] for _, a, b in detector.spans(fitting.format(inside))[1]], fitting
+            assert detector.spans(foreign.format(inside)) == ([], []), foreign
+        first = len(op1_pii.features("x", (0, 0, 1)))
+        used = {int(f) for feature, limit, _ in detector.model.trees for f, cut in zip(feature, limit, strict=True) if cut < float("inf")}
+        assert used & {*range(first, first + 4)}, "no tree looks at the words around"
+
+
+def test_added_spans_are_right(spark, sf_dir):
+    """Strings put into given documents, each after a fitting and a foreign word: recall and precision of what is added."""
+    docs = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if r.text and len(r.text) < 4000]
+    detector = op1_pii.learn(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    r = random.Random(99)
+    found = wanted = added = 0
+    for text in docs[:100]:
+        at = text.find(" ", len(text) // 2) + 1
+        for kind, form in op1_pii.shapes(r):
+            for words, good in ((op1_pii._FITTING[kind], True), (op1_pii._FOREIGN[kind], False)):
+                lead = text[:at] + r.choice(words) + " "
+                base, whole = detector.spans(lead + form + " " + text[at:])
+                new = [s for s in whole if s not in base and s[0] == kind and s[1] < len(lead) + len(form) and s[2] > len(lead)]
+                wanted += good
+                found += good and (kind, len(lead), len(lead) + len(form)) in new
+                added += len(new)
+    assert found > 0.9 * wanted and found > 0.95 * added, (found, wanted, added)
