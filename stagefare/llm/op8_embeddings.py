@@ -67,6 +67,7 @@ def _signed(bits: int, tables: int):
             for length, own in by_length.items():
                 part = batch.take(pa.array(own))
                 x = np.asarray(part.column("embedding").flatten(), np.float64).reshape(-1, length)
+                x = x / np.abs(x).max(axis=1, keepdims=True)
                 signs = (x @ _planes(length, bits, tables) > 0).reshape(len(own), tables, bits)
                 codes = (signs * weights).sum(axis=2)
                 ends = np.arange(0, codes.size + 1, tables, dtype=np.int32)
@@ -80,7 +81,8 @@ def _signed(bits: int, tables: int):
 
 def _compare(ids, x, codes, chunk, table: int, same: bool) -> pa.RecordBatch:
     """Counts ``(vec_id, null, n)`` and links ``(vec_id, other, 0)`` within one pair of chunks."""
-    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    unit = x / np.abs(x).max(axis=1, keepdims=True)  # else squares of large or small entries leave the range of doubles
+    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
     near = unit @ unit.T >= THRESHOLD
     near &= ids[:, None] != ids[None, :]
     if not same:

@@ -247,3 +247,12 @@ print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
 """
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=os.environ | {"PYTHONPATH": ":".join(sys.path)}, timeout=300, check=True)
     assert int(done.stdout) < 1000
+
+
+def test_vectors_of_any_scale_link(spark):
+    """Finite entries whose squares are not: their cosine is one all the same."""
+    base = [0.3, -0.7, 0.2, 0.9]
+    rows = [(k, [x * scale for x in base], 1) for k, scale in enumerate((1.0, 1e200, 1e-200, 1e307, 5e-300))] + [(9, [-x * 1e200 for x in base], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in op8.cluster(df).collect()}
+    assert got == {k: (4, 0) for k in range(5)} | {9: (0, 9)}
