@@ -90,7 +90,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 
+# Words of a text with their places, as SQL; A-Z may be lowered first.
+_WORDS = r"""docs as (select doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') as w from documents),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from docs)"""
+_WORD_LIST = _WORDS.format(text="coalesce(text, '')")
+_LOWERED = _WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+
+def _in_a_row(n: int) -> str:
+    """The words from one on that lie within ``n``, joined; null where a text ends before."""
+    return " || ' ' || ".join(["word", *(f"lead(word, {k}) over o" for k in range(1, n))])
+
+
+# Least vertex that each end of ``links(a, b)`` reaches.
+_REACHED = """reached as (
+  select a, b from (select a, b from links union all select b, a from links)
+  union select r.a, l.b from reached r join (select a, b from links union all select b, a from links) l on r.b = l.a
+), least as (select a, min(b) as low from reached group by a)"""
+
 ORACLES: dict[str, str] = {
+    "op4_substring_dedup": f"""
+with {_WORD_LIST},
+windows as (select doc_id, p, {_in_a_row(13)} as win from words window o as (partition by doc_id order by p)),
+owned as (select win, min(doc_id) as owner from windows where win is not null group by win),
+gone as (
+  select distinct doc_id, p + k as p from windows join owned using (win) cross join range(13) t(k) where owner < doc_id
+),
+kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by p) as text from words anti join gone using (doc_id, p) group by doc_id)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from docs left join kept using (doc_id)
+""",
+    "op8_embedding_dedup": f"""
+with recursive usable as (
+  select vec_id, label, cast(embedding as double[]) as v from embeddings
+  where label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select x.vec_id as a, y.vec_id as b from usable x join usable y on x.label = y.label and x.vec_id < y.vec_id and len(x.v) = len(y.v)
+  where list_cosine_similarity(x.v, y.v) >= 0.98
+), {_REACHED},
+counted as (select a, count(*) as n from (select a from links union all select b from links) group by a)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id, vec_id <= coalesce(low, vec_id) as kept
+from embeddings left join counted on vec_id = counted.a left join least on vec_id = least.a
+""",
+    "op9_jaccard_join": f"""
+with recursive {_LOWERED},
+shingles as (
+  select distinct doc_id, s from (select doc_id, {_in_a_row(3)} as s from words window o as (partition by doc_id order by p)) where s is not null
+  union all select doc_id, array_to_string(w, ' ') from docs where len(w) between 1 and 2
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as n from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id group by all
+), links as (
+  select a, b from shared join sizes x on a = x.doc_id join sizes y on b = y.doc_id where 100 * shared.n >= 90 * (x.n + y.n - shared.n)
+), {_REACHED}
+select doc_id, coalesce(n, 0) as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id
+from docs left join sizes using (doc_id) left join least on doc_id = least.a
+""",
     "op10_chat_formatting": r"""
 with given as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
