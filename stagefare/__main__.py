@@ -8,8 +8,9 @@ from pyspark.sql import SparkSession
 
 from stagefare.columns import MAX_PRICE, MIN_PRICE
 from stagefare.operators.regressors import SHORT_NAMES, sweep_grid
-from stagefare.plans import cleaning, scoring, training
+from stagefare.plans import cleaning, inspection, scoring, training
 from stagefare.sources.listings import read_clean, read_raw
+from stagefare.sources.outputs import export_csv
 from stagefare.sources.scratch import clear
 
 LABELS = {"max": MAX_PRICE, "min": MIN_PRICE}
@@ -31,6 +32,9 @@ def parse(args: list[str] | None = None) -> argparse.Namespace:
 
     clean = job("clean", "listing CSV to cleaned Parquet")
     clean.add_argument("--artist-mode", choices=("strict_single", "first"), default="strict_single")
+    clean.add_argument(
+        "--only-touched", action="store_true", help="merge into the output, writing only months that change"
+    )
     job("report", "cleaned Parquet to the six CSV reports")
     for name, text in (
         ("train", "train one price model"),
@@ -39,9 +43,17 @@ def parse(args: list[str] | None = None) -> argparse.Namespace:
     ):
         sub = job(name, text)
         sub.add_argument("--label", choices=tuple(LABELS), default="max")
+        sub.add_argument("--years", type=int, nargs="+", help="learn from these years only")
+        sub.add_argument("--months", type=int, nargs="+", help="learn from these months of a year only")
         if name == "train":
             sub.add_argument("--model-type", choices=tuple(SHORT_NAMES), default="rf")
             sub.add_argument("--one-hot", action="store_true")
+            sub.add_argument(
+                "--leave-one-out", action="store_true", help="take a row's own price out of its means"
+            )
+            sub.add_argument(
+                "--joint-city", action="store_true", help="means by city and state (not for scoring)"
+            )
         else:
             sub.add_argument("--parallelism", type=int, default=1)
     score = job("score", "request CSV to scored Parquet")
@@ -51,13 +63,33 @@ def parse(args: list[str] | None = None) -> argparse.Namespace:
     score.add_argument("--max-name", help="which model of a comparison or sweep, such as gbt or rf_3")
     score.add_argument("--min-name", help="the same for the lowest price")
     score.add_argument("--as-of", required=True, help="day for requests without one")
+    seen = job("profile", "shape, first rows, numbers and missing values of a Parquet table")
+    seen.add_argument("--order", nargs="+", default=["event_id"], help="columns the first rows follow")
+    seen.add_argument("--head", type=int, default=10)
+    job("export", "Parquet table to CSV")
+    plot = job("plot", "predictions of a training output to actual and predicted pairs")
+    plot.add_argument("--label", choices=tuple(LABELS), default="max")
+    plot.add_argument("--cap", type=float, help="leave out prices over this")
+    summary = job("summary", "raw listing CSV and two training outputs to sizes of the reference tables")
+    summary.add_argument("--max-model", required=True)
+    summary.add_argument("--min-model", required=True)
     return parser.parse_args(args)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Run one job; returns the small tables it has to show, by name."""
     if args.job == "clean":
-        return cleaning.clean_job(spark, args.input, args.output, args.artist_mode)
+        return cleaning.clean_job(spark, args.input, args.output, args.artist_mode, args.only_touched)
+    if args.job == "profile":
+        return inspection.profile_job(spark.read.parquet(args.input), args.output, args.order, args.head)
+    if args.job == "export":
+        export_csv(spark, args.input, args.output)
+        return {}
+    if args.job == "plot":
+        return inspection.plot_job(spark, args.input, LABELS[args.label], args.output, args.cap)
+    if args.job == "summary":
+        raw = read_raw(spark, args.input)
+        return inspection.summary_job(spark, raw, args.max_model, args.min_model, args.output)
     if args.job == "score":
         requests = spark.read.csv(args.input, header=True)
         raw = read_raw(spark, args.listings)
@@ -65,12 +97,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         scoring.score_job(requests, raw, *folders, args.output, args.as_of, *names)
         rejected = spark.read.parquet(f"{args.output}_rejected").groupBy("missing").count()
         return {"answers": spark.read.parquet(args.output).limit(20), "rejected": rejected}
-    cleaned = read_clean(spark, args.input)
     if args.job == "report":
-        return cleaning.report_job(cleaned, args.output)
+        return cleaning.report_job(read_clean(spark, args.input), args.output)
+    cleaned = read_clean(spark, args.input, args.years, args.months)
     label = LABELS[args.label]
     if args.job == "train":
-        metrics = training.train_job(cleaned, label, args.output, args.model_type, args.one_hot)
+        ways = {"leave_one_out": args.leave_one_out, "joint_city": args.joint_city}
+        metrics = training.train_job(cleaned, label, args.output, args.model_type, args.one_hot, **ways)
         return {"metrics": metrics}
     if args.job == "compare":
         table = training.compare_job(cleaned, label, args.output, parallelism=args.parallelism)

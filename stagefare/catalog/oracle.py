@@ -488,6 +488,11 @@ def _oracles() -> dict[str, str]:
     return {
         "csv_roundtrip": _rows(" ".join(_ALL), "typed"),
         "clean_partitioned_roundtrip": _rows(" ".join(_ALL), "kept", TABLE),
+        "clean_incremental": _rows(" ".join(_ALL), "kept", TABLE),
+        "report_order_roundtrip": _from_table(
+            """select row_number() over (order by year nulls first, count(*) desc, genre nulls first) as position,
+ year, genre, count(*) as event_count from kept group by year, genre"""
+        ),
         # A CSV reader takes an empty text for a missing one.
         "parquet_to_csv": _from_table(
             "select "
@@ -585,12 +590,16 @@ from kept"""
  round(avg(spotify_popularity), 4) as avg_spotify_popularity,
  count(*) filter (where has_secondary_market) as secondary_market_count from kept"""
         ),
-        "quality_counts": _from_table(
-            """select count(*) as total, count(event_date) as valid_date,
+        "quality_counts": _from_table(_COUNTS := """select count(*) as total, count(event_date) as valid_date,
  count(artist) as with_artist, count(*) filter (where has_spotify_data) as with_spotify,
  count(*) filter (where has_secondary_market) as with_secondary,
  (select count(*) from one_per_id) as after_dedup, (select count(*) from kept) as after_filter
-from typed"""
+from typed"""),
+        "quality_counts_one_pass": _from_table(_COUNTS),
+        "distinct_by_year_estimated": _from_table(
+            """select year, count(*) as n_events, count(distinct artist) as exact_artist,
+ count(distinct city) as exact_city, count(distinct state) as exact_state,
+ true as artist_near, true as city_near, true as state_near from kept group by year"""
         ),
         "ml_base_max": _ml_base(_MAX),
         "ml_base_min": _ml_base(_MIN),
@@ -608,6 +617,18 @@ from typed"""
         + " ".join(f"left join m_{d} on b.{d} = m_{d}.k" for d in _DIMS)
         + " where in_train",
         "encode_test": _learn(_MIN, _TEST) + f"select event_id, {_MEAN_COLUMNS} from test",
+        "encode_joint_city": _learn(_MAX)
+        + f""", joint as (select city, state, avg({_MAX}) as mean from base where in_train group by all)
+select event_id, concat(b.city, ', ', b.state) as city_state,
+ round(coalesce(j.mean, (select mean from m_all), 0), 4) as city_state_avg_price
+from base b left join joint j on b.city = j.city and b.state = j.state where not b.in_train""",
+        "stored_vector_sizes": _learn(_MAX)
+        + """select case when in_train then 'train' else 'test' end as side, count(*) as n_rows,
+ 8 as vector_size, 8 as least_size from base group by 1""",
+        "stored_vectors": _learn(_MAX, _TEST)
+        + "select event_id, "
+        + ", ".join(f"round({c}::double, 4) as {c}" for c in _MODEL_INPUTS)
+        + " from test",
         "string_index": _learn(_MAX, _INDEX) + _INDEXED,
         "one_hot_counts": _learn(_MAX, _INDEX) + _ONE_HOT,
         "assemble_dense": _learn(_MAX, _TEST)

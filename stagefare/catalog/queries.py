@@ -24,7 +24,7 @@ from stagefare.columns import (
     mean_column,
 )
 from stagefare.operators import evaluate as ev
-from stagefare.operators import profile, reports, score, trees
+from stagefare.operators import distinct, profile, reports, score, trees
 from stagefare.operators.category_index import apply_index, category_index
 from stagefare.operators.clean import clean_listings
 from stagefare.operators.encoding import (
@@ -38,11 +38,11 @@ from stagefare.operators.regressors import sweep_grid
 from stagefare.operators.rows import dedup, in_train, require
 from stagefare.operators.rows import fill_missing as fill_constants
 from stagefare.plans import training
-from stagefare.plans.cleaning import clean_table
+from stagefare.plans.cleaning import GROWING, clean_job, clean_table
 from stagefare.sources.listings import read_clean, read_raw, write_clean
 from stagefare.sources.models import load_model, save_model
-from stagefare.sources.outputs import export_csv, write_report, write_rows
-from stagefare.sources.scratch import new_path
+from stagefare.sources.outputs import export_csv, read_sorted, write_report, write_rows, write_sorted
+from stagefare.sources.scratch import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +96,38 @@ def clean_partitioned_roundtrip(spark, sf_dir):
     return read_clean(spark, path)
 
 
+@query
+def clean_incremental(spark, sf_dir):
+    """Two batches merged; ids of even hash come back 40 days later, those of odd hash 40 days earlier, which loses."""
+    raw = raw_listings(spark, sf_dir)
+    earlier = F.coalesce(F.date_sub(F.col("date").try_cast("date"), 40).cast("string"), "date")
+    later_wins = F.pmod(F.xxhash64("TM_id"), F.lit(2)) == 0
+    path, target = new_path(spark, "batch"), new_path(spark, "merged-months")
+    for number, shifted in enumerate((later_wins, ~later_wins)):
+        batch = raw.withColumn("date", F.when(shifted, earlier).otherwise(F.col("date")))
+        # The ids come in both batches, except those of a third, which come in one.
+        third = F.pmod(F.xxhash64("TM_id"), F.lit(3))
+        write_rows(batch.filter(F.col("TM_id").isNull() | (third != 0) | ~shifted), f"{path}-{number}")
+        clean_job(spark, f"{path}-{number}", target, only_touched=True)
+    return read_clean(spark, target)
+
+
+@query
+def quality_counts_one_pass(spark, sf_dir):
+    path, target = new_path(spark, "raw-counted"), new_path(spark, "counted")
+    write_rows(raw_listings(spark, sf_dir), path)
+    return clean_job(spark, path, target)["quality_counts"]
+
+
+@query
+def report_order_roundtrip(spark, sf_dir):
+    path = new_path(spark, "report-parts")
+    report = reports.report_year_genre(cleaned_listings(spark, sf_dir))
+    write_sorted(report, path, GROWING["events_per_year_genre"], parts=5)
+    schema = "year int, genre string, event_count bigint, avg_price double, avg_popularity double"
+    return read_sorted(spark, path, schema).select("position", "year", "genre", "event_count")
+
+
 @query
 def metrics_json_roundtrip(spark, sf_dir):
     path = new_path(spark, "metrics-json")
@@ -250,6 +282,21 @@ for _name in (
     _report(_name, getattr(reports, _name))
 
 
+@query
+def distinct_by_year_estimated(spark, sf_dir):
+    """Whether estimates from stored monthly sketches are within three standard errors (one at least) of the counts."""
+    cleaned = cleaned_listings(spark, sf_dir)
+    sketches = materialize(distinct.distinct_sketches(cleaned), "sketches")
+    found = distinct.distinct_between(sketches, by=("year",))
+    exact = cleaned.groupBy("year").agg(*[F.count_distinct(c).alias(f"exact_{c}") for c in distinct.COUNTED])
+    near = [
+        (F.abs(F.col(f"unique_{c}") - F.col(f"exact_{c}"))
+         <= F.greatest(F.lit(1.0), 3 * distinct.relative_error() * F.col(f"exact_{c}"))).alias(f"{c}_near")
+        for c in distinct.COUNTED
+    ]
+    return found.join(exact, "year").select("year", "n_events", *[f"exact_{c}" for c in distinct.COUNTED], *near)
+
+
 @query
 def quality_counts(spark, sf_dir):
     return reports.quality_counts(_typed(spark, sf_dir))
@@ -324,6 +371,30 @@ def encode_test(spark, sf_dir):
     return MeanEncoder(MIN_PRICE).fit(train).transform(test).select("event_id", *_MEANS)
 
 
+@query
+def encode_joint_city(spark, sf_dir):
+    data = training.prepare_means(cleaned_listings(spark, sf_dir), MAX_PRICE, joint_city=True)
+    return data.test.select("event_id", "city_state", mean_column("city_state"))
+
+
+@query
+def stored_vector_sizes(spark, sf_dir):
+    target = new_path(spark, "trained")
+    training.train_job(cleaned_listings(spark, sf_dir), MAX_PRICE, target, "lr")
+    return spark.read.schema("side string, n_rows bigint, vector_size int, least_size int").csv(f"{target}/feature_sizes", header=True)
+
+
+@query
+def stored_vectors(spark, sf_dir):
+    """The slots of the stored test vectors, as columns named by the vector column's own attributes."""
+    target = new_path(spark, "trained")
+    training.train_job(cleaned_listings(spark, sf_dir), MAX_PRICE, target, "lr")
+    test = spark.read.parquet(f"{target}/features").filter(f"{training.SIDE} = 'false'")
+    names = [a["name"] for a in test.schema["features"].metadata["ml_attr"]["attrs"]["numeric"]]
+    slots = vector_to_array("features")
+    return test.select("event_id", *[slots[i].alias(n) for i, n in enumerate(names)])
+
+
 # -- MLlib features ---------------------------------------------------------
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from stagefare.columns import MEAN_FEATURES, ONE_HOT_DIMS, PLAIN_FEATURES
 
@@ -32,3 +34,9 @@ def one_hot_stages(dims=ONE_HOT_DIMS, numbers=PLAIN_FEATURES, invalid: str = "sk
     """Indexer, one-hot encoder and the assembler of numbers and one-hot vectors."""
     inputs = [*numbers, *[f"{d}_vec" for d in dims]]
     return [indexer(dims), one_hot_encoder(dims), dense_assembler(inputs, invalid)]
+
+
+def slot_count(vector: Column) -> Column:
+    """How many slots a vector has; a sparse one stores the number, a dense one has that many values."""
+    plain = F.unwrap_udt(vector)
+    return F.coalesce(plain["size"], F.size(plain["values"]))

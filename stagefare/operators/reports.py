@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stagefare.columns import ListingColumns
 from stagefare.functions.calendar import weekday_name
 from stagefare.functions.ratios import percent_of, premium_percent
+from stagefare.operators.rows import all_present
 
 LISTING = ListingColumns()
 
@@ -186,26 +187,24 @@ def clean_stats(df: DataFrame, c: ListingColumns = LISTING) -> DataFrame:
     )
 
 
-def quality_counts(cleaned: DataFrame, c: ListingColumns = LISTING) -> DataFrame:
-    """Row counts before de-duplication, after it, and after the required filter.
-
-    ``cleaned`` is the table before both steps. An id counts as kept if one of
-    its rows is complete, which is the row that de-duplication prefers. Only
-    ids and counts are shuffled. The counts are a query and not metrics observed
-    during the write, because a stage that runs again after an executor is lost
-    would be counted twice.
-    """
-    complete = F.col(c.event_id).isNotNull() & F.col(c.event_date).isNotNull()
-    complete = complete & F.col(c.artist).isNotNull()
-    per_id = cleaned.groupBy(c.event_id).agg(
+def id_counts(c: ListingColumns = LISTING) -> list[Column]:
+    """Aggregates by id that :func:`sum_id_counts` adds up."""
+    return [
         F.count("*").alias("rows"),
         F.count(c.event_date).alias("dated"),
         F.count(c.artist).alias("named"),
         F.count_if(c.has_profile).alias("profiled"),
         F.count_if(c.has_resale).alias("resold"),
-        F.count_if(complete).alias("complete"),
-    )
+        F.count_if(all_present(c.required)).alias("complete"),
+    ]
+
+
+def sum_id_counts(per_id: DataFrame) -> DataFrame:
+    """Row counts before de-duplication, after it, and after the required filter.
 
+    ``per_id`` has a row per id with :func:`id_counts`. An id counts as kept if one of its rows is
+    complete, which is the row that de-duplication prefers.
+    """
     return per_id.agg(
         _total("rows").alias("total"),
         _total("dated").alias("valid_date"),
@@ -215,3 +214,13 @@ def quality_counts(cleaned: DataFrame, c: ListingColumns = LISTING) -> DataFrame
         F.count("*").alias("after_dedup"),
         F.count_if(F.col("complete") > 0).alias("after_filter"),
     )
+
+
+def quality_counts(cleaned: DataFrame, c: ListingColumns = LISTING) -> DataFrame:
+    """The counts of :func:`sum_id_counts` from the table before both steps.
+
+    Only ids and counts are shuffled. The counts are a query and not metrics observed
+    during the write, because a stage that runs again after an executor is lost
+    would be counted twice.
+    """
+    return sum_id_counts(cleaned.groupBy(c.event_id).agg(*id_counts(c)))

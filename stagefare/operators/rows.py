@@ -20,6 +20,21 @@ def require(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.filter(all_present(columns))
 
 
+def best_first(columns: Iterable[str], keys: list[str], prefer: Iterable[str] = ()) -> Column:
+    """What rows of a key are compared by: all ``prefer`` columns present, those, then the others in order."""
+    prefer = [c for c in prefer if c not in keys]
+    rest = [c for c in columns if c not in keys and c not in prefer]
+    ranked = [F.col(c) for c in (*prefer, *rest)]
+    if prefer:
+        ranked.insert(0, all_present(prefer).alias("__complete"))
+    return F.struct(*ranked)
+
+
+def unpack(df: DataFrame, columns: Iterable[str], keys: list[str], kept: str) -> DataFrame:
+    """The rows that a struct of :func:`best_first` holds, in the order of ``columns``."""
+    return df.select(*[F.col(c) if c in keys else F.col(f"{kept}.{c}").alias(c) for c in columns])
+
+
 def dedup(df: DataFrame, keys: list[str], prefer: Iterable[str] = ()) -> DataFrame:
     """One row per key, the same one on every run.
 
@@ -29,15 +44,8 @@ def dedup(df: DataFrame, keys: list[str], prefer: Iterable[str] = ()) -> DataFra
     aggregate, it drops copies before the shuffle, so a key that holds much of
     the table sends one row per task.
     """
-    prefer = [c for c in prefer if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in prefer]
-    ranked = [F.col(c) for c in (*prefer, *rest)]
-    if prefer:
-        ranked.insert(0, all_present(prefer).alias("__complete"))
-    kept = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("__kept"))
-    return kept.select(
-        *[F.col(c) if c in keys else F.col(f"__kept.{c}").alias(c) for c in df.columns]
-    )
+    kept = df.groupBy(*keys).agg(F.max(best_first(df.columns, keys, prefer)).alias("__kept"))
+    return unpack(kept, df.columns, keys, "__kept")
 
 
 def valid_label(df: DataFrame, label: Label, artist: str = "artist") -> DataFrame:

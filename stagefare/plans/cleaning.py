@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stagefare.columns import ListingColumns
+from stagefare.functions.joins import measure
 from stagefare.operators import reports
-from stagefare.operators.clean import clean_listings
-from stagefare.operators.rows import dedup, require
+from stagefare.operators.clean import CLEAN_COLUMNS, clean_listings
+from stagefare.operators.rows import all_present, best_first, dedup, require, unpack
 from stagefare.sources.listings import read_clean, read_raw, write_clean
-from stagefare.sources.outputs import write_report
+from stagefare.sources.outputs import write_report, write_sorted
+from stagefare.sources.scratch import exists, materialize, remove
 
 LISTING = ListingColumns()
 
@@ -27,21 +32,91 @@ def clean_table(
     return dedup(complete, [c.event_id], prefer=(c.event_date, c.artist))
 
 
+def listings_by_id(
+    raw: DataFrame, artist_mode: str = "strict_single", c: ListingColumns = LISTING
+) -> DataFrame:
+    """One row per id: the counts of its rows, and in ``kept`` the one that stays, null if none is complete.
+
+    The counts ride on the aggregate that de-duplicates, so cleaning and counting read the raw files once.
+    """
+    typed = clean_listings(raw, artist_mode)
+    best = best_first(typed.columns, [c.event_id], (c.event_date, c.artist))
+    kept = F.max(F.when(all_present(c.required), best)).alias("kept")
+    return typed.groupBy(c.event_id).agg(*reports.id_counts(c), kept)
+
+
+def kept_listings(by_id: DataFrame, c: ListingColumns = LISTING) -> DataFrame:
+    """The rows of :func:`clean_table` from :func:`listings_by_id`."""
+    return unpack(by_id.filter("kept is not null"), CLEAN_COLUMNS, [c.event_id], "kept")
+
+
 def clean_job(
-    spark: SparkSession, source: str, target: str, artist_mode: str = "strict_single", **read
+    spark: SparkSession,
+    source: str,
+    target: str,
+    artist_mode: str = "strict_single",
+    only_touched: bool = False,
+    **read,
 ) -> dict[str, DataFrame]:
     """Clean listing files into ``target``; returns counts and closing statistics.
 
-    The statistics read the written table, so nothing is cleaned twice for them.
+    Raw files are read once: what is left of them by id is written to the shared folder, and the
+    table, its merge and the counts (of these files) follow from that. ``only_touched`` merges the files into an
+    existing ``target`` (see :func:`merge_clean`) instead of replacing it.
     """
-    raw = read_raw(spark, source, **read)
-    write_clean(clean_table(raw, artist_mode), target)
+    by_id = materialize(listings_by_id(read_raw(spark, source, **read), artist_mode), "by-id")
+    fresh = kept_listings(by_id)
+    if only_touched and exists(spark, target):
+        merge_clean(spark, fresh, target)
+    else:
+        write_clean(fresh, target)
     return {
-        "quality_counts": reports.quality_counts(clean_listings(raw, artist_mode)),
+        "quality_counts": reports.sum_id_counts(by_id),
         "clean_stats": reports.clean_stats(read_clean(spark, target)),
     }
 
 
+def _in_months(months: list[tuple[int, int]]) -> Column:
+    """Whether a row lies in one of the months; prunes partitions."""
+    by_year: dict[int, list[int]] = {}
+    for year, month in months:
+        by_year.setdefault(year, []).append(month)
+    tests = [(F.col("year") == y) & F.col("month").isin(*m) for y, m in sorted(by_year.items())]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
+def merge_clean(
+    spark: SparkSession, fresh: DataFrame, target: str, c: ListingColumns = LISTING
+) -> list[tuple[int, int]]:
+    """Merge cleaned rows, one per id, into a written table; returns the months that were written.
+
+    The table becomes what cleaning all files ever merged at once would give: survivors are the
+    greatest of a total order, so it does not matter when a row came. Touched are the months of fresh rows and
+    those where the table holds their ids now, which may differ when an id moves; of the others only ids
+    are read. A month that loses all its rows loses its folder.
+
+    The merged months are written to the shared folder before any is replaced, so lost executors change
+    nothing. If the driver is lost while months are replaced, merging the same files again, with the files of those months, repairs it.
+    """
+    old = read_clean(spark, target)
+    ids = measure(materialize(fresh.select(c.event_id), "fresh-ids"), c.event_id)
+    met = F.broadcast(ids.table) if ids.fits() else ids.table.hint("merge")
+    held = old.select(c.event_id, "year", "month").join(met, c.event_id, "left_semi")
+    both = held.select("year", "month").union(fresh.select("year", "month")).distinct()
+    # One row per partition of the table.
+    touched = sorted((r["year"], r["month"]) for r in both.collect())
+    if not touched:
+        return []
+    changed = old.filter(_in_months(touched)).select(*fresh.columns).unionByName(fresh)
+    merged = materialize(dedup(changed, [c.event_id], (c.event_date, c.artist)), "merged")
+    filled = {(r["year"], r["month"]) for r in merged.select("year", "month").distinct().collect()}
+    write_clean(merged, target, only_touched=True)
+    for year, month in touched:
+        if (year, month) not in filled:
+            remove(spark, f"{target}/year={year}/month={month}")
+    return touched
+
+
 # Folder of each saved report.
 REPORTS = {
     "events_per_year_genre": reports.report_year_genre,
@@ -53,10 +128,20 @@ REPORTS = {
 }
 
 
+# Reports with a row for every genre, which is free text, and what they are sorted by; the others hold k rows or days of the week.
+GROWING = {
+    "events_per_year_genre": ("year", "-event_count", "genre"),
+    "secondary_market_by_genre": ("-event_count", "genre"),
+}
+
+
 def report_job(cleaned: DataFrame, target: str) -> dict[str, DataFrame]:
     """Save the six reports as CSV below ``target``; returns the three summaries."""
     for folder, report in REPORTS.items():
-        write_report(report(cleaned), f"{target}/{folder}")
+        if folder in GROWING:
+            write_sorted(report(cleaned), f"{target}/{folder}", GROWING[folder])
+        else:
+            write_report(report(cleaned), f"{target}/{folder}")
     return {
         "summary_overall": reports.summary_overall(cleaned),
         "summary_genre_top10": reports.summary_genre_top10(cleaned),

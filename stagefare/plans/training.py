@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from stagefare.columns import ENCODED_DIMS, MEAN_FEATURES, Label, mean_column
 from stagefare.operators import evaluate as ev
-from stagefare.operators.encoding import MeanEncoder, MeanEncoding, save_encoding
-from stagefare.operators.features import dense_assembler, one_hot_stages
+from stagefare.operators.encoding import MeanEncoder, MeanEncoding, save_encoding, with_joint_key
+from stagefare.operators.features import dense_assembler, one_hot_stages, slot_count
 from stagefare.operators.regressors import KINDS, SHORT_NAMES, make_regressor
 from stagefare.operators.rows import hash_split, in_train, training_rows
 from stagefare.sources.models import model_path, save_model
-from stagefare.sources.outputs import write_report, write_rows
+from stagefare.sources.outputs import write_report, write_rows, write_sorted
 from stagefare.sources.scratch import exists, materialize
 
 # What the training jobs read of a cleaned table besides the label.
@@ -48,21 +48,65 @@ def labelled(cleaned: DataFrame, label: Label) -> DataFrame:
     return training_rows(cleaned.select(*columns), label)
 
 
+# A city told apart from those of the same name in other states, in the place of the city alone.
+JOINT_CITY = "city_state"
+JOINT_DIMS = tuple(JOINT_CITY if d == "city" else d for d in ENCODED_DIMS)
+JOINT_FEATURES = tuple(mean_column(JOINT_CITY) if f == mean_column("city") else f for f in MEAN_FEATURES)
+
+
+def _both_sides(rows: DataFrame, encoding: MeanEncoding | None) -> Prepared:
+    side = F.col(SIDE)
+    return Prepared(rows.filter(side).drop(SIDE), rows.filter(~side).drop(SIDE), encoding)
+
+
+def _encoded(
+    cleaned: DataFrame, label: Label, leave_one_out: bool, joint_city: bool
+) -> tuple[DataFrame, MeanEncoding]:
+    """Mean-encoded rows of both sides, marked by SIDE."""
+    rows = labelled(cleaned, label).withColumn(SIDE, in_train("event_id"))
+    if joint_city:
+        rows = with_joint_key(rows, ("city", "state"), JOINT_CITY)
+    encoding = MeanEncoder(label, JOINT_DIMS if joint_city else ENCODED_DIMS).fit(rows.filter(SIDE))
+    return encoding.transform(rows, F.col(SIDE) if leave_one_out else False), encoding
+
+
 def prepare_means(
-    cleaned: DataFrame, label: Label, leave_one_out: bool = False, written: bool = False
+    cleaned: DataFrame,
+    label: Label,
+    leave_one_out: bool = False,
+    written: bool = False,
+    joint_city: bool = False,
 ) -> Prepared:
     """Split and mean-encode; means come from the training side only.
 
     ``written`` stores the encoded rows, for jobs that fit many models: one
-    write for both sides, each then read without the other.
+    write for both sides, each then read without the other. ``joint_city`` takes
+    the mean of a city in its state (``city_state``) for that of the city.
     """
-    rows = labelled(cleaned, label).withColumn(SIDE, in_train("event_id"))
-    encoding = MeanEncoder(label).fit(rows.filter(SIDE))
-    encoded = encoding.transform(rows, F.col(SIDE) if leave_one_out else False)
+    encoded, encoding = _encoded(cleaned, label, leave_one_out, joint_city)
     if written:
         encoded = materialize(encoded, "encoded", by=(SIDE,))
-    side = F.col(SIDE)
-    return Prepared(encoded.filter(side).drop(SIDE), encoded.filter(~side).drop(SIDE), encoding)
+    return _both_sides(encoded, encoding)
+
+
+def store_vectors(rows: DataFrame, features: PipelineModel, label: Label, path: str) -> DataFrame:
+    """Write the assembled vectors of both sides as Parquet, and read them back.
+
+    A row keeps what predictions show, the label and ``features``, whose slot names stay with the column.
+    Fits and predictions that follow read vectors instead of assembling them again.
+    """
+    shown = [*ID_COLUMNS, "genre", "spotify_popularity", label.column]
+    vectors = features.transform(rows).select(*shown, "features", SIDE)
+    vectors.write.mode("overwrite").partitionBy(SIDE).parquet(path)
+    return rows.sparkSession.read.schema(vectors.schema).parquet(path)
+
+
+def vector_sizes(vectors: DataFrame) -> DataFrame:
+    """``side, n_rows, vector_size`` of stored vectors; the size is that of the longest and shortest alike."""
+    slots = slot_count(F.col("features"))
+    return vectors.groupBy(F.when(F.col(SIDE), "train").otherwise("test").alias("side")).agg(
+        F.count("*").alias("n_rows"), F.max(slots).alias("vector_size"), F.min(slots).alias("least_size")
+    )
 
 
 def mean_baseline(
@@ -146,27 +190,43 @@ def train_job(
     kind: str = "rf",
     one_hot: bool = False,
     preset: str | None = None,
+    leave_one_out: bool = False,
+    joint_city: bool = False,
     **params,
 ) -> DataFrame:
-    """Train one model; save it, its encoding, predictions, metrics and importances."""
+    """Train one model; save it with its vectors, encoding, predictions, metrics and importances.
+
+    The regressor is fitted on the stored vectors; the saved model has the feature stages before it, so
+    scoring starts from columns. A model with ``joint_city`` is for comparison: requests are scored by city, and it refuses them.
+    """
     if one_hot:
-        train, test = split_by_id(labelled(cleaned, label))
-        data = Prepared(train, test, None)
-        pipeline = one_hot_model(kind, label, preset or "one_hot", **params)
+        if leave_one_out or joint_city:
+            raise ValueError("leave_one_out and joint_city are for mean-encoded features")
+        rows = labelled(cleaned, label).withColumn(SIDE, in_train("event_id"))
+        stages = one_hot_stages()
     else:
-        data = prepare_means(cleaned, label, written=True)
-        save_encoding(data.encoding, f"{target}/avg_encoding")
-        pipeline = mean_model(kind, label, preset or "mean", **params)
-    model = pipeline.fit(data.train)
+        rows, encoding = _encoded(cleaned, label, leave_one_out, joint_city)
+        save_encoding(encoding, f"{target}/avg_encoding")
+        stages = [dense_assembler(JOINT_FEATURES if joint_city else MEAN_FEATURES)]
+    features = Pipeline(stages=stages).fit(rows.filter(SIDE))
+    vectors = store_vectors(rows, features, label, f"{target}/features")
+    data = _both_sides(vectors, None)
+    regressor = make_regressor(kind, label, preset or ("one_hot" if one_hot else "mean"), **params)
+    fitted = regressor.fit(data.train)
+    model = PipelineModel([*features.stages, fitted])
     save_model(model, model_path(target))
-    predictions = model.transform(data.test)
+    predictions = materialize(fitted.transform(data.test).drop("features"), "predictions")
     write_rows(ev.prediction_table(predictions, label), f"{target}/predictions")
-    metrics = ev.metrics_long(
-        ev.evaluate(predictions, label), data.train.count(), data.test.count()
-    )
+    sizes = vector_sizes(vectors)
+    write_report(sizes, f"{target}/feature_sizes")
+    counts = {r["side"]: r["n_rows"] for r in sizes.collect()}
+    metrics = ev.metrics_long(ev.evaluate(predictions, label), counts.get("train", 0), counts.get("test", 0))
     write_report(metrics, f"{target}/metrics")
     if SHORT_NAMES.get(kind, kind) in ("decision_tree", "random_forest", "gbt"):
-        write_report(ev.feature_importance(model, data.test), f"{target}/feature_importance")
+        table = ev.feature_importance(PipelineModel([fitted]), data.test)
+        # One-hot features have a slot for every category, so their table grows.
+        order = ("-importance", "feature")
+        write_sorted(table, f"{target}/feature_importance", order) if one_hot else write_report(table, f"{target}/feature_importance")
     return cleaned.sparkSession.read.csv(f"{target}/metrics", header=True, inferSchema=True)
 
 

@@ -58,7 +58,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(marker)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    files, folder = _hadoop(spark, path)
+    files.delete(folder, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete the tables this application wrote, once nothing reads them."""
-    files, folder = _hadoop(spark, app_dir(spark))
-    files.delete(folder, True)
+    remove(spark, app_dir(spark))

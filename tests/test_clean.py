@@ -16,9 +16,9 @@ from stagefare.functions.text import (
 from stagefare.operators.clean import CLEAN_COLUMNS, clean_listings
 from stagefare.operators.reports import quality_counts
 from stagefare.operators.rows import dedup, require
-from stagefare.plans.cleaning import clean_job, clean_table, report_job
+from stagefare.plans.cleaning import clean_job, clean_table, listings_by_id, report_job
 from stagefare.sources.listings import read_clean, read_raw, write_clean
-from stagefare.sources.outputs import write_rows
+from stagefare.sources.outputs import read_sorted, write_rows, write_sorted
 
 
 def apply(spark, texts, fn):
@@ -204,3 +204,90 @@ def test_to_int_reads_plain_numbers_only(spark):
     assert {r.t: r.n for r in rows} == given
     wide = spark.createDataFrame([(12345678.0,)], "x double").select(to_int("x").alias("n")).first()
     assert wide.n == 12345678
+
+
+def _files(folder):
+    """Parquet files by month folder."""
+    found = {}
+    for file in folder.glob("year=*/month=*/*.parquet"):
+        found.setdefault(f"{file.parent.parent.name}/{file.parent.name}", set()).add(file.name)
+    return found
+
+
+def _listing(event_id, day, **more):
+    return {"TM_id": event_id, "artists": "['A']", "date": day, **more}
+
+
+def test_merged_batches_equal_one_clean(spark, tmp_path):
+    first = [
+        _listing("stays", "2024-01-10"), _listing("moves", "2024-02-10"), _listing("kept", "2024-03-10", venue="b"),
+        _listing("other", "2024-03-11"), _listing("unread", "TBA"),
+    ]
+    second = [
+        _listing("moves", "2024-04-10"), _listing("kept", "2024-03-10", venue="a"), _listing("kept", "2023-05-01"),
+        _listing("new", "2024-06-01"), _listing("new", "2024-06-01"), _listing("stays", "TBA"), _listing(None, "2024-07-01"),
+        _listing("unread", "2022-01-01"),
+    ]
+    for name, rows in (("first", first), ("second", second), ("both", first + second)):
+        write_rows(listings(spark, *rows), f"{tmp_path}/raw-{name}")
+    clean_job(spark, f"{tmp_path}/raw-first", f"{tmp_path}/merged", only_touched=True)
+    before = _files(tmp_path / "merged")
+    result = clean_job(spark, f"{tmp_path}/raw-second", f"{tmp_path}/merged", only_touched=True)
+    after = _files(tmp_path / "merged")
+    clean_job(spark, f"{tmp_path}/raw-both", f"{tmp_path}/whole")
+    merged, whole = read_clean(spark, f"{tmp_path}/merged"), read_clean(spark, f"{tmp_path}/whole")
+    assert merged.orderBy("event_id").collect() == whole.orderBy("event_id").collect()
+    assert before["year=2024/month=1"] == after["year=2024/month=1"]
+    assert "year=2024/month=2" in before and "year=2024/month=2" not in after
+    assert before["year=2024/month=3"] != after["year=2024/month=3"]
+    assert result["quality_counts"].first().total == len(second)
+    # The same files again change no row.
+    clean_job(spark, f"{tmp_path}/raw-second", f"{tmp_path}/merged", only_touched=True)
+    merged = read_clean(spark, f"{tmp_path}/merged")
+    assert merged.orderBy("event_id").collect() == whole.orderBy("event_id").collect()
+
+
+def test_merging_nothing_changes_nothing(spark, tmp_path):
+    write_rows(listings(spark, _listing("1", "2024-01-10")), f"{tmp_path}/raw")
+    write_rows(listings(spark, _listing("2", "TBA")), f"{tmp_path}/none")
+    clean_job(spark, f"{tmp_path}/raw", f"{tmp_path}/t")
+    before = _files(tmp_path / "t")
+    clean_job(spark, f"{tmp_path}/none", f"{tmp_path}/t", only_touched=True)
+    assert before == _files(tmp_path / "t")
+
+
+def test_counts_and_table_come_from_one_raw_scan(spark, tmp_path):
+    write_rows(listings(spark, _listing("1", "2024-01-10"), _listing("1", "TBA")), f"{tmp_path}/raw")
+    by_id = listings_by_id(read_raw(spark, f"{tmp_path}/raw"))
+    plan = by_id._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+    result = clean_job(spark, f"{tmp_path}/raw", f"{tmp_path}/t")
+    assert not any("/raw" in f for table in result.values() for f in table.inputFiles())
+    assert result["quality_counts"].first().total == 2
+
+
+def test_sorted_parts_read_back_in_order(spark, tmp_path):
+    rows = [(i % 7, f"name {i}") for i in range(500)] + [(None, "x")]
+    table = spark.createDataFrame(rows, "n int, name string")
+    write_sorted(table, f"{tmp_path}/parts", ("-n", "name"), parts=4)
+    assert len(list((tmp_path / "parts").glob("part-*.csv"))) > 1
+    found = read_sorted(spark, f"{tmp_path}/parts", "n int, name string").orderBy("position").collect()
+    wanted = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -1), r[1]))
+    assert [(r.position, r.n, r.name) for r in found] == [(i, *r) for i, r in enumerate(wanted, 1)]
+
+
+def test_distinct_sketches_merge(spark):
+    from stagefare.operators.distinct import distinct_between, distinct_sketches, relative_error
+
+    rows = [(2023 + i % 2, 1 + i % 12, f"a{i % 9000}", None if i % 3 else f"c{i % 50}") for i in range(40_000)]
+    table = spark.createDataFrame(rows, "year int, month int, artist string, city string")
+    sketches = distinct_sketches(table, ("artist", "city"))
+    assert sketches.count() == 12
+    whole = distinct_between(sketches, ("artist", "city")).first()
+    assert whole.n_events == 40_000 and abs(whole.unique_artist - 9000) <= 3 * relative_error() * 9000
+    cities = len({r[3] for r in rows if r[3]})
+    assert abs(whole.unique_city - cities) <= 1
+    one = distinct_between(sketches, ("artist",), years=[2023], months=[1, 3]).first()
+    exact = len({r[2] for r in rows if r[0] == 2023 and r[1] in (1, 3)})
+    assert abs(one.unique_artist - exact) <= max(1, 3 * relative_error() * exact)
+    assert distinct_between(sketches, ("artist",), years=[1999]).first().n_events is None
