@@ -112,47 +112,48 @@ def render(messages: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``(conv_id, formatted, turns, loss_texts)`` parsed from rendered conversations.
+    """``(conv_id, formatted_chars, turns)`` parsed from rendered conversations.
 
-    ``turns`` are ``(role, text, masked)``, unescaped; a turn counts as under the mask only if its
-    span has the length of the turn's text.
+    ``turns`` are ``(role, text, learned)``, unescaped. ``learned`` is what the loss mask covers of a turn, cut out of the
+    rendered text at the span's own places and null without a span, so a span that starts or ends elsewhere shows. Each turn's piece is
+    cut by itself, which keeps the work in proportion to the text.
     """
     pieces = F.split("formatted", f"\\Q{CLOSE}\\E")
     pieces = F.slice(pieces, 1, F.size(pieces) - 1)
-    cut = F.transform(
-        F.arrays_zip(pieces.alias("piece"), F.col("loss_spans").alias("span")),
-        lambda p: F.struct(
-            F.substring_index(F.substr(p["piece"], F.lit(len(OPEN) + 1)), MIDDLE, 1).alias("role"),
-            F.substr(p["piece"], F.instr(p["piece"], F.lit(MIDDLE)) + len(MIDDLE)).alias("text"),
-            p["span"].alias("span"),
-        ),
+    rows = formatted.select(
+        "conv_id",
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.posexplode(F.arrays_zip(pieces.alias("piece"), F.col("loss_spans").alias("span"))).alias("place", "turn"),
+    )
+    piece, span = F.coalesce("turn.piece", F.lit("")), F.col("turn.span")
+    before = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum(F.char_length(piece) + len(CLOSE)).over(before), F.lit(0))
+    # Places of the span in its piece, from 1 on; what lies outside the piece is not there.
+    first, after = F.greatest(span["start"] - begin + 1, F.lit(1)), span["end"] - begin + 1
+    masked = F.substr(piece, first.cast("int"), F.greatest(after - first, F.lit(0)).cast("int"))
+    turn = F.struct(
+        "place",
+        _unescape(F.substring_index(F.substr(piece, F.lit(len(OPEN) + 1)), MIDDLE, 1), ROLE_ESCAPES).alias("role"),
+        _unescape(F.substr(piece, F.instr(piece, F.lit(MIDDLE)) + len(MIDDLE))).alias("text"),
+        F.when(span.isNotNull(), _unescape(masked)).alias("learned"),
     )
-    turns = F.transform(
-        cut,
-        lambda t: F.struct(
-            _unescape(t["role"], ROLE_ESCAPES).alias("role"),
-            _unescape(t["text"]).alias("text"),
-            F.coalesce(
-                t["span"]["end"] - t["span"]["start"] == F.char_length(t["text"]), F.lit(False)
-            ).alias("masked"),
-        ),
+    parsed = rows.select("conv_id", "formatted_chars", turn.alias("turn"))
+    return parsed.groupBy("conv_id").agg(
+        F.first("formatted_chars").alias("formatted_chars"), F.array_sort(F.collect_list("turn")).alias("turns")
     )
-    return formatted.select("conv_id", "formatted", turns.alias("turns"))
 
 
 def digests(parsed: DataFrame) -> DataFrame:
     """What the check asks of each conversation, from what was read back."""
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learned = F.array_join(
-        F.transform(F.filter("turns", lambda t: t["masked"]), lambda t: t["text"]), ""
-    )
+    learned = F.array_join(F.transform("turns", lambda t: F.coalesce(t["learned"], F.lit(""))), "")
     return parsed.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
         F.char_length(learned).cast("long").alias("loss_chars"),
         F.sha2(learned, 256).alias("loss_sha256"),
-        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "formatted_chars",
     )
 
 

@@ -1,6 +1,7 @@
 import hashlib
 
 from compare import connect, difference
+from pyspark.sql import functions as F
 from stagefare.llm import op10_chat
 from stagefare.llm.queries import ORACLES, op10_chat_formatting
 
@@ -52,6 +53,17 @@ def test_fold_of_deltas_edits_and_regenerations(spark):
     ]
 
 
+def test_a_misplaced_mask_shows(spark):
+    table = spark.createDataFrame([(1, 1, "user", "ask"), (1, 2, "assistant", "\U0001f600 answer"), (1, 3, "assistant", "")], "conv_id long, turn long, role string, text string")
+    chats = op10_chat.format_chats(table)
+    right = op10_chat.read_back(chats).first()
+    assert [t.learned for t in right.turns] == [None, "\U0001f600 answer", ""]
+    for by, wanted in ((1, " answer"), (-1, " \U0001f600 answe"), (1000, "")):
+        moved = F.transform("loss_spans", lambda s: F.when(s.isNotNull(), F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"))))
+        turns = op10_chat.read_back(chats.withColumn("loss_spans", moved)).first().turns
+        assert turns[1].learned == wanted and turns[1].text == "\U0001f600 answer"
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert op10_chat.digests(op10_chat.read_back(op10_chat.format_chats(empty))).collect() == []
