@@ -83,3 +83,60 @@ def test_profiles_are_bundles_of_bound_letters():
     bundle = two(gap) * one(a) * b + two(a) * one(b) * gap + two(gap) * one(c) * gap
     assert np.allclose(vectors[0], bundle / np.linalg.norm(bundle), atol=1e-5) and np.allclose(vectors[0], vectors[3])
     assert lettered.tolist() == [True, False, False, True, True]
+
+
+def _pair_texts(rule, count=3000):
+    r = np.random.default_rng(1)
+    parts, y = [], []
+    for _ in range(count):
+        one, two = r.random(2) < 0.5
+        parts.append(np.unique([*([1] if one else []), *([2] if two else []), *r.integers(10, 400, 20)]))
+        y.append(float(rule(one, two)))
+    return parts, np.array(y)
+
+
+def _flat(parts):
+    return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
+
+
+def test_machine_learns_pairs_that_tell_nothing_alone():
+    """Toxic with both terms or neither: each alone is equally common on both sides."""
+    parts, y = _pair_texts(lambda a, b: a == b)
+    machine = op2_toxicity.fit(*_flat(parts[:2000]), y[:2000])
+    assert {1, 2} <= set(machine.kept.tolist()) and len(machine.kept) < 10
+    score = machine.score(*machine.features(*_flat(parts)), len(parts))
+    assert ((score >= 0.5) == (y == 1))[2000:].mean() > 0.99
+
+
+def test_effects_that_add_up_make_no_pair():
+    r = np.random.default_rng(5)
+    one = r.random(6000) < 0.5
+    two = np.where(one, r.random(6000) < 0.8, r.random(6000) < 0.2)  # the terms go together
+    y = (r.random(6000) < 0.1 + 0.3 * one + 0.3 * two).astype(float)
+    parts = [np.unique([*([1] if a else []), *([2] if b else []), 3]) for a, b in zip(one, two)]
+    flat, bounds = _flat(parts)
+    found, number = np.unique(flat, return_inverse=True)
+    owner = np.repeat(np.arange(6000), np.diff(bounds))
+    assert not op2_toxicity.joint_terms(owner, number, y, np.bincount(number)).any()
+
+
+def test_score_is_the_sum_over_all_pairs():
+    r = np.random.default_rng(2)
+    kept = np.array([3, 5, 8, 13, 21, 34])
+    machine = op2_toxicity.Machine(kept, -0.3, r.normal(size=6), r.normal(size=(6, 4)))
+    parts = [np.unique(r.integers(0, 40, r.integers(0, 30))) for _ in range(200)]
+    found = machine.score(*machine.features(*_flat([*parts, np.zeros(0, np.int64)])), 201)
+    for part, score in zip([*parts, []], found):
+        own = [k for k, term in enumerate(kept) if term in part]
+        total = machine.bias + sum(machine.weights[k] for k in own)
+        for i, a in enumerate(own):
+            for b in own[i + 1 :]:
+                total += sum(machine.factors[a][f] * machine.factors[b][f] for f in range(4))
+        assert abs(score - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+def test_repeated_ids_learn_from_one_text(spark):
+    docs = spark.createDataFrame([(k, t) for k in range(200) for t in ("calm words", f"zz{k % 2} word")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(200)], "doc_id long, quality int, toxic int")
+    one, two = (op2_toxicity.learn(d, labels) for d in (docs, docs.repartition(7)))
+    assert len(one.kept) == 2 and np.array_equal(one.weights, two.weights)
