@@ -126,6 +126,41 @@ def test_look_up_knows_what_is_there(spark, tmp_path):
     assert all(r.start == 3 * (d // 2) and r["size"] == 3 and r["count"] == 1 for d, r in rows.items())
 
 
+def test_reading_goes_by_the_index(spark, tmp_path):
+    """An index entry that points elsewhere is seen, be it to the next document or into the middle of one."""
+    docs = spark.range(0, 300).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    path = str(tmp_path / "store")
+    op7_store.write(docs, path)
+    keys = docs.select("doc_id")
+    assert op7_store.read_back(spark, path, keys.limit(10)).count() == 10
+    plan = op7_store.read_back(spark, path, keys)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    index = spark.read.parquet(f"{path}/index").toPandas()
+    for name, by in (("start", 3), ("start", 1), ("marks", 1)):
+        wrong = index.copy()
+        kind = "<u4" if name == "marks" else "<i8"
+        values = np.frombuffer(wrong[name][0], kind).copy()
+        values[0] += by
+        wrong.at[0, name] = values.tobytes()
+        schema = spark.read.parquet(f"{path}/index").schema
+        spark.createDataFrame(wrong, schema).write.mode("overwrite").parquet(f"{path}/index")
+        if name == "marks":
+            assert op7_store.read_back(spark, path, keys).count() == 299
+        else:
+            with pytest.raises(Exception, match="does not hold its key"):
+                op7_store.read_back(spark, path, keys).collect()
+
+
+def test_keys_over_several_blocks(spark, library, monkeypatch):
+    rows = [(7, f"text {k} " * 40) for k in range(400)] + [(None, f"none {k}") for k in range(60)] + [(k, "x") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    wanted = stored(rows, library)
+    for most in (64 << 20, 0):
+        monkeypatch.setattr(op7_store, "BROADCAST_BYTES", most)
+        got = sorted(map(tuple, op7_store.round_trip(docs).collect()), key=lambda r: r[1])
+        assert got == wanted
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 5, 64, 1000, 1500])
 def test_perfect_hash_is_minimal(size):
     r = random.Random(size)
