@@ -172,3 +172,13 @@ def test_encoding_same_by_broadcast_and_shuffle(spark, cleaned):
 
 def test_shared_dir_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_small_supplier_table_is_broadcast_whatever_sparks_threshold(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(raw_listings(spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join [l_suppkey" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
