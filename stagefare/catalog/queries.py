@@ -26,7 +26,7 @@ from stagefare.columns import (
 from stagefare.operators import evaluate as ev
 from stagefare.operators import distinct, profile, reports, score, trees
 from stagefare.operators.category_index import apply_index, category_index
-from stagefare.operators.clean import clean_listings
+from stagefare.operators.clean import clean_listings, typed_listings, with_derived
 from stagefare.operators.encoding import (
     MeanEncoder,
     encoding_map,
@@ -251,7 +251,8 @@ def filter_required(spark, sf_dir):
 
 @query
 def dedup_events(spark, sf_dir):
-    return dedup(_typed(spark, sf_dir), ["event_id"], prefer=("event_date", "artist"))
+    typed = typed_listings(raw_listings(spark, sf_dir))
+    return with_derived(dedup(typed, ["event_id"], prefer=("event_date", "artist")))
 
 
 @query

@@ -122,7 +122,25 @@ def derived_columns() -> dict[str, Column]:
     }
 
 
+# What follows from other columns, all of which stand earlier in CLEAN_COLUMNS.
+DERIVED = ("price_range", "has_spotify_data", "has_secondary_market", "year", "month", "weekday", "is_weekend")
+TYPED_COLUMNS = tuple(c for c in CLEAN_COLUMNS if c not in DERIVED)
+
+
+def typed_listings(raw: DataFrame, artist_mode: str = "strict_single") -> DataFrame:
+    """The cleaned columns that do not follow from others.
+
+    Rows that are about to be shuffled take this form: the rest is computed after it, and as it comes
+    from columns that are compared before it, it changes no order of rows.
+    """
+    return raw.select(*typed_columns(artist_mode)).select(*TYPED_COLUMNS)
+
+
+def with_derived(typed: DataFrame) -> DataFrame:
+    """All cleaned columns of :func:`typed_listings`."""
+    return typed.withColumns(derived_columns()).select(*CLEAN_COLUMNS)
+
+
 def clean_listings(raw: DataFrame, artist_mode: str = "strict_single") -> DataFrame:
     """The 38 cleaned columns of a raw listing table, row for row."""
-    typed = raw.select(*typed_columns(artist_mode))
-    return typed.withColumns(derived_columns()).select(*CLEAN_COLUMNS)
+    return with_derived(typed_listings(raw, artist_mode))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stagefare.columns import ListingColumns
 from stagefare.functions.joins import measure
 from stagefare.operators import reports
-from stagefare.operators.clean import CLEAN_COLUMNS, clean_listings
+from stagefare.operators.clean import TYPED_COLUMNS, typed_listings, with_derived
 from stagefare.operators.rows import all_present, best_first, dedup, require, unpack
 from stagefare.sources.listings import read_clean, read_raw, write_clean
 from stagefare.sources.outputs import write_report, write_sorted
@@ -26,10 +26,10 @@ def clean_table(
 
     De-duplication prefers complete rows, so dropping incomplete ones before it
     keeps the same rows as dropping them after it, and shuffles less: rows
-    without an id, all of which share one key, never reach the shuffle.
+    without an id, all of which share one key, never reach the shuffle. Nor do columns that follow from others.
     """
-    complete = require(clean_listings(raw, artist_mode), c.required)
-    return dedup(complete, [c.event_id], prefer=(c.event_date, c.artist))
+    complete = require(typed_listings(raw, artist_mode), c.required)
+    return with_derived(dedup(complete, [c.event_id], prefer=(c.event_date, c.artist)))
 
 
 def listings_by_id(
@@ -39,15 +39,15 @@ def listings_by_id(
 
     The counts ride on the aggregate that de-duplicates, so cleaning and counting read the raw files once.
     """
-    typed = clean_listings(raw, artist_mode)
-    best = best_first(typed.columns, [c.event_id], (c.event_date, c.artist))
+    typed = with_derived(typed_listings(raw, artist_mode))
+    best = best_first(TYPED_COLUMNS, [c.event_id], (c.event_date, c.artist))
     kept = F.max(F.when(all_present(c.required), best)).alias("kept")
     return typed.groupBy(c.event_id).agg(*reports.id_counts(c), kept)
 
 
 def kept_listings(by_id: DataFrame, c: ListingColumns = LISTING) -> DataFrame:
     """The rows of :func:`clean_table` from :func:`listings_by_id`."""
-    return unpack(by_id.filter("kept is not null"), CLEAN_COLUMNS, [c.event_id], "kept")
+    return with_derived(unpack(by_id.filter("kept is not null"), TYPED_COLUMNS, [c.event_id], "kept"))
 
 
 def clean_job(
@@ -107,8 +107,9 @@ def merge_clean(
     touched = sorted((r["year"], r["month"]) for r in both.collect())
     if not touched:
         return []
-    changed = old.filter(_in_months(touched)).select(*fresh.columns).unionByName(fresh)
-    merged = materialize(dedup(changed, [c.event_id], (c.event_date, c.artist)), "merged")
+    held_rows = old.filter(_in_months(touched)).select(*TYPED_COLUMNS)
+    changed = held_rows.unionByName(fresh.select(*TYPED_COLUMNS))
+    merged = materialize(with_derived(dedup(changed, [c.event_id], (c.event_date, c.artist))), "merged")
     filled = {(r["year"], r["month"]) for r in merged.select("year", "month").distinct().collect()}
     write_clean(merged, target, only_touched=True)
     for year, month in touched:

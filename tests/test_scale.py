@@ -174,6 +174,12 @@ def test_shared_dir_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_dedup_shuffles_no_derived_columns(spark, sf_dir):
+    plan = plan_of(clean_table(raw_listings(spark, sf_dir)))
+    below = plan.split("Exchange hashpartitioning(event_id", 1)[1]
+    assert "price_range" not in below and "is_weekend" not in below
+
+
 def test_small_supplier_table_is_broadcast_whatever_sparks_threshold(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
