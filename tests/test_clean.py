@@ -291,3 +291,12 @@ def test_distinct_sketches_merge(spark):
     exact = len({r[2] for r in rows if r[0] == 2023 and r[1] in (1, 3)})
     assert abs(one.unique_artist - exact) <= max(1, 3 * relative_error() * exact)
     assert distinct_between(sketches, ("artist",), years=[1999]).first().n_events is None
+
+
+def test_growing_csv_is_compressed(spark, tmp_path):
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.lit("the same text").alias("t"))
+    write_rows(rows, f"{tmp_path}/rows", rows_per_file=2000)
+    files = [*tmp_path.glob("rows/part-*")]
+    assert len(files) > 2 and all(f.name.endswith(".csv.gz") for f in files)
+    back = spark.read.csv(f"{tmp_path}/rows", header=True)
+    assert back.count() == 5000 and back.subtract(rows).count() == 0
