@@ -42,8 +42,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder, partitioned by ``by``, and read it back."""
-    path = new_path(df.sparkSession, name)
-    df.write.partitionBy(*by).parquet(path)
+    return written_at(df, new_path(df.sparkSession, name), by)
+
+
+def written_at(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`materialize` at a path of the caller's, who can remove it after its last reader."""
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

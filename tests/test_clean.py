@@ -300,3 +300,15 @@ def test_growing_csv_is_compressed(spark, tmp_path):
     assert len(files) > 2 and all(f.name.endswith(".csv.gz") for f in files)
     back = spark.read.csv(f"{tmp_path}/rows", header=True)
     assert back.count() == 5000 and back.subtract(rows).count() == 0
+
+
+def test_clean_table_merges_files_without_a_shuffle_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("stagefare.sources.listings.ROWS_PER_FILE", 100)
+    months = [(2023, 5), (2024, 5), (2024, None)]
+    rows = [(str(i), *months[i % 3]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "event_id string, year int, month int").repartition(12)
+    write_clean(df, f"{tmp_path}/t")
+    back = read_clean(spark, f"{tmp_path}/t")
+    assert sorted(map(tuple, back.select("event_id", "year", "month").collect()), key=str) == sorted(rows, key=str)
+    files = [*(tmp_path / "t").glob("year=*/month=*/*.parquet")]
+    assert 3 <= len(files) <= 3 * (2 + 500 // 100)
