@@ -16,7 +16,7 @@ from stagefare.functions.text import (
 from stagefare.operators.clean import CLEAN_COLUMNS, clean_listings
 from stagefare.operators.reports import quality_counts
 from stagefare.operators.rows import dedup, require
-from stagefare.plans.cleaning import clean_job, clean_table, listings_by_id, report_job
+from stagefare.plans.cleaning import clean_job, clean_table, listings_by_id, report_job, write_cleaned
 from stagefare.sources.listings import read_clean, read_raw, write_clean
 from stagefare.sources.outputs import read_sorted, write_rows, write_sorted
 
@@ -312,3 +312,45 @@ def test_clean_table_merges_files_without_a_shuffle_of_rows(spark, tmp_path, mon
     assert sorted(map(tuple, back.select("event_id", "year", "month").collect()), key=str) == sorted(rows, key=str)
     files = [*(tmp_path / "t").glob("year=*/month=*/*.parquet")]
     assert 3 <= len(files) <= 3 * (2 + 500 // 100)
+
+
+@pytest.mark.parametrize("rows_per_file", [20, 1_000_000])
+@pytest.mark.parametrize("limit", [None, -1])
+def test_write_cleaned_holds_the_rows_of_clean_table(spark, tmp_path, monkeypatch, rows_per_file, limit):
+    monkeypatch.setattr("stagefare.sources.listings.ROWS_PER_FILE", rows_per_file)
+    if limit:
+        monkeypatch.setattr("stagefare.functions.joins.BROADCAST_LIMIT_BYTES", limit)
+    rows = [_listing(f"e{i}", f"2023-0{1 + i % 5}-03") for i in range(60)]
+    rows += [_listing(f"e{i}", f"2023-0{1 + i % 7}-09", venue=f"v{i}") for i in range(0, 60, 2)]
+    rows += [_listing(f"e{i}", f"2023-0{1 + i % 7}-09", venue=f"w{i % 3}") for i in range(0, 60, 6)]
+    rows += rows[:40] + [_listing("hot", "2023-02-02", venue=f"v{i % 9}") for i in range(200)]
+    rows += [_listing(None, "2023-01-01"), _listing("none", None), _listing("odd", "TBA"), _listing("mute", "2023-01-01", artists=None)]
+    raw = listings(spark, *rows).repartition(5)
+    write_cleaned(raw, str(tmp_path))
+    want = clean_table(raw)
+    got = read_clean(spark, str(tmp_path)).select(*CLEAN_COLUMNS)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == 61
+
+
+def test_write_cleaned_shuffles_no_whole_rows(spark, tmp_path, monkeypatch):
+    """What decides which row of an id stays is its date and number; the rest of a row meets a shuffle only in a tie."""
+    monkeypatch.setattr("stagefare.sources.listings.ROWS_PER_FILE", 20)
+    seen = []
+    frame = type(spark.range(0))
+    write = frame.write.fget
+
+    def noted(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.extend(line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Sort [" in line)
+        return write(df)
+
+    monkeypatch.setattr(frame, "write", property(noted))
+    rows = [_listing(f"e{i % 50}", f"2023-0{1 + i % 3}-{1 + i // 50:02d}", venue=f"v{i}") for i in range(200)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_cleaned(listings(spark, *rows).coalesce(2), str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert read_clean(spark, str(tmp_path)).count() == 50
+    assert seen and not any("venue" in line for line in seen)
