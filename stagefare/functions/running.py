@@ -11,25 +11,24 @@ from pyspark.sql import functions as F
 
 from stagefare.sources.scratch import materialize
 
-_PART, _ENDS = "__part", "__ends"
+_PART = "__part"
 
 
 def running_total(df: DataFrame, group: str, order: list[Column], weight: Column, name: str) -> DataFrame:
     """``df`` with ``name``: the sum of ``weight`` over the rows of the same group up to and with this one.
 
     ``order`` must tell the rows of a group apart. The dealt rows are written, as a range
-    partitioning that is computed again may cut elsewhere.
+    partitioning that is computed again may cut elsewhere; order and weight are computed again instead of stored.
     """
-    keys = {f"__order_{i}": c for i, c in enumerate(order)}
-    dealt = df.withColumns({**keys, _ENDS: weight}).repartitionByRange(group, *keys)
+    dealt = df.repartitionByRange(group, *order)
     dealt = materialize(dealt.withColumn(_PART, F.spark_partition_id()), "dealt")
-    totals = dealt.groupBy(group, _PART).agg(F.sum(_ENDS).alias("__total"))
+    totals = dealt.groupBy(group, _PART).agg(F.sum(weight).alias("__total"))
     # One row for each group in each task, a few thousand at most.
     before = Window.partitionBy(group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(group, _PART, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before"))
     offsets = offsets.withColumnsRenamed({group: "__group", _PART: "__of"})
-    stretch = Window.partitionBy(_PART, group).orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-    summed = dealt.withColumn(name, F.sum(_ENDS).over(stretch))
+    stretch = Window.partitionBy(_PART, group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = dealt.withColumn(name, F.sum(weight).over(stretch))
     met = summed.join(F.broadcast(offsets), (F.col(_PART) == F.col("__of")) & F.col(group).eqNullSafe(F.col("__group")))
     return met.withColumn(name, F.col(name) + F.col("__before")).select(*df.columns, name)
 

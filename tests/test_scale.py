@@ -148,6 +148,19 @@ def test_running_totals_span_tasks(spark):
             assert r.s == total
 
 
+def test_running_totals_deal_only_the_rows_own_columns(spark, monkeypatch):
+    dealt = []
+
+    def noted(df, name):
+        dealt.append(df.columns)
+        return materialize(df, name)
+
+    monkeypatch.setattr("stagefare.functions.running.materialize", noted)
+    found = quantiles(spark.createDataFrame([(1.0,), (3.0,), (3.0,)], "v double"), ["v"], [0.25])
+    assert [r["value"] for r in found.collect()] == [2.0]
+    assert dealt == [["column_name", "value", "n", "__part"]]
+
+
 def test_category_index_by_frequency_and_name(spark):
     rows = [("x", "m")] * 5 + [("y", "m")] * 5 + [("z", "n")] * 9 + [(None, "n")] * 3
     df = spark.createDataFrame(rows, "one string, two string").repartition(4)
