@@ -22,7 +22,9 @@ and 90, the pipeline's stage 5 words and 80.
    its hub, which joins most groups at one row per member.
    Short sketches of BRIEF words drop most pairs that cannot link before texts are fetched.
 5. Buckets that still hold several components are gathered by hub, each member once, and dealt into chunks.
-   A task takes a pair of chunks and compares whole sketches: only pairs whose Hamming distance allows a
+   First a task takes a pair of chunks of sketches that are as long as their sets ask for, folded to the shorter of two, and names the members
+   that one of another component is near enough to; sketches are dealt again for each pair of chunks, which texts are too large for.
+   Of the members named, dealt anew, a task takes a pair of chunks with texts and compares whole sketches: only pairs whose Hamming distance allows a
    link, and that nothing joins so far, are verified. What leaves a task is one link for each two components
    it joined, never the candidates, so a group of texts just below the threshold costs comparisons, spread
    over tasks, but no rows. Members of a bucket share a hub, so no pair is missed and components are exact.
@@ -37,7 +39,7 @@ their row; no rows give no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -55,6 +57,9 @@ from .text import blocks, mix, words
 # A chunk holds about so many texts, and shingles, of a group.
 CHUNK = 256
 CHUNK_SHINGLES = 1 << 17
+# A chunk of sketches holds about so many members, and bytes, of a group.
+SKETCHES = 512
+SKETCH_BYTES = 4 << 20
 # Words of the short sketch that a pair must pass before its texts are fetched.
 BRIEF = 16
 _SET = ("set_a", "set_b", "n_shingles")
@@ -258,16 +263,11 @@ def _joined(members: pa.RecordBatch, rule: Rule) -> list[tuple[int, int]]:
 _PAIR = ("hub", "one", "two")
 
 
-def _compared(rule: Rule):
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Links of rows sorted by pair of chunks; a group never exceeds two chunks."""
+def _by_pair(found: Callable[[pa.RecordBatch], pa.RecordBatch]):
+    def by_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What is found in each pair of chunks, of rows sorted by pair; a group never exceeds two chunks."""
         held: list[pa.RecordBatch] = []
         last = None
-
-        def links() -> pa.RecordBatch:
-            found = _joined(pa.concat_batches(held), rule)
-            return pa.record_batch({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -276,14 +276,79 @@ def _compared(rule: Rule):
             for start, end in zip(cuts[:-1], cuts[1:], strict=True):
                 key = keys[:, start].tolist()
                 if held and key != last:
-                    yield links()
+                    yield found(pa.concat_batches(held))
                     held = []
                 last = key
                 held.append(batch.slice(start, end - start))
         if held:
-            yield links()
+            yield found(pa.concat_batches(held))
+
+    return by_pair
+
+
+def _compared(rule: Rule):
+    def compared(members: pa.RecordBatch) -> pa.RecordBatch:
+        found = _joined(members, rule)
+        return pa.record_batch({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return _by_pair(compared)
+
+
+def _folding(shingles: np.ndarray, rule: Rule) -> np.ndarray:
+    """A sketch of about 4 bits for each shingle that may differ; its words are a power of 2, so longer ones fold to shorter ones."""
+    p, q = rule.apart
+    return _sketch(shingles, max(BRIEF, 1 << (p * 2 * len(shingles) // (q * 16)).bit_length()))
+
+
+def _folded(rule: Rule):
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch):
+                sets = list(shingle_sets(block.column("text"), rule.words))
+                made = pa.array([_folding(one, rule).tobytes() for one in sets], pa.binary())
+                yield pa.record_batch({"rep": block.column("doc_id"), "shingles": pa.array([len(one) for one in sets], pa.int32()), "sketch": made})
+
+    return folded
+
 
-    return compared
+def _near(rule: Rule):
+    p, q = rule.apart
+
+    def near(members: pa.RecordBatch) -> pa.RecordBatch:
+        """Members of a pair of chunks that may link with one of another component there."""
+        size, label, chunk = (np.asarray(members.column(c)).astype(np.int64) for c in ("shingles", "component", "chunk"))
+        within = members.column("one")[0].as_py() == members.column("two")[0].as_py()
+        sketches = [np.frombuffer(one.as_buffer(), np.uint64) for one in members.column("sketch")]
+        length = np.array([len(one) for one in sketches])
+        met = np.zeros(len(size), bool)
+        for count in np.unique(length).tolist():
+            longer = np.flatnonzero(length >= count)
+            words = np.stack([np.bitwise_xor.reduce(sketches[j].reshape(count, -1), axis=1) for j in longer])
+            for row in np.flatnonzero(length[longer] == count).tolist():
+                i = longer[row]
+                could = (label[longer] != label[i]) & (100 * np.minimum(size[longer], size[i]) >= rule.percent * np.maximum(size[longer], size[i]))
+                if not within:
+                    could &= chunk[longer] != chunk[i]
+                at = np.flatnonzero(could)
+                apart = np.bitwise_count(words[at] ^ words[row]).sum(axis=1, dtype=np.int64)
+                at = longer[at[q * apart <= p * (size[longer[at]] + size[i])]]
+                met[at] = True
+                met[i] |= len(at) > 0
+        return members.select(["hub", "rep"]).filter(pa.array(met))
+
+    return _by_pair(near)
+
+
+def _in_pairs(groups: DataFrame, held: DataFrame, most: int, weight: str, most_weight: int) -> DataFrame:
+    """Members with what is held of them, dealt by pairs of chunks of their groups."""
+    chunks = groups.groupBy("hub").agg(
+        F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum(weight) / most_weight)).alias("chunks")
+    )
+    dealt = groups.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks")).join(held, "rep")
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    pairs = pairs.withColumns({"one": F.least("chunk", "other"), "two": F.greatest("chunk", "other")})
+    pairs = pairs.select(*_PAIR, "chunk", *groups.columns[1:], *[c for c in held.columns if c not in groups.columns])
+    return pairs.repartition(*_PAIR).sortWithinPartitions(*_PAIR)
 
 
 def _links_between(docs: DataFrame, ranked: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
@@ -304,15 +369,16 @@ def _links_between(docs: DataFrame, ranked: DataFrame, found: DataFrame, rule: R
     )
     groups = labelled.join(open_keys, "key").groupBy("hub", "rep").agg(F.max("size").alias("size"), F.min("component").alias("component"))
     groups = materialize(groups, "open")
-    chunks = groups.groupBy("hub").agg(
-        F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("size") / CHUNK_SHINGLES)).alias("chunks")
-    )
-    dealt = groups.join(chunks, "hub").withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks"))
-    held = _only(docs, materialize(groups.select(F.col("rep").alias("doc_id")).distinct(), "named"))
-    dealt = dealt.join(held.select(F.col("doc_id").alias("rep"), "text"), "rep")
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    pairs = pairs.withColumns({"one": F.least("chunk", "other"), "two": F.greatest("chunk", "other")})
-    pairs = pairs.select(*_PAIR, "chunk", "rep", "component", "text").repartition(*_PAIR).sortWithinPartitions(*_PAIR)
+    named = materialize(groups.select(F.col("rep").alias("doc_id")).distinct(), "named")
+    folded = materialize(_only(docs, named).mapInArrow(_folded(rule), "rep long, shingles int, sketch binary"), "folded")
+    bytes_of = folded.groupBy("rep").agg(F.sum(F.length("sketch")).alias("bytes"))
+    sized = groups.join(bytes_of, "rep").select("hub", "rep", "component", "bytes")
+    met = _in_pairs(sized, folded, SKETCHES, "bytes", SKETCH_BYTES).mapInArrow(_near(rule), "hub long, rep long").distinct()
+    near = materialize(groups.join(materialize(met, "met"), ["hub", "rep"]).select("hub", "rep", "size", "component"), "near")
+    discard(groups, folded)
+    named = materialize(near.select(F.col("rep").alias("doc_id")).distinct(), "named")
+    held = _only(docs, named).select(F.col("doc_id").alias("rep"), "text")
+    pairs = _in_pairs(near, held, CHUNK, "size", CHUNK_SHINGLES)
     return pairs.mapInArrow(_compared(rule), "a long, b long")
 
 

@@ -85,6 +85,29 @@ def test_a_group_of_several_chunks_just_below_the_threshold(spark, monkeypatch):
     assert sorted(map(tuple, cluster(docs).collect())) == expected
 
 
+def test_only_near_members_of_a_bucket_are_dealt_with_their_texts(spark, monkeypatch):
+    """Texts that share a passage meet in buckets, but those that nothing is near to go no further than their sketches."""
+    monkeypatch.setattr(op9_jaccard, "SKETCHES", 7)
+    passage = cases.prose(11, 90, 10**6)
+    rows = [(k, f"{passage} {cases.prose(100 + k, 14, 10**6)}") for k in range(60)]
+    base = cases.prose(4, 90, 10**6)
+    rows += [(200 + k, cases.edited(base, k, 1)) for k in range(20)]
+    rows += [(400, cases.prose(12, 9000, 10**6)), (401, cases.edited(cases.prose(12, 9000, 10**6), 2, 200))]
+    rows += [(rows[3][0], cases.edited(rows[3][1], 5, 2)), (rows[65][0], cases.prose(13, 40))]
+    held, write = {}, op9_jaccard.materialize
+
+    def counted(df, name, *a):
+        out = write(df, name, *a)
+        held[name] = out.count()
+        return out
+
+    monkeypatch.setattr(op9_jaccard, "materialize", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted({(r.doc_id, r.component_id) for r in cluster(docs).collect()})
+    assert got == sorted({(d, c) for d, _, c in brute(rows)})
+    assert 0 < held["near"] < held["open"]
+
+
 def brute_by(rows, words, percent):
     """As ``brute``, for any length of shingles and threshold, over all pairs."""
     sets = []
