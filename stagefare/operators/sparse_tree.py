@@ -1,7 +1,7 @@
 """A regression tree on sparse vectors of numbers and one-hot slots, learnt from counts by category.
 
 MLlib's own fit writes out one number for every slot of every row, so its work grows with rows times categories. Here a row
-is its bins and the few slots that are set; a level of the tree is one aggregate of them by node, slot and bin.
+is its numbers and the few slots that are set; for a level of the tree tasks add them up by node, slot and bin (``slot_sums``).
 Splits, bins, stopping rules and pruning are MLlib's (a slot of 0 or 1 is a category of two values, the lesser mean goes left), and so
 is the model. Two things differ: bins come from all rows where MLlib samples 10,000 of them, and equal gains go to the first slot
 where MLlib's depend on the order in which doubles are added.
@@ -12,14 +12,17 @@ from __future__ import annotations
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Estimator
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagefare.operators.features import slot_count, slot_value
+from stagefare.operators.features import slot_count
+from stagefare.operators.slot_sums import SUMS_SCHEMA, Walk, slot_sums, split_slots
 from stagefare.sources.scratch import new_path, remove, written_at
+from stagefare.sources.ship import ship_package
 
 # Distinct values of a number from which its bins are cut; of more, as many quantiles stand for them.
 VALUES_LIMIT = 10_000
@@ -83,10 +86,11 @@ class SparseTreeRegressor(Estimator):
         size = dataset.select(slot_count(vector).alias("size")).first()
         if size is None:
             raise ValueError("a tree needs rows to learn from")
+        ship_package(spark)
         numbers = self._numbers(dataset, size[0])
-        cuts = self._cuts(dataset, vector, numbers)
-        rows = written_at(self._rows(dataset, vector, numbers, cuts), path)
-        nodes = self._grow(rows, numbers)
+        rows = written_at(self._rows(dataset, vector, numbers), path)
+        cuts = self._cuts(rows, numbers)
+        nodes = self._grow(rows, numbers, cuts, size[0])
         remove(spark, path)
         return self._model(dataset, size[0], nodes, numbers, cuts)
 
@@ -98,11 +102,11 @@ class SparseTreeRegressor(Estimator):
         binary = {a["idx"] for a in attributes.get("binary", [])}
         return [i for i in range(size) if i not in binary]
 
-    def _cuts(self, dataset: DataFrame, vector: Column, numbers: list[int]) -> list[list[float]]:
+    def _cuts(self, rows: DataFrame, numbers: list[int]) -> list[list[float]]:
         """Thresholds of each number."""
         cuts = []
-        rows = dataset.select(*[slot_value(vector, F.lit(i)).alias(f"v{i}") for i in numbers])
-        entries = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(f"v{i}").alias("value")) for i in numbers])
+        names = {i: f"v{k}" for k, i in enumerate(numbers)}
+        entries = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(n).alias("value")) for i, n in names.items()])
         counted = rows.select(F.inline(entries)).groupBy("slot", "value").agg(F.count("*").alias("n")) if numbers else None
         within = Window.partitionBy("slot").orderBy("value")
         listed: dict[int, list[tuple[float, int]]] = {i: [] for i in numbers}
@@ -112,33 +116,20 @@ class SparseTreeRegressor(Estimator):
             values = sorted(listed[i])
             if len(values) > VALUES_LIMIT:
                 probs = [k / (VALUES_LIMIT - 1) for k in range(VALUES_LIMIT)]
-                found = rows.approxQuantile(f"v{i}", probs, 0.5 / VALUES_LIMIT)
+                found = rows.approxQuantile(names[i], probs, 0.5 / VALUES_LIMIT)
                 values = sorted(Counter(found).items())
             cuts.append(thresholds(values, min(self.like.getMaxBins(), sum(n for _, n in values))))
         return cuts
 
-    def _rows(self, dataset: DataFrame, vector: Column, numbers: list[int], cuts: list[list[float]]) -> DataFrame:
-        """``y, bins, hot``: label, bin of each number (a value at a threshold goes left), slots that are set."""
+    def _rows(self, dataset: DataFrame, vector: Column, numbers: list[int]) -> DataFrame:
+        """``y, v0, v1, ..., hot``: label, numbers, and slots that are set."""
         plain = F.unwrap_udt(vector)
-        indices = F.coalesce(plain["indices"], F.sequence(F.lit(0), F.size(plain["values"]) - 1))
-        pairs = F.filter(F.arrays_zip(indices.alias("i"), plain["values"].alias("v")), lambda p: p["v"] != 0)
-        known = F.expr(f"array({', '.join(map(str, numbers))})") if numbers else F.expr("cast(array() as array<int>)")
-
-        def bin_of(value: Column, cut: list[float]) -> Column:
-            below = F.expr(f"cast(array({', '.join(f'{t!r}D' for t in cut)}) as array<double>)")
-            return F.size(F.filter(below, lambda t: t < value))
-
-        bins = [bin_of(slot_value(vector, F.lit(i)), cut) for i, cut in zip(numbers, cuts, strict=True)]
         y = F.col(self.like.getLabelCol()).cast("double")
-        bad = y.isNull() | F.isnan(y) | (F.abs(y) == float("inf"))
-        slots = F.transform(pairs, lambda p: p["i"])
-        return dataset.select(
-            F.when(bad, F.raise_error(F.lit("labels must not be null, NaN or infinite")).cast("double")).otherwise(y).alias("y"),
-            (F.array(*bins) if bins else F.expr("cast(array() as array<int>)")).alias("bins"),
-            F.filter(slots, lambda s: ~F.array_contains(known, s)).alias("hot"),
-        )
-
-    def _grow(self, rows: DataFrame, numbers: list[int]) -> list[_Node]:
+        schema = ", ".join(["y double", *[f"v{k} double" for k in range(len(numbers))], "hot array<int>"])
+        split = split_slots(numbers, "labels must not be null, NaN or infinite, nor vectors null")
+        return dataset.select(y.alias("y"), plain["indices"].alias("indices"), plain["values"].alias("values")).mapInArrow(split, schema)
+
+    def _grow(self, rows: DataFrame, numbers: list[int], cuts: list[list[float]], size: int) -> list[_Node]:
         """The tree level by level; the driver holds its nodes, as it does the model."""
         y = F.col("y")
         whole = rows.agg(F.count("*").alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q")).first()
@@ -147,10 +138,11 @@ class SparseTreeRegressor(Estimator):
         nodes = [_Node(whole["n"], whole["s"], whole["q"], 0)]
         level = [0] if self.like.getMaxDepth() > 0 else []
         while level:
-            found = self._best_splits(self._at_node(rows, nodes), nodes, level, numbers).collect()
-            level = []
-            for r in sorted(found, key=lambda r: r["node"]):
-                node = nodes[r["node"]]
+            sums = rows.mapInArrow(slot_sums(self._walk(nodes, level), numbers, cuts, size), SUMS_SCHEMA)
+            found = self._best_splits(sums, [nodes[i] for i in level]).collect()
+            above, level = level, []
+            for r in sorted(found, key=lambda r: r["at"]):
+                node = nodes[above[r["at"]]]
                 node.slot, node.place, node.edge, node.gain = r["slot"], r["place"], r["edge"], r["gain"]
                 left = _Node(r["ln"], r["ls"], r["lq"], node.depth + 1)
                 right = _Node(node.n - left.n, node.total - left.total, node.squares - left.squares, node.depth + 1)
@@ -161,51 +153,32 @@ class SparseTreeRegressor(Estimator):
         return nodes
 
     @staticmethod
-    def _at_node(rows: DataFrame, nodes: list[_Node]) -> DataFrame:
-        """``rows`` with the node each has come to."""
-
-        def listed(name: str) -> Column:
-            return F.expr(f"array({', '.join(str(getattr(n, name)) for n in nodes)})")
-
-        left, right, slot, place, edge = map(listed, ("left", "right", "slot", "place", "edge"))
-
-        def step(at: Column, _: Column) -> Column:
-            below = F.get(F.col("bins"), place[at]) <= edge[at]
-            goes_left = F.when(place[at] >= 0, below).otherwise(F.array_contains("hot", slot[at]) == (edge[at] == 1))
-            return F.when(left[at] < 0, at).when(goes_left, left[at]).otherwise(right[at])
-
-        depth = max(n.depth for n in nodes)
-        walk = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step) if depth else F.lit(0)
-        return rows.withColumn("node", walk)
-
-    def _best_splits(self, rows: DataFrame, nodes: list[_Node], level: list[int], numbers: list[int]) -> DataFrame:
-        """The split of each node of a level that has one: ``node, slot, place, edge, gain`` and what goes left."""
-        slots = F.expr(f"array({', '.join(map(str, numbers))})")
-        numeric = F.transform("bins", lambda b, i: F.struct(slots[i].alias("slot"), i.alias("place"), b.alias("bin")))
-        binary = F.transform("hot", lambda s: F.struct(s.alias("slot"), F.lit(-1).alias("place"), F.lit(1).alias("bin")))
-        here = rows.filter(F.array_contains(F.expr(f"array({', '.join(map(str, level))})"), F.col("node")))
-        y = F.col("y")
-        sums = (
-            here.select("node", "y", F.inline(F.concat(numeric, binary) if numbers else binary))
-            .groupBy("node", "slot", "place", "bin")
-            .agg(F.count("*").alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
-        )
-        told = [(i, nodes[i].n, nodes[i].total, nodes[i].squares, nodes[i].impurity) for i in level]
-        whole = rows.sparkSession.createDataFrame(told, "node int, wn bigint, ws double, wq double, impurity double")
-        # At most as many rows as a number has bins.
-        upto = Window.partitionBy("node", "slot").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        running = sums.filter("place >= 0").select(
-            "node", "slot", "place", F.col("bin").alias("edge"), *[F.sum(c).over(upto).alias(f"l{c}") for c in "nsq"]
-        )
-        of_bins = running.join(F.broadcast(whole), "node")
-        met = sums.filter("place < 0").join(F.broadcast(whole), "node").filter("n < wn")
-        set_left = F.try_divide("s", "n") < F.try_divide(F.col("ws") - F.col("s"), F.col("wn") - F.col("n"))
-        of_slots = met.select(
-            "node", "slot", "place", F.when(set_left, 1).otherwise(0).alias("edge"),
-            *[F.when(set_left, F.col(c)).otherwise(F.col(f"w{c}") - F.col(c)).alias(f"l{c}") for c in "nsq"],
+    def _walk(nodes: list[_Node], level: list[int]) -> Walk:
+        place = np.full(len(nodes), -1)
+        place[level] = np.arange(len(level))
+        arrays = [np.array([getattr(n, name) for n in nodes]) for name in ("left", "right", "slot", "place", "edge")]
+        return Walk(*arrays, place, max(n.depth for n in nodes))
+
+    def _best_splits(self, sums: DataFrame, level: list[_Node]) -> DataFrame:
+        """The split of each node of a level that has one: ``at, slot, place, edge, gain`` and what goes left."""
+
+        def of_node(name: str, kind: str) -> Column:
+            return F.expr(f"cast(array({', '.join(f'double({getattr(n, name)!r})' for n in level)}) as array<{kind}>)")[F.col("at")]
+
+        # Dealt once for both the sums and what is left of a threshold; a number has at most as many rows as bins.
+        dealt = sums.repartition("at", "slot").groupBy("at", "slot", "place", "bin").agg(*[F.sum(c).alias(c) for c in "nsq"])
+        upto = Window.partitionBy("at", "slot").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        running = dealt.select("at", "slot", "place", "bin", *[F.sum(c).over(upto).alias(c) for c in "nsq"])
+        told = {"wn": ("n", "bigint"), "ws": ("total", "double"), "wq": ("squares", "double"), "impurity": ("impurity", "double")}
+        met = running.withColumns({c: of_node(*t) for c, t in told.items()}).filter("place >= 0 or n < wn")
+        # Of a slot of 0 or 1, the value of the lesser mean goes left; of a number, all up to a bin.
+        rest = {c: F.col(f"w{c}") - F.col(c) for c in "nsq"}
+        set_left = (F.col("place") >= 0) | (F.try_divide("s", "n") < F.try_divide(rest["s"], rest["n"]))
+        both = met.select(
+            "at", "slot", "place", F.when(F.col("place") >= 0, F.col("bin")).otherwise(F.when(set_left, 1).otherwise(0)).alias("edge"),
+            *[F.when(set_left, F.col(c)).otherwise(rest[c]).alias(f"l{c}") for c in "nsq"],
             "wn", "ws", "wq", "impurity",
         )
-        both = of_bins.select(*of_slots.columns).unionByName(of_slots)
         both = both.withColumns({f"r{c}": F.col(f"w{c}") - F.col(f"l{c}") for c in "nsq"})
         both = both.filter(F.least("ln", "rn") >= max(1, self.like.getMinInstancesPerNode()))
 
@@ -217,8 +190,8 @@ class SparseTreeRegressor(Estimator):
         valid = both.filter((F.col("gain") > 0) & (F.col("gain") >= self.like.getMinInfoGain()))
         # Gains that differ by less than their sums are exact to are equal.
         rank = F.struct(-F.round(F.try_divide("gain", "impurity"), 10), "slot", "edge", "place", "gain", "ln", "ls", "lq")
-        best = valid.groupBy("node").agg(F.min(rank).alias("best"))
-        return best.select("node", *[f"best.{c}" for c in ("slot", "place", "edge", "gain", "ln", "ls", "lq")])
+        best = valid.groupBy("at").agg(F.min(rank).alias("best"))
+        return best.select("at", *[f"best.{c}" for c in ("slot", "place", "edge", "gain", "ln", "ls", "lq")])
 
     def _model(self, dataset: DataFrame, size: int, nodes: list[_Node], numbers: list[int], cuts: list[list[float]]):
         """MLlib's model of these nodes, through its saved form; a fit on two empty vectors gives the rest of that."""

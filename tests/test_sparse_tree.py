@@ -86,3 +86,42 @@ def test_a_heavy_value_pushes_cuts_to_the_values_after_it():
     counts = [(0.0, 1000), *[(float(v), 1) for v in range(1, 60)]]
     assert thresholds(counts, 4) == [0.5, 1.5, 2.5]
     assert thresholds([(1.0, 5)], 32) == []
+
+
+def test_a_level_reads_the_rows_once_and_shuffles_sums(vectors, monkeypatch):
+    plans, best = [], SparseTreeRegressor._best_splits
+
+    def seen(self, *given):
+        found = best(self, *given)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(SparseTreeRegressor, "_best_splits", seen)
+    SparseTreeRegressor(featuresCol="features", labelCol="y", maxDepth=3).fit(vectors)
+    assert len(plans) == 3
+    for plan in plans:
+        initial = plan.rpartition("== Initial Plan ==")[-1]
+        assert initial.count("FileScan parquet") == 1 and "Generate" not in initial and "aggregate(" not in initial
+
+
+def test_sums_by_blocks_are_the_same(vectors, monkeypatch):
+    """More slots than a task holds sums of; the workers take the limits from the function's arguments."""
+    from stagefare.operators import slot_sums as ss
+    from stagefare.operators import sparse_tree
+
+    settings = dict(featuresCol="features", labelCol="y", maxDepth=4)
+    want = SparseTreeRegressor(**settings).fit(vectors).toDebugString.split("\n")[1:]
+    sums, given = ss.slot_sums, []
+    monkeypatch.setattr(sparse_tree, "slot_sums", lambda *a: given.append(a) or sums(*a, most=1, block=100))
+    assert SparseTreeRegressor(**settings).fit(vectors).toDebugString.split("\n")[1:] == want and given
+
+
+def test_dense_vectors_and_null_ones(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(Vectors.dense([float(k % 5), float(k % 2), 0.0]) if k % 3 else Vectors.sparse(3, {0: float(k % 5), 1: float(k % 2)}), float(k % 5 + 10 * (k % 2))) for k in range(60)]
+    made = spark.createDataFrame(rows, ["features", "y"])
+    own, told = (kind(featuresCol="features", labelCol="y", maxDepth=5).fit(made) for kind in (SparseTreeRegressor, DecisionTreeRegressor))
+    assert own.toDebugString.split("\n")[1:] == told.toDebugString.split("\n")[1:]
+    with pytest.raises(Exception, match="vectors null"):
+        SparseTreeRegressor(featuresCol="features", labelCol="y").fit(made.withColumn("features", F.when(F.col("y") != 3, F.col("features"))))
