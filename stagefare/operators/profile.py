@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagefare.columns import Label
-from stagefare.functions.running import number, quantiles
+from stagefare.functions.running import number, quantile_zones, quantiles
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -55,7 +55,8 @@ def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFram
             )
         )
     stats = df.agg(F.array(*entries).alias("stats")).select(F.inline("stats"))
-    found = quantiles(df, columns, list(QUARTILES.values()))
+    probs = list(QUARTILES.values())
+    found = quantiles(df, columns, probs, quantile_zones(df, columns, probs))
     wide = found.groupBy("column_name").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(q) for q, p in QUARTILES.items()]
     )

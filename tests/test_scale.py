@@ -10,7 +10,9 @@ from conftest import plan_of
 from stagefare.catalog.fixture import raw_listings
 from stagefare.columns import MAX_PRICE
 from stagefare.functions.joins import Lookup, look_up, measure
+from stagefare.functions import running
 from stagefare.functions.running import quantiles, running_total
+from stagefare.operators.profile import profile_numeric
 from stagefare.operators.category_index import apply_index, category_index, slots
 from stagefare.operators import reports
 from stagefare.operators.encoding import MeanEncoder, encoding_map
@@ -136,6 +138,45 @@ def test_exact_quantiles(spark):
     assert got[("o", 0.5)] == pytest.approx(statistics.median(other))
 
 
+def test_quantiles_of_many_values_count_those_near_them(spark, monkeypatch):
+    """Zones about the estimates: as exact as all values, in far fewer rows."""
+    monkeypatch.setattr(running, "LEAST_VALUES", 3000)
+    monkeypatch.setattr(running, "PARTS", 100)
+    k = F.col("id")
+    df = spark.range(0, 20_000, 1, 5).select(
+        (k * 7919 % 20_011).cast("double").alias("v"),
+        F.when(k % 4 == 0, None).when(k % 4 == 1, float("nan")).otherwise(F.exp(k / 2000) - 50).alias("some"),
+        (k % 3).alias("few"),
+        F.when(k < 500, k / 7).alias("rare"),
+        F.lit(2.5).alias("same"),
+        F.when(k % 5 == 0, float("inf")).when(k % 5 < 3, float("-inf")).otherwise(k * 1.0).alias("ends"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    columns, probs = df.columns, [0.25, 0.5, 0.75]
+    want = {tuple(r) for r in quantiles(df, columns, probs).collect()}
+    written, write = [], running.materialize
+    monkeypatch.setattr(running, "materialize", lambda d, n: written.append(d.count()) or write(d, n))
+    zones = running.quantile_zones(df, columns, probs)
+    assert zones["rare"] == [(float("-inf"), float("inf"))] and len(zones["v"]) == 3 and zones["same"] == [(2.5, 2.5)]
+    assert {tuple(r) for r in quantiles(df, columns, probs, zones).collect()} == want and len(want) == 3 * 6
+    assert written[0] < 20_000 / 2
+    # Where estimates were off, all values are counted.
+    wrong = {**zones, "v": [(5.0, 9.0)]}
+    assert {tuple(r) for r in quantiles(df, columns, probs, wrong).collect()} == want
+    assert running.quantile_zones(df.limit(100), columns, probs) == {}
+
+
+def test_profiles_of_many_rows_deal_few_values(spark, monkeypatch):
+    df = spark.range(0, 20_000, 1, 5).select((F.col("id") * 7919 % 20_011).alias("v"))
+    want = sorted(map(tuple, profile_numeric(df).collect()))
+    monkeypatch.setattr(running, "LEAST_VALUES", 3000)
+    monkeypatch.setattr(running, "PARTS", 100)
+    dealt, write = [], running.materialize
+    monkeypatch.setattr(running, "materialize", lambda d, n: dealt.append(d.count()) or write(d, n))
+    assert sorted(map(tuple, profile_numeric(df).collect())) == want
+    assert dealt[0] < 20_000 / 2
+
+
 def test_running_totals_span_tasks(spark):
     rows = [(g, k, k % 5) for g in ("a", "b", None) for k in range(400)]
     df = spark.createDataFrame(rows, "g string, k int, w int").repartition(7)
