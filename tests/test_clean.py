@@ -1,6 +1,8 @@
 """Cleaning functions on hand-made rows."""
 
 import datetime as dt
+import pathlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,8 +18,10 @@ from stagefare.functions.text import (
 from stagefare.operators.clean import CLEAN_COLUMNS, clean_listings
 from stagefare.operators.reports import quality_counts
 from stagefare.operators.rows import dedup, require
+from stagefare.plans import cleaning
 from stagefare.plans.cleaning import clean_job, clean_table, listings_by_id, report_job, write_cleaned
 from stagefare.sources.listings import read_clean, read_raw, write_clean
+from stagefare.sources.scratch import app_dir
 from stagefare.sources.outputs import read_sorted, write_rows, write_sorted
 
 
@@ -247,6 +251,28 @@ def test_merged_batches_equal_one_clean(spark, tmp_path):
     assert merged.orderBy("event_id").collect() == whole.orderBy("event_id").collect()
 
 
+def test_large_batches_are_merged_by_numbers_and_leave_no_rows_behind(spark, tmp_path, monkeypatch):
+    """As tables of many rows are: whole rows are not shuffled to merge them, and tables that nothing reads are deleted."""
+    shuffled, best, started = [], cleaning.dedup, time.time()
+    monkeypatch.setattr("stagefare.sources.listings.ROWS_PER_FILE", 1)
+    monkeypatch.setattr(cleaning, "dedup", lambda df, *a, **k: shuffled.append(df.count()) or best(df, *a, **k))
+    ids = range(40)
+    first = [_listing(f"e{i}", f"2024-0{1 + i % 5}-10", venue=f"a{i}") for i in ids]
+    second = [_listing(f"e{i}", f"2024-0{1 + i % 7}-1{i % 3}", venue=f"b{i}") for i in ids if i % 4]
+    second += [_listing("e3", "2024-04-10", venue="c"), _listing("new", "2024-09-01"), _listing("new", "2024-09-01")]
+    for name, rows in (("first", first), ("second", second), ("both", first + second)):
+        write_rows(listings(spark, *rows), f"{tmp_path}/raw-{name}")
+    for name in ("first", "second"):
+        result = clean_job(spark, f"{tmp_path}/raw-{name}", f"{tmp_path}/merged", only_touched=True)
+    assert 0 < sum(shuffled) < 20  # only rows of one id and one day
+    found = read_clean(spark, f"{tmp_path}/merged").orderBy("event_id").collect()
+    monkeypatch.setattr(cleaning, "dedup", best)
+    assert found == clean_table(listings(spark, *first, *second)).select(*read_clean(spark, f"{tmp_path}/merged").columns).orderBy("event_id").collect()
+    assert result["quality_counts"].first().total == len(second)
+    kept = {p.name.rpartition("-")[0] for p in pathlib.Path(app_dir(spark)).iterdir() if p.stat().st_mtime > started}
+    assert not kept & {"by-id", "merged", "complete", "latest", "ties", "fresh-ids", "by-partition"}
+
+
 def test_merging_nothing_changes_nothing(spark, tmp_path):
     write_rows(listings(spark, _listing("1", "2024-01-10")), f"{tmp_path}/raw")
     write_rows(listings(spark, _listing("2", "TBA")), f"{tmp_path}/none")
